@@ -515,7 +515,7 @@ def _(v: Views):
 @query(
     "box_stats_level",
     _BOX.format(key="Job_Level", col="Monthly_Salary", table="staff", test="Job_Level IS NOT NULL"),
-    STAFF, _BOX_DIGITS,
+    STAFF, {"q1": 8, "median": 8, "q3": 8},
 )
 def _(v: Views):
     return stats.box_stats(v.staff.where(F.col("Job_Level").isin(LEVEL_ORDER)), "Job_Level", "Monthly_Salary")

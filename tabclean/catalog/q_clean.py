@@ -291,8 +291,8 @@ def _(v: Views):
     return out.select("Id", "Color", "Interior")
 
 
-def draw_sql(col: str, source: str) -> str:
-    return f"""SELECT s.Id, coalesce(s.{col}, d.v) AS {col} FROM {source} s LEFT JOIN (
+def draw_sql(col: str, source: str, keep: str = "s.Id") -> str:
+    return f"""SELECT {keep}, coalesce(s.{col}, d.v) AS {col} FROM {source} s LEFT JOIN (
       SELECT Make, Body, Year, {col} AS v, count(*) AS n,
         sum(count(*)) OVER (PARTITION BY Make, Body, Year ORDER BY {col}) AS hi,
         sum(count(*)) OVER (PARTITION BY Make, Body, Year) AS tot
@@ -447,7 +447,8 @@ def _(v: Views):
 
 @query(
     "clean_sales_conditional",
-    f"""SELECT * FROM ({draw_sql('Color', 'c6')}) JOIN ({draw_sql('Interior', 'c6')}) USING (Id)""",
+    "WITH ic AS (" + draw_sql("Color", "c6", "s.* EXCLUDE (Color)") + ") "
+    + draw_sql("Interior", "ic", "s.Id, s.Color"),
     ("c6",),
 )
 def _(v: Views):

@@ -173,7 +173,7 @@ def _(v: Views):
     """SELECT 0 AS position, 'raw' AS stage, count(*) AS "rows", 17 AS "columns" FROM sales
        UNION ALL SELECT 1, 'dated and priced', count(*), 17 FROM sales
          WHERE SaleDate IS NOT NULL AND SellingPrice IS NOT NULL AND MMR IS NOT NULL
-       UNION ALL SELECT 2, 'prepared', count(*), 24 FROM prepared""",
+       UNION ALL SELECT 2, 'prepared', count(*), 25 FROM prepared""",
     ("prepared",),
 )
 def _(v: Views):

@@ -33,7 +33,7 @@ def query(
             raise ValueError(f"query {key} exists already")
         QUERIES[key] = run
         if sql:
-            body = sql
+            body = f"SELECT * FROM (\n{sql}\n)" if sql.lstrip().startswith("WITH") else sql
             if digits:
                 rounded = ", ".join(f'round(cast("{c}" AS double), {d}) AS "{c}"' for c, d in digits.items())
                 body = f"SELECT * REPLACE ({rounded}) FROM (\n{sql}\n)"

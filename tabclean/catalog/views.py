@@ -104,6 +104,19 @@ SALES_COLUMNS = [
 ]
 
 
+# Declared, so that no job is run to look at the files first.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+}
+
+
 class Views:
     """The tables of one folder, as the queries use them."""
 
@@ -111,7 +124,10 @@ class Views:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        reader = self.spark.read
+        if name in SCHEMAS:
+            reader = reader.schema(SCHEMAS[name])
+        return reader.parquet(f"{self.folder}/{name}.parquet")
 
     def _view(self, text: str, names: list[str]) -> DataFrame:
         return self.spark.sql(text, **{n: self.table(n) for n in names})
@@ -220,11 +236,11 @@ def mode_sql(col: str) -> str:
     return f"""
 SELECT Make, Body, {col} AS m FROM (
   SELECT Make, Body, {col}, row_number() OVER (PARTITION BY Make, Body ORDER BY count(*) DESC, {col}) AS r
-  FROM c6 WHERE Make IS NOT NULL AND Body IS NOT NULL AND {col} IS NOT NULL GROUP BY ALL) WHERE r = 1"""
+  FROM c6 WHERE Make IS NOT NULL AND Body IS NOT NULL AND {col} IS NOT NULL GROUP BY Make, Body, {col}) WHERE r = 1"""
 
 
 def top_value_sql(col: str, source: str) -> str:
-    return f"(SELECT {col} FROM {source} WHERE {col} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, {col} LIMIT 1)"
+    return f"SELECT {col} AS v FROM {source} WHERE {col} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1"
 
 
 _plain = {n: n for n in ["lineitem", "orders", "part", "supplier", "customer"]}
@@ -279,8 +295,10 @@ CTES: dict[str, str] = {
         Color IS NULL AS g_color, Interior IS NULL AS g_interior
       FROM c6 LEFT JOIN mc ON c6.Make = mc.Make AND c6.Body = mc.Body
               LEFT JOIN mi ON c6.Make = mi.Make AND c6.Body = mi.Body""",
-    "c8": f"""SELECT * REPLACE (coalesce(Color, {top_value_sql('Color', 'c7')}) AS Color,
-        coalesce(Interior, {top_value_sql('Interior', 'c7')}) AS Interior) FROM c7""",
+    "oc": top_value_sql("Color", "c7"),
+    "oi": top_value_sql("Interior", "c7"),
+    "c8": """SELECT * REPLACE (coalesce(Color, (SELECT v FROM oc)) AS Color,
+        coalesce(Interior, (SELECT v FROM oi)) AS Interior) FROM c7""",
     "marked": f"""SELECT *, ({_flag}) AS _flag_imputed, (Make IS NULL AND Model IS NULL AND Trim IS NULL
         AND Body IS NULL AND (VIN IS NULL OR trim(VIN) = '')) AS _flag_non_imputable FROM c8""",
     "cleaned": f"SELECT {', '.join(SALES_COLUMNS)}, _flag_imputed, _flag_non_imputable FROM marked",
@@ -296,7 +314,7 @@ CTES: dict[str, str] = {
 _NEEDS = {
     "sales": [], "employees": [], "shifted": ["sales"], "prepared": ["shifted"], "replaced": ["sales"], "mb": [],
     "wmi": [], "c0": ["sales"], "c1": ["c0"], "c2": ["c1", "mb"], "c3": ["c2"], "c4": ["c3"], "c5": ["c4"],
-    "c6": ["c5", "wmi"], "mc": ["c6"], "mi": ["c6"], "c7": ["c6", "mc", "mi"], "c8": ["c7"], "marked": ["c8"],
+    "c6": ["c5", "wmi"], "mc": ["c6"], "mi": ["c6"], "c7": ["c6", "mc", "mi"], "oc": ["c7"], "oi": ["c7"], "c8": ["c7", "oc", "oi"], "marked": ["c8"],
     "cleaned": ["marked"], "staff": ["employees"],
 }
 

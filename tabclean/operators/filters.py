@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import draw_slot
 from ..functions.text import any_of
-from .quantile import approx_quantiles, scalar_quantiles
+from .quantile import approx_quantiles, quantile_values
 
 FLAG_IMPUTED = "_flag_imputed"
 FLAG_NON_IMPUTABLE = "_flag_non_imputable"
@@ -62,10 +62,10 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
 def quantile_trim(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99, approximate: bool = False) -> DataFrame:
     """Keep rows between two quantiles, both included. Exact unless `approximate`."""
     if approximate:
-        q = approx_quantiles(df, [], col, [lo, hi], ["q0", "q1"]).select(F.struct("q0", "q1")).scalar()
+        low, high = approx_quantiles(df, [], col, [lo, hi], ["q0", "q1"]).first()
     else:
-        q = scalar_quantiles(df, col, [lo, hi])
-    return df.where((F.col(col) >= q["q0"]) & (F.col(col) <= q["q1"]))
+        low, high = quantile_values(df, col, [lo, hi])
+    return df.where(F.col(col).between(F.lit(low), F.lit(high)))
 
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
@@ -82,9 +82,9 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
         hist.withColumn("__upto", F.sum("__n").over(upto))
         .where(F.col("__upto") >= n)
         .agg(F.min("__slot"))
-        .scalar()
+        .first()[0]
     )
-    near = drawn.where(F.col("__slot") <= F.coalesce(limit, F.col("__slot")))
+    near = drawn if limit is None else drawn.where(F.col("__slot") <= limit)
     return near.orderBy("__slot", key).limit(n).drop("__slot")
 
 

@@ -11,9 +11,9 @@ from ..functions.numeric import _DRAW_SLOTS, draw_slot
 from ..functions.text import all_null, any_of, is_blank, title_case
 from ..sources.staging import stage
 from .filters import FLAG_IMPUTED, FLAG_NON_IMPUTABLE, is_clean, sample_n
-from .joins import at_most, keys_present, lookup_join
-from .profile import unfold
-from .quantile import median_value
+from .joins import keys_present, lookup_join
+from .profile import melt, unfold
+from .quantile import group_quantiles
 
 WAS_NULL = "_was_null_"
 IMPUTABLE = ["Make", "Model", "Trim", "Body", "Color", "Interior", "Transmission", "Odometer", "ConditionValue"]
@@ -145,7 +145,7 @@ def impute_group_mode(
             .groupBy("__v")
             .agg(F.sum("n").alias("n"))
         )
-        overall[c] = filled.agg(_most_frequent("__v")).scalar()
+        overall[c] = F.lit(filled.agg(_most_frequent("__v")).first()[0])
     out = lookup_join(df, dim, keys)
     new = {c: F.coalesce(F.col(c), F.col(f"__mode_{c}"), overall[c]) for c in cols}
     for c in cols:
@@ -265,17 +265,26 @@ def impute_knn(
     categorical = ["Make", "Body"] if categorical is None else categorical
     block_on = block_on or []
 
-    enc = df
-    raw = {}
-    for c in categorical:
-        enc = label_encode(enc, c, f"__code_{c}")
-        raw[f"__f_{c}"] = F.col(f"__code_{c}")
-    raw = {f"__f_{c}": F.col(c) for c in numeric} | raw
-    feats = list(raw)
-    medians = {f: median_value(enc, value) for f, value in raw.items()}
-    enc = enc.withColumns({f: F.coalesce(value.cast("double"), medians[f]) for f, value in raw.items()})
-    enc = enc.drop(*[f"__code_{c}" for c in categorical])
+    # The few columns needed, written once: what follows passes over them several times.
+    narrow = stage(df.select(row_key, target, *dict.fromkeys([*numeric, *categorical, *block_on])), "narrow")
+    codes = {c: stage(label_codes(narrow, c).withColumnRenamed("code", f"__f_{c}"), "codes") for c in categorical}
+    feats = [f"__f_{c}" for c in [*numeric, *categorical]]
 
+    def encode(frame: DataFrame) -> DataFrame:
+        for c in categorical:
+            frame = lookup_join(frame, codes[c], [c], staged=True)
+        return frame.withColumns({f"__f_{c}": F.col(c) for c in numeric})
+
+    enc = encode(narrow)
+    cells = group_quantiles(melt(enc, feats), ["column"], "value", [0.5], ["m"], groups_at_most=len(feats))
+    medians = dict(cells.collect())  # one row per feature
+
+    def complete(frame: DataFrame) -> DataFrame:
+        return frame.withColumns(
+            {f: F.coalesce(F.col(f).cast("double"), F.lit(medians.get(f, 0.0))) for f in feats}
+        )
+
+    enc = complete(enc)
     known = enc.where(F.col(target).isNotNull()).select(row_key, target, *feats, *block_on)
     train = stage(sample_n(known, sample, row_key, seed), "train")
     # Beyond the first k keys, rows equal in all features can never be among the k nearest.
@@ -293,7 +302,7 @@ def impute_knn(
 
     votes = _nearest_votes(ask, train, vector, feats, block_on, k)
     # Features are never null here, so the vector itself is the key.
-    out = lookup_join(enc, votes.withColumnRenamed("label", "__vote"), vector)
+    out = lookup_join(complete(encode(df)), votes.withColumnRenamed("label", "__vote"), vector)
     cols = {target: F.coalesce(F.col(target), F.col("__vote"))}
     if mark:
         cols[mark] = F.col(target).isNull() & F.col("__vote").isNotNull()
@@ -345,7 +354,7 @@ def _nearest_votes(
         if last:
             break
         ask = stage(ask.join(found, vector, "left_anti"), "ask")
-        if at_most(ask, 0):
+        if ask.isEmpty():
             break
 
     near = done.select(*vector, F.array_min(F.col("__near")["__d"]).alias("__best"), F.explode("__near").alias("__x"))

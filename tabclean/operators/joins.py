@@ -13,11 +13,6 @@ MAX_BROADCAST_ROWS = 500_000
 SALTS = 32
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether `df` has no more than `rows` rows; reads no further than that."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def keys_present(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
@@ -30,19 +25,21 @@ def lookup_join(
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     salts: int = SALTS,
     known_small: bool = False,
+    staged: bool = False,
 ) -> DataFrame:
     """Left join that adds the dimension's other columns to `fact`.
 
-    The dimension is written once and counted. Within the bound it is broadcast, so
+    The dimension is written once and counted (from the file footers). Within the bound it is broadcast, so
     `fact` is never shuffled. Beyond it both sides are shuffled on the keys plus a
     salt: a key holding a third of `fact` (or the null keys) is spread over `salts`
     partitions, at the price of `salts` copies of the dimension. `known_small` is for
-    literal tables. `extra` may name columns of both sides.
+    literal tables, `staged` for a dimension written already. `extra` may name columns
+    of both sides.
     """
     renamed = dim.withColumnsRenamed({k: f"__dim_{k}" for k in on})
-    if not known_small:
+    if not (known_small or staged):
         renamed = stage(renamed, "dim")
-    small = known_small or at_most(renamed, max_broadcast_rows)
+    small = known_small or renamed.count() <= max_broadcast_rows
     left = fact
     tests = [F.col(k) == F.col(f"__dim_{k}") for k in on]
     if small:

@@ -5,50 +5,51 @@ range is narrowed first: a histogram on logarithmic buckets (a small table after
 map-side combining) tells which bucket holds each wanted rank; only rows of those
 buckets are looked at again, on a finer grid, and only the values of single grid
 cells are finally ranked. Results are exact: linear interpolation between the two
-neighbouring ranks.
+neighbouring ranks. Once the histogram shows that there are no more than `SMALL_ROWS`
+values in all, `percentile` may as well do the rest.
+
+So a quantile reads the table twice and shuffles next to nothing. The passes run when
+the plan is built; their small results are written to the shared folder.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import any_of
 from ..sources.staging import stage
-from .joins import MAX_BROADCAST_ROWS, at_most, keys_present
+from .joins import MAX_BROADCAST_ROWS, keys_present
 
 _PER_OCTAVE = 64
 _CELLS = 4096
+# As many values as all buffers of `percentile` together may hold.
+SMALL_ROWS = 1_000_000
 # Lifts the smallest exponent of a double above zero, so that buckets keep their sign.
 _LIFT = 1075 * _PER_OCTAVE + 1
 
 
-def _log_bucket(x: Column) -> Column:
+def _log_bucket(x: str) -> str:
     """A bucket number that never decreases as x grows; buckets are about 1 % wide."""
-    step = F.floor(F.least(F.log2(F.abs(x)), F.lit(1025.0)) * _PER_OCTAVE) + _LIFT
-    return F.when(x > 0, step).when(x < 0, -step).otherwise(F.lit(0).cast("bigint"))
+    step = f"(floor(least(log2(abs({x})), 1025.0e0) * {_PER_OCTAVE}) + {_LIFT})"
+    return f"CASE WHEN {x} > 0 THEN {step} WHEN {x} < 0 THEN -{step} ELSE 0L END"
 
 
-def _cell(x: Column, lo: Column, hi: Column) -> Column:
-    return F.when(hi > lo, F.least(F.floor((x - lo) / (hi - lo) * _CELLS), F.lit(_CELLS - 1))).otherwise(
-        F.lit(0).cast("bigint")
-    )
+def _cell(x: str, lo: str, hi: str) -> str:
+    at = f"least(floor(({x} - {lo}) / ({hi} - {lo}) * {_CELLS}), {_CELLS - 1}L)"
+    return f"CASE WHEN {hi} > {lo} THEN {at} ELSE 0L END"
+
 
+def _position(p: float) -> str:
+    return f"({float(p)!r}D * (__total - 1))"
 
-def _ranks(probs: list[float], total: Column) -> list[tuple[Column, Column, Column]]:
-    """Per quantile: lower rank, upper rank and the weight of the upper one."""
-    out = []
-    for p in probs:
-        pos = F.lit(float(p)) * (total - 1)
-        out.append((F.floor(pos), F.ceil(pos), pos - F.floor(pos)))
-    return out
 
+def _holds(rank: str) -> str:
+    return f"({rank} >= __start AND {rank} < __start + __n)"
 
-def _wanted(probs: list[float], total: Column, start: Column, n: Column) -> Column:
-    tests = []
-    for lo, hi, _ in _ranks(probs, total):
-        tests += [(lo >= start) & (lo < start + n), (hi >= start) & (hi < start + n)]
-    return any_of(tests)
+
+def _wanted(probs: list[float]) -> str:
+    """Whether the ranks from `__start` on, `__n` of them, include one that is asked for."""
+    return " OR ".join(_holds(f"{side}{_position(p)}") for p in probs for side in ("floor", "ceil"))
 
 
 def group_quantiles(
@@ -63,72 +64,73 @@ def group_quantiles(
 
     Rows with a null key are left out. Without keys the result is one row, null on
     empty input. `groups_at_most` is a proven bound on the number of groups; without
-    one the histogram is written to the shared folder and counted before any of it
-    is broadcast.
+    one the size of the histogram decides whether buckets are broadcast.
     """
     x = (F.col(value) if isinstance(value, str) else value).cast("double")
-    fact = df.select(*keys, x.alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
+    fact = df.select(*keys, x.alias("__x")).where("__x IS NOT NULL AND NOT isnan(__x)")
     if keys:
         fact = fact.where(keys_present(keys))
-    fact = fact.withColumn("__b", _log_bucket(F.col("__x")))
-
-    hist = fact.groupBy(*keys, "__b").agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__lo"), F.max("__x").alias("__hi")
-    )
+    fact = fact.selectExpr("*", f"{_log_bucket('__x')} AS __b")
+
+    hist = fact.groupBy(*keys, "__b").agg(F.expr("count(1) AS __n"), F.expr("min(__x) AS __lo"), F.expr("max(__x) AS __hi"))
+    hist = stage(hist, "hist")
+    buckets, rows = hist.selectExpr("count(1)", "coalesce(sum(__n), 0)").first()
+    if rows <= SMALL_ROWS:
+        listed = ", ".join(f"{float(p)!r}D" for p in probs)
+        found = fact.groupBy(*keys).agg(F.expr(f"percentile(__x, array({listed})) AS __q"))
+        return found.selectExpr(*[f"`{k}`" for k in keys], *[f"__q[{i}] AS `{n}`" for i, n in enumerate(names)])
+    # At most two buckets per quantile and group are wanted.
     bound = 1 if not keys else groups_at_most
-    if bound is None:
-        hist = stage(hist, "hist")
-        small = at_most(hist, MAX_BROADCAST_ROWS)
-    else:
-        small = 2 * len(probs) * bound <= MAX_BROADCAST_ROWS
+    small = min(buckets, 2 * len(probs) * bound if bound else buckets) <= MAX_BROADCAST_ROWS
 
     def hint(frame: DataFrame) -> DataFrame:
         return F.broadcast(frame) if small else frame
 
-    part = keys or [F.lit(0)]
-    upto = Window.partitionBy(*part).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-    n, start, total = F.col("__n"), F.col("__start"), F.col("__total")
+    def over(*part: str) -> str:
+        return "PARTITION BY " + ", ".join([f"`{k}`" for k in keys] + list(part) or ["0"])
+
     buckets = (
-        hist.select(
-            *keys, "__b", "__lo", "__hi", "__n",
-            (F.sum("__n").over(upto) - n).alias("__start"),
-            F.sum("__n").over(Window.partitionBy(*part)).alias("__total"),
+        hist.selectExpr(
+            *[f"`{k}`" for k in keys], "__b", "__lo", "__hi", "__n",
+            f"sum(__n) OVER ({over()} ORDER BY __b ROWS UNBOUNDED PRECEDING) - __n AS __start",
+            f"sum(__n) OVER ({over()}) AS __total",
         )
-        .where(_wanted(probs, total, start, n))
+        .where(_wanted(probs))
         .drop("__n")
     )
-
-    values = (
+    counts = [F.expr("count(1) AS __n"), F.expr("min(__start) AS __start"), F.expr("min(__total) AS __total")]
+    values = stage(
         fact.join(hint(buckets), [*keys, "__b"])
-        .withColumn("__c", _cell(F.col("__x"), F.col("__lo"), F.col("__hi")))
+        .selectExpr("*", f"{_cell('__x', '__lo', '__hi')} AS __c")
         .groupBy(*keys, "__b", "__c", "__x")
-        .agg(F.count(F.lit(1)).alias("__n"), F.min("__start").alias("__start"), F.min("__total").alias("__total"))
+        .agg(*counts),
+        "values",
     )
-    upto = Window.partitionBy(*keys, "__b").orderBy("__c").rowsBetween(Window.unboundedPreceding, 0)
+
+    counts[0] = F.expr("sum(__n) AS __n")
+    start = "__start + sum(__n) OVER ({} ORDER BY {} ROWS UNBOUNDED PRECEDING) - __n AS __start"
     cells = (
         values.groupBy(*keys, "__b", "__c")
-        .agg(F.sum("__n").alias("__n"), F.min("__start").alias("__start"), F.min("__total").alias("__total"))
-        .withColumn("__start", start + F.sum("__n").over(upto) - n)
-        .where(_wanted(probs, total, start, n))
+        .agg(*counts)
+        .selectExpr(*[f"`{k}`" for k in keys], "__b", "__c", "__n", "__total", start.format(over("__b"), "__c"))
+        .where(_wanted(probs))
         .select(*keys, "__b", "__c", "__start")
     )
-    upto = Window.partitionBy(*keys, "__b", "__c").orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
         values.drop("__start")
         .join(hint(cells), [*keys, "__b", "__c"])
-        .withColumn("__start", start + F.sum("__n").over(upto) - n)
+        .selectExpr(*[f"`{k}`" for k in keys], "__x", "__n", "__total", start.format(over("__b", "__c"), "__x"))
     )
-
-    picks = []
-    for i, (lo, hi, _) in enumerate(_ranks(probs, total)):
-        picks.append(F.max(F.when((lo >= start) & (lo < start + n), F.col("__x"))).alias(f"__lo{i}"))
-        picks.append(F.max(F.when((hi >= start) & (hi < start + n), F.col("__x"))).alias(f"__hi{i}"))
-    found = ranked.groupBy(*keys).agg(F.max("__total").alias("__total"), *picks)
-    out = []
-    for i, ((_, _, weight), name) in enumerate(zip(_ranks(probs, total), names)):
-        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
-        out.append((lo + (hi - lo) * weight).alias(name))
-    return found.select(*keys, *out)
+    picks = [
+        F.expr(f"max(CASE WHEN {_holds(f'{side}{_position(p)}')} THEN __x END) AS __{side}{i}")
+        for i, p in enumerate(probs) for side in ("floor", "ceil")
+    ]
+    found = ranked.groupBy(*keys).agg(F.expr("max(__total) AS __total"), *picks)
+    out = [
+        f"__floor{i} + (__ceil{i} - __floor{i}) * ({_position(p)} - floor{_position(p)}) AS `{name}`"
+        for i, (p, name) in enumerate(zip(probs, names))
+    ]
+    return found.selectExpr(*[f"`{k}`" for k in keys], *out)
 
 
 def group_median(
@@ -137,15 +139,15 @@ def group_median(
     return group_quantiles(df, keys, value, [0.5], [name], groups_at_most)
 
 
-def scalar_quantiles(df: DataFrame, value: Column | str, probs: list[float]) -> Column:
-    """A struct column `q0, q1, ...`, usable in any expression as a scalar subquery."""
+def quantile_values(df: DataFrame, value: Column | str, probs: list[float]) -> list[float | None]:
+    """The quantiles of a whole column as numbers, so that filters on them reach the scan."""
     names = [f"q{i}" for i in range(len(probs))]
-    row = group_quantiles(df, [], value, probs, names)
-    return row.select(F.struct(*names)).scalar()
+    return list(group_quantiles(df, [], value, probs, names).first())
 
 
 def median_value(df: DataFrame, value: Column | str) -> Column:
-    return group_quantiles(df, [], value, [0.5], ["q"]).scalar()
+    """The median of a whole column as a literal."""
+    return F.lit(quantile_values(df, value, [0.5])[0]).cast("double")
 
 
 def approx_quantiles(

@@ -224,9 +224,8 @@ def fill_median(df: DataFrame, cols: list[str]) -> DataFrame:
     if len(cols) == 1:
         return df.withColumn(cols[0], F.coalesce(F.col(cols[0]), median_value(df, cols[0])))
     cells = group_quantiles(melt(df, cols), ["column"], "value", [0.5], ["m"], groups_at_most=len(cols))
-    row = cells.agg(*[F.max(F.when(F.col("column") == c, F.col("m"))).alias(c) for c in cols])
-    medians = row.select(F.struct(*cols)).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c), medians[c]) for c in cols})
+    medians = dict(cells.collect())  # one row per column
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(medians.get(c)).cast("double")) for c in cols})
 
 
 def select_columns(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .aggregate import n_rows, rows_of_top
@@ -62,13 +62,15 @@ def slope_effect(df: DataFrame, y: str, x: str, step: float = 10_000) -> DataFra
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """Equal-width histogram between minimum and maximum; the last bin is closed, empty bins are kept."""
     x = F.col(col).cast("double")
-    row = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).select(F.struct("lo", "hi")).scalar()
-    width = (row["hi"] - row["lo"]) / bins
-    number = F.when(row["hi"] > row["lo"], F.least(F.floor((x - row["lo"]) / width), F.lit(bins - 1))).otherwise(0)
+    lo, hi = df.agg(F.min(x), F.max(x)).first()
+    if lo is None:
+        lo = hi = 0.0
+    width = (hi - lo) / bins
+    number = F.least(F.floor((x - lo) / width), F.lit(bins - 1)) if hi > lo else F.lit(0)
     counts = df.where(x.isNotNull()).groupBy(number.alias("bin")).agg(n_rows().alias("count"))
     all_bins = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
     return all_bins.join(counts, "bin", "left").select(
-        "bin", (row["lo"] + width * F.col("bin")).alias("lower"), F.coalesce("count", F.lit(0)).alias("count")
+        "bin", (F.lit(lo) + width * F.col("bin")).alias("lower"), F.coalesce("count", F.lit(0)).alias("count")
     )
 
 
@@ -92,16 +94,15 @@ def box_stats(df: DataFrame, key: str, col: str, top: int | None = None) -> Data
 def density_grid(df: DataFrame, x: str, y: str, cells: int = 55) -> DataFrame:
     """Rows per cell of a rectangular grid and the decimal logarithm; empty cells are absent."""
     source = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    row = source.agg(
-        F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1")
-    ).select(F.struct("x0", "x1", "y0", "y1")).scalar()
+    x0, x1, y0, y1 = source.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
 
-    def cell(c: str, lo, hi):
-        at = F.least(F.floor((F.col(c) - lo) / ((hi - lo) / cells)), F.lit(cells - 1))
-        return F.when(hi > lo, at).otherwise(0)
+    def cell(c: str, lo: float | None, hi: float | None) -> Column:
+        if lo is None or hi <= lo:
+            return F.lit(0)
+        return F.least(F.floor((F.col(c) - lo) / ((hi - lo) / cells)), F.lit(cells - 1))
 
     return (
-        source.groupBy(cell(x, row["x0"], row["x1"]).alias("cell_x"), cell(y, row["y0"], row["y1"]).alias("cell_y"))
+        source.groupBy(cell(x, x0, x1).alias("cell_x"), cell(y, y0, y1).alias("cell_y"))
         .agg(n_rows().alias("count"))
         .withColumn("log_count", F.log10("count"))
     )

@@ -34,7 +34,19 @@ def rows_of(rows, cols) -> list[tuple[str, ...]]:
     return sorted(tuple(canon(r[i]) for i in order) for r in rows)
 
 
-def differences(df, con, sql: str) -> str | None:
+def close(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
+    """Equal up to the last digits of doubles."""
+    def same(x: str, y: str) -> bool:
+        if x == y:
+            return True
+        if not (x.startswith("f") and y.startswith("f")):
+            return False
+        return math.isclose(float(x[1:]), float(y[1:]), rel_tol=1e-7, abs_tol=1e-4)
+
+    return all(same(x, y) for x, y in zip(a, b))
+
+
+def differences(df, con, sql: str, loose: bool = False) -> str | None:
     """None if both sides agree, else what differs."""
     cols = df.columns
     mine = rows_of([tuple(r) for r in df.collect()], cols)
@@ -45,7 +57,7 @@ def differences(df, con, sql: str) -> str | None:
         return f"columns {sorted(cols)} != {sorted(theirs_cols)}"
     if len(mine) != len(theirs):
         return f"rows {len(mine)} != {len(theirs)}"
-    bad = [(a, b) for a, b in zip(mine, theirs) if a != b]
+    bad = [(a, b) for a, b in zip(mine, theirs) if a != b and not (loose and close(a, b))]
     if bad:
         return f"{len(bad)} of {len(mine)} rows differ, e.g. {sorted(cols)} {bad[0][0]} != {bad[0][1]}"
     return None
