@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import draw_slot
@@ -71,21 +71,28 @@ def quantile_trim(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99, a
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """min(n, count) rows, the same for every partitioning.
 
-    Rows are ranked by a number drawn from their key. The histogram of the draws (at
-    most 1,000,003 rows) gives the smallest draw that leaves n rows, so the final
-    sort sees little more than n rows, however large the table is.
+    Rows are ranked by a number drawn from their key. Two histograms of the draws, of
+    1,001 blocks and of the draws in one block, give the smallest draw that leaves n
+    rows, so the final sort sees little more than n rows, however large the table is.
     """
     drawn = df.withColumn("__slot", draw_slot(key, seed))
-    hist = drawn.groupBy("__slot").agg(F.count(F.lit(1)).alias("__n"))
-    upto = Window.partitionBy(F.lit(0)).orderBy("__slot").rowsBetween(Window.unboundedPreceding, 0)
-    limit = (
-        hist.withColumn("__upto", F.sum("__n").over(upto))
-        .where(F.col("__upto") >= n)
-        .agg(F.min("__slot"))
-        .first()[0]
-    )
-    near = drawn if limit is None else drawn.where(F.col("__slot") <= limit)
-    return near.orderBy("__slot", key).limit(n).drop("__slot")
+    block = F.floor(F.col("__slot") / 1000)
+    before, at = _reaches(drawn.groupBy(block.alias("at")).agg(F.count(F.lit(1)).alias("n")), n)
+    if at is not None:
+        slots = drawn.where(block == at).groupBy(F.col("__slot").alias("at")).agg(F.count(F.lit(1)).alias("n"))
+        _, limit = _reaches(slots, n - before)
+        drawn = drawn.where(F.col("__slot") <= limit)
+    return drawn.orderBy("__slot", key).limit(n).drop("__slot")
+
+
+def _reaches(hist: DataFrame, n: int) -> tuple[int, int | None]:
+    """Rows before the bin in which a running count reaches n, and that bin. At most 1,001 bins."""
+    seen = 0
+    for row in hist.orderBy("at").collect():
+        if seen + row["n"] >= n:
+            return seen, row["at"]
+        seen += row["n"]
+    return seen, None
 
 
 def facet_values(df: DataFrame, col: str) -> DataFrame:

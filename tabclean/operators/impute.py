@@ -131,21 +131,21 @@ def impute_group_mode(
     """
     counts = stage(df.groupBy(*keys, *cols).agg(F.count(F.lit(1)).alias("n")), "counts")
     dim = counts.where(keys_present(keys)).select(*keys).distinct()
-    overall = {}
+    filled = None
     for c in cols:
         per_value = counts.groupBy(*keys, c).agg(F.sum("n").alias("n"))
         modes = (
             per_value.where(keys_present([*keys, c])).groupBy(*keys).agg(_most_frequent(c).alias(f"__mode_{c}"))
         )
         dim = dim.join(modes, keys, "left")
-        filled = (
-            per_value.join(modes, keys, "left")
-            .withColumn("__v", F.coalesce(F.col(c), F.col(f"__mode_{c}")))
-            .where("__v IS NOT NULL")
-            .groupBy("__v")
-            .agg(F.sum("n").alias("n"))
+        after = per_value.join(modes, keys, "left").select(
+            F.lit(c).alias("__c"), F.coalesce(F.col(c), F.col(f"__mode_{c}")).alias("__v"), "n"
         )
-        overall[c] = F.lit(filled.agg(_most_frequent("__v")).first()[0])
+        filled = after if filled is None else filled.unionByName(after)
+    totals = filled.where("__v IS NOT NULL").groupBy("__c", "__v").agg(F.sum("n").alias("n"))
+    # One row per column.
+    found = dict(totals.groupBy("__c").agg(_most_frequent("__v")).collect())
+    overall = {c: F.lit(found.get(c)) for c in cols}
     out = lookup_join(df, dim, keys)
     new = {c: F.coalesce(F.col(c), F.col(f"__mode_{c}"), overall[c]) for c in cols}
     for c in cols:
@@ -235,8 +235,8 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 # --- nearest neighbours -------------------------------------------------------------
 
 # Width of the first search band, in average distances between training rows; then growth per level.
-_FIRST_BAND = 32
-_BAND_GROWTH = 32
+_FIRST_BAND = 8
+_BAND_GROWTH = 8
 
 
 def impute_knn(
@@ -298,7 +298,9 @@ def impute_knn(
     if block_on:
         ask = ask.where(keys_present(block_on))
     vector = [*feats, *block_on]
-    ask = stage(ask.select(*vector).distinct(), "ask")
+    # A number per vector, fixed by writing it, keeps the sort of the candidates narrow.
+    ask = ask.select(*vector).distinct().withColumn("__q", F.monotonically_increasing_id())
+    ask = stage(ask, "ask")
 
     votes = _nearest_votes(ask, train, vector, feats, block_on, k)
     # Features are never null here, so the vector itself is the key.
@@ -319,7 +321,7 @@ def _nearest_votes(
         *[F.max(f"__t{f}").alias(f"hi{i}") for i, f in enumerate(feats)],
     ).first()
     if not ranges["n"]:
-        return ask.withColumn("label", F.lit(None).cast("string"))
+        return ask.drop("__q").withColumn("label", F.lit(None).cast("string"))
     spreads = [ranges[f"hi{i}"] - ranges[f"lo{i}"] for i in range(len(feats))]
     axis = max(range(len(feats)), key=spreads.__getitem__)
     lo, hi, spread, name = ranges[f"lo{axis}"], ranges[f"hi{axis}"], spreads[axis], feats[axis]
@@ -330,7 +332,7 @@ def _nearest_votes(
     if widths[-1] <= spread:
         widths = [1.0]  # no spread at all: everything lies in one band
 
-    done = None
+    asking, done = ask, None
     for level, width in enumerate(widths):
         last = level == len(widths) - 1
         at = F.least(F.greatest(F.col(name), F.lit(lo)), F.lit(hi))
@@ -342,10 +344,10 @@ def _nearest_votes(
             test &= F.col(b) == F.col(f"__t_{b}")
         squares = [(F.col(f) - F.col(f"__t{f}")) * (F.col(f) - F.col(f"__t{f}")) for f in feats]
         distance = F.sqrt(reduce(lambda a, b: a + b, squares))
-        pairs = asked.join(offered, test).select(*vector, "__id", "__label", distance.alias("__d"))
-        nearest = Window.partitionBy(*vector).orderBy("__d", "__id")
+        pairs = asked.join(offered, test).select("__q", "__id", "__label", distance.alias("__d"))
+        nearest = Window.partitionBy("__q").orderBy("__d", "__id")
         near = pairs.withColumn("__r", F.row_number().over(nearest)).where(F.col("__r") <= k)
-        found = near.groupBy(*vector).agg(
+        found = near.groupBy("__q").agg(
             F.count(F.lit(1)).alias("__found"), F.max("__d").alias("__reach"),
             F.collect_list(F.struct("__d", "__label")).alias("__near"),
         )
@@ -353,17 +355,17 @@ def _nearest_votes(
         done = found if done is None else done.unionByName(found)
         if last:
             break
-        ask = stage(ask.join(found, vector, "left_anti"), "ask")
+        ask = stage(ask.join(found, "__q", "left_anti"), "ask")
         if ask.isEmpty():
             break
 
-    near = done.select(*vector, F.array_min(F.col("__near")["__d"]).alias("__best"), F.explode("__near").alias("__x"))
+    near = done.select("__q", F.array_min(F.col("__near")["__d"]).alias("__best"), F.explode("__near").alias("__x"))
     weight = F.when(F.col("__best") == 0, F.when(F.col("__x.__d") == 0, 1.0).otherwise(0.0)).otherwise(
         1.0 / F.when(F.col("__x.__d") != 0, F.col("__x.__d"))
     )
-    scores = near.groupBy(*vector, F.col("__x.__label").alias("label")).agg(F.sum(weight).alias("__score"))
+    scores = near.groupBy("__q", F.col("__x.__label").alias("label")).agg(F.sum(weight).alias("__score"))
     best = F.min(F.struct((-F.col("__score")).alias("s"), F.col("label").alias("v")))["v"]
-    return scores.groupBy(*vector).agg(best.alias("label"))
+    return asking.join(scores.groupBy("__q").agg(best.alias("label")), "__q").drop("__q")
 
 
 # --- flags and audit ----------------------------------------------------------------

@@ -67,10 +67,14 @@ def standardise(df: DataFrame, aliases: dict[str, str] | None = None) -> DataFra
     aliases = repair.MAKE_ALIASES if aliases is None else aliases
     lowered = F.lower("Make")
     named = {k: v for k, v in aliases.items() if k != v.lower()}
-    cols = {c: title_case(c) for c in TITLE_COLUMNS if c in df.columns and c != "Make"}
-    cols["Make"] = title_case(map_values(lowered, aliases))
+    df = df.withColumns(
+        {
+            "Make": map_values(lowered, aliases),
+            _MARK + "MK-001": F.coalesce(lowered.isin(list(named)), F.lit(False)),
+        }
+    )
+    cols = {c: title_case(c) for c in TITLE_COLUMNS if c in df.columns}
     cols["Transmission"] = normalise_enum("Transmission", repair.TRANSMISSION_ALIASES)
-    cols[_MARK + "MK-001"] = F.coalesce(lowered.isin(list(named)), F.lit(False))
     return df.withColumns(cols)
 
 

@@ -12,6 +12,8 @@ CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # The JVM never compiles methods over 8000 bytes; wide text projections would exceed that.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
