@@ -323,6 +323,12 @@ def _(v: Views):
     return impute.conditional_distribution(before_imputation(v.sales), "Color", DRAW_KEYS)
 
 
+_DISTANCE = """sqrt((q.a - t.a) * (q.a - t.a) + (q.b - t.b) * (q.b - t.b) + (q.c - t.c) * (q.c - t.c)
+               + (q.d - t.d) * (q.d - t.d))"""
+# The five nearest training rows. Those within 300 of the second feature come first; where five of them lie
+# within 300 in all, no other row can be nearer, and the others are compared with the whole sample.
+_NEAREST = f"""arg_min(struct_pack(color := t.Color, dist := {_DISTANCE}),
+               struct_pack(dist := {_DISTANCE}, id := t.Id), 5)"""
 _KNN_SQL = f"""
 WITH mk AS (SELECT Make, dense_rank() OVER (ORDER BY Make) - 1 AS mcode
             FROM (SELECT DISTINCT Make FROM c6 WHERE Make IS NOT NULL)),
@@ -335,12 +341,12 @@ WITH mk AS (SELECT Make, dense_rank() OVER (ORDER BY Make) - 1 AS mcode
         coalesce(bcode, (SELECT median(bcode) FROM e0))::double AS d FROM e0),
  t AS MATERIALIZED (SELECT * FROM e WHERE Color IS NOT NULL ORDER BY {SLOT}, Id LIMIT 50000),
  q AS MATERIALIZED (SELECT DISTINCT a, b, c, d FROM e WHERE Color IS NULL),
- near AS (SELECT q.a, q.b, q.c, q.d, unnest(arg_min(struct_pack(color := t.Color, dist :=
-            sqrt((q.a - t.a) * (q.a - t.a) + (q.b - t.b) * (q.b - t.b) + (q.c - t.c) * (q.c - t.c)
-               + (q.d - t.d) * (q.d - t.d))), struct_pack(dist :=
-            sqrt((q.a - t.a) * (q.a - t.a) + (q.b - t.b) * (q.b - t.b) + (q.c - t.c) * (q.c - t.c)
-               + (q.d - t.d) * (q.d - t.d)), id := t.Id), 5)) AS x
-          FROM q, t GROUP BY 1, 2, 3, 4),
+ one AS MATERIALIZED (SELECT q.a, q.b, q.c, q.d, {_NEAREST} AS xs FROM q JOIN t ON t.b BETWEEN q.b - 300 AND q.b + 300
+          GROUP BY 1, 2, 3, 4),
+ sure AS MATERIALIZED (SELECT * FROM one WHERE len(xs) = 5 AND list_max(list_transform(xs, lambda x: x.dist)) <= 300),
+ rest AS (SELECT q.a, q.b, q.c, q.d, {_NEAREST} AS xs FROM (SELECT * FROM q EXCEPT SELECT a, b, c, d FROM sure) q, t
+          GROUP BY 1, 2, 3, 4),
+ near AS (SELECT a, b, c, d, unnest(xs) AS x FROM (SELECT * FROM sure UNION ALL SELECT * FROM rest)),
  w AS (SELECT a, b, c, d, x.color AS color, x.dist AS dist, min(x.dist) OVER (PARTITION BY a, b, c, d) AS best FROM near),
  s AS (SELECT a, b, c, d, color, sum(CASE WHEN best = 0 THEN CASE WHEN dist = 0 THEN 1.0e0 ELSE 0.0e0 END
           ELSE 1.0e0 / dist END) AS score FROM w GROUP BY 1, 2, 3, 4, 5),

@@ -19,8 +19,8 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> DataFrame:
-    """CSV with a declared schema; types are never guessed. Empty text and null stay apart."""
-    return spark.read.schema(schema).csv(path, header=header, escape='"', multiLine=False, emptyValue="")
+    """CSV with a declared schema; types are never guessed. Empty text and null stay apart; no line breaks in values."""
+    return spark.read.schema(schema).csv(path, header=header, escape='"')
 
 
 def write_table(df: DataFrame, path: str, mode: str = "error") -> None:
@@ -28,7 +28,7 @@ def write_table(df: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
-    df.write.mode(mode).csv(path, header=True, escape='"', emptyValue='""')
+    df.write.mode(mode).csv(path, header=True, escape='"')
 
 
 def write_auto(df: DataFrame, path: str, mode: str = "error") -> None:

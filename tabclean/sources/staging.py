@@ -8,14 +8,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Folder from `spark.checkpoint.dir`. Only a local session may fall back to a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tabclean-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        if app not in _local_dirs:
+            _local_dirs[app] = tempfile.mkdtemp(prefix="tabclean-")
+        base = _local_dirs[app]
     return base.rstrip("/")
 
 
