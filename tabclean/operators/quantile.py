@@ -72,8 +72,8 @@ def group_quantiles(
         fact = fact.where(keys_present(keys))
     fact = fact.selectExpr("*", f"{_log_bucket('__x')} AS __b")
 
-    hist = fact.groupBy(*keys, "__b").agg(F.expr("count(1) AS __n"), F.expr("min(__x) AS __lo"), F.expr("max(__x) AS __hi"))
-    hist = stage(hist, "hist")
+    counts = [F.expr("count(1) AS __n"), F.expr("min(__x) AS __lo"), F.expr("max(__x) AS __hi")]
+    hist = stage(fact.groupBy(*keys, "__b").agg(*counts), "hist")
     buckets, rows = hist.selectExpr("count(1)", "coalesce(sum(__n), 0)").first()
     if rows <= SMALL_ROWS:
         listed = ", ".join(f"{float(p)!r}D" for p in probs)

@@ -18,9 +18,14 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> DataFrame:
-    """CSV with a declared schema; types are never guessed. Empty text and null stay apart; no line breaks in values."""
-    return spark.read.schema(schema).csv(path, header=header, escape='"')
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType, header: bool = True, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a declared schema; types are never guessed. Empty text reads back as null.
+
+    `multi_line` allows line breaks within values, at the price of unsplit files.
+    """
+    return spark.read.schema(schema).csv(path, header=header, escape='"', multiLine=multi_line)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "error") -> None:

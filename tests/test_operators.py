@@ -313,10 +313,10 @@ def test_duplicates_and_missing(spark):
 # --- sources ------------------------------------------------------------------------
 
 
-def test_csv_keeps_null_and_empty_apart(spark, tmp_path):
-    df = spark.createDataFrame([("a,b", 1.5), ("", None), (None, 2.0), ('q"q', -0.5)], "s string, x double")
+def test_csv_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("a,b", 1.5), ("two\nlines", None), (None, 2.0), ('q"q', -0.5)], "s string, x double")
     files.write_csv(df, str(tmp_path / "t.csv"))
-    assert sorted(values(files.read_csv(spark, str(tmp_path / "t.csv"), df.schema)), key=str) == sorted(values(df), key=str)
+    assert sorted(values(files.read_csv(spark, str(tmp_path / "t.csv"), df.schema, multi_line=True)), key=str) == sorted(values(df), key=str)
 
 
 def test_jdbc_options():
