@@ -1,31 +1,27 @@
-"""Small tables written to the shared folder, so that lineage is cut and sizes are known."""
+"""Tables written to a shared folder, so that lineage is cut and sizes are known."""
 
 from __future__ import annotations
 
-import tempfile
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-_local_dirs: dict[str, str] = {}
+_SCOPES: list[list[str]] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder from `spark.checkpoint.dir`. Only a local session may fall back to a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _local_dirs:
-            _local_dirs[app] = tempfile.mkdtemp(prefix="tabclean-")
-        base = _local_dirs[app]
+    """The folder in `spark.checkpoint.dir`; where it is unset, the warehouse of the session."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return base.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str = "stage") -> str:
-    return f"{scratch_dir(spark)}/tabclean/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/tabclean/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -38,3 +34,17 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def staged_until_end(spark: SparkSession) -> Iterator[None]:
+    """Removes the folders staged within the block; results must have been written before it ends."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+        for path in paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -2,8 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
 from compare import connect, differences
+from tabclean.catalog import load
 
 FOLDER = "/root/testdata/sf0.001"
 # At this scale one sale occurs twice under the same key, so a draw may tie.
@@ -16,13 +17,14 @@ def con():
 
 
 def test_every_oracle_has_a_query():
-    assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
+    own, oracles = load()
+    assert set(own) <= set(queries())
+    assert set(own) - set(oracles) == ROWS_ONLY
 
 
-@pytest.mark.parametrize("key", sorted(oracle_sql()))
+@pytest.mark.parametrize("key", sorted(load()[1]))
 def test_query(spark, con, key):
-    assert differences(queries()[key](spark, FOLDER), con, oracle_sql()[key], loose=True) is None
+    assert differences(queries()[key](spark, FOLDER), con, load()[1][key], loose=True) is None
 
 
 def test_full_neighbour_plan_leaves_no_gap(spark):
