@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import line_dedup
+from . import line_dedup, minhash
 
 
 def load() -> tuple[dict, dict]:
-    queries = {"op10_line_dedup": line_dedup.op10}
+    queries = {
+        "op5_minhash": minhash.op5,
+        "op10_line_dedup": line_dedup.op10,
+    }
     oracles = {"op10_line_dedup": line_dedup.ORACLE}
     return queries, oracles
