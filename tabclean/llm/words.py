@@ -5,16 +5,10 @@ from __future__ import annotations
 import numpy as np
 from xxhash import xxh3_64_intdigest
 
-#: Fixed odd multipliers, from a rule: multiples of the golden ratio's 64-bit fraction, made odd.
-_GOLDEN = 0x9E3779B97F4A7C15
 #: The pattern of a word, for SQL; `bytes.split` cuts at the same six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def odd_constants(n: int, seed: int = 1) -> np.ndarray:
-    return np.array([((_GOLDEN * (2 * i + 1) + seed * 0xD1B54A32D192ED03) | 1) % 2**64 for i in range(1, n + 1)], np.uint64)
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spreads every input bit over all 64 bits; a bijection."""
     x = x ^ (x >> np.uint64(32))
@@ -24,6 +18,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def odd_constants(n: int, seed: int = 1) -> np.ndarray:
+    """`n` odd multipliers without any linear relation, so that sums of products don't coincide."""
+    return mixed(np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed << 20)) | np.uint64(1)
+
+
 def words(text: bytes | None) -> list[bytes]:
     """Words with A-Z in lower case; `bytes.lower` leaves all other letters as they are."""
     return text.lower().split() if text else []
