@@ -30,7 +30,9 @@ from .words import mixed, odd_constants, word_hashes, words
 PERCENT_EDITS = 20
 #: Items with fewer words are no passages; they match nothing.
 LEAST_WORDS = 5
-WALKS, TABLES, SAMPLES = 5, 6, 3
+WALKS, TABLES, SAMPLES = 4, 6, 3
+#: Tables in which a window and an item must agree.
+AGREE = 2
 #: At most so many items and bytes of items go out at once.
 BLOCK_ITEMS, BLOCK_BYTES = 10_000, 16 << 20
 _AT_ONCE = 400_000
@@ -107,13 +109,18 @@ class LengthClass:
             for table in range(TABLES):
                 yield mixed(sums[table] + hashes[at])
 
-    def candidates(self, hashes: np.ndarray, at: np.ndarray, ends: np.ndarray):
-        """(window number, item number) of equal keys."""
+    def candidates(self, hashes: np.ndarray, at: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+        """(window number, item number) with equal keys in at least `AGREE` tables."""
+        items = int(self.of.max()) + 1
+        met = []
         for keys, (known, order, seen) in zip(self.keys(hashes, at, ends), self.tables):
-            for i in np.flatnonzero(seen[(keys >> np.uint64(48)).astype(np.int64)]):
-                lo, hi = np.searchsorted(known, keys[i], "left"), np.searchsorted(known, keys[i], "right")
-                for k in np.unique(self.of[order[lo:hi]]):
-                    yield int(i), int(k)
+            maybe = np.flatnonzero(seen[(keys >> np.uint64(48)).astype(np.int64)])
+            lo, hi = (np.searchsorted(known, keys[maybe], side) for side in ("left", "right"))
+            n = hi - lo
+            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            met.append(np.unique(np.repeat(maybe, n) * items + self.of[order[np.repeat(lo, n) + within]]))
+        pairs, tables = np.unique(np.concatenate(met), return_counts=True)
+        return [divmod(int(x), items) for x in pairs[tables >= AGREE]]
 
 
 class Index:
@@ -160,14 +167,9 @@ class Index:
             at, docs, ends = at_all[begins], doc_of[begins], end_of[begins]
             if not len(at):
                 continue
-            tried: set = set()
             for i, k in tables.candidates(hashes, at, ends):
                 item, item_words = items[k]
                 doc = int(docs[i])
-                slot = (doc, k, int(at[i]))
-                if slot in tried:
-                    continue
-                tried.add(slot)
                 allowed = edits_allowed(len(item_words), self.percent)
                 start = int(ends[i] - lengths[doc])
                 lo = max(start, int(at[i]) - allowed)

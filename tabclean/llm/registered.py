@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import line_dedup, minhash
+from . import decontaminate, line_dedup, minhash
 
 
 def load() -> tuple[dict, dict]:
     queries = {
         "op5_minhash": minhash.op5,
+        "op7_decontaminate": decontaminate.op7,
         "op10_line_dedup": line_dedup.op10,
     }
     oracles = {"op10_line_dedup": line_dedup.ORACLE}
