@@ -180,6 +180,11 @@ class _Links:
         met = spread_join(placed, hubs, "key", spread_by="doc").where("component <> of")
         return met.select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct()
 
+    def open_pairs(self, placed: DataFrame) -> int:
+        """Pairs in the buckets that hold more than one component, at most."""
+        per = placed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        return int(per.where("lo < hi").agg(F.coalesce(F.sum(F.expr("c * (c - 1.0) / 2")), F.lit(0.0))).first()[0])
+
     def other_pairs(self, placed: DataFrame) -> DataFrame:
         """All pairs of different components in a bucket that size and sketch admit."""
         span = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
@@ -202,20 +207,32 @@ class _Links:
         return stage(confirmed(both, self.percent), "linked")
 
 
+#: Pairs of a bucket compared one by one once hubs have left so few of them, per member of a bucket.
+_PAIRS_A_MEMBER = 16
+
+
 def _components(firsts: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame | None:
-    """(node, component) of linked documents; None if there is no link."""
+    """(node, component) of linked documents; None if there is no link.
+
+    Rounds of hubs shrink large groups; the rest of the candidates are compared pair by
+    pair, at the latest when hubs link nothing more. The result is the same whenever that
+    happens.
+    """
     found, labels, turn = _Links(firsts, docs, shingle, percent), None, 0
+    members = found.members.count()
     while True:
         placed = stage(found.placed(labels), "placed")
-        new = found.links(found.hub_pairs(placed, turn))
-        swept = new.isEmpty()
-        if swept:
-            new = found.links(found.other_pairs(placed))
+        last = found.open_pairs(placed) <= _PAIRS_A_MEMBER * members
+        new = found.links(found.other_pairs(placed) if last else found.hub_pairs(placed, turn))
+        if new.isEmpty():
+            if last:
+                return labels
+            new, last = found.links(found.other_pairs(placed)), True
             if new.isEmpty():
                 return labels
         edges = new if labels is None else new.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
         labels, turn = stage(connected_components(edges), "labels"), turn + 1
-        if swept:
+        if last:
             return labels
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, minhash
+from . import decontaminate, language, line_dedup, minhash, mixing
 
 
 def load() -> tuple[dict, dict]:
     queries = {
+        "op3_language_id": language.op3,
         "op5_minhash": minhash.op5,
         "op7_decontaminate": decontaminate.op7,
+        "op8_mixing": mixing.op8,
         "op10_line_dedup": line_dedup.op10,
     }
     oracles = {"op10_line_dedup": line_dedup.ORACLE}
