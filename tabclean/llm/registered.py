@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, line_dedup, minhash, mixing
+from . import decontaminate, language, line_dedup, minhash, mixing, warc
 
 
 def load() -> tuple[dict, dict]:
@@ -11,7 +11,8 @@ def load() -> tuple[dict, dict]:
         "op5_minhash": minhash.op5,
         "op7_decontaminate": decontaminate.op7,
         "op8_mixing": mixing.op8,
+        "op9_warc": warc.op9,
         "op10_line_dedup": line_dedup.op10,
     }
-    oracles = {"op10_line_dedup": line_dedup.ORACLE}
+    oracles = {"op9_warc": warc.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
     return queries, oracles
