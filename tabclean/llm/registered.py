@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, line_dedup, minhash, mixing, warc
+from . import chat, decontaminate, kdtree, language, line_dedup, minhash, mixing, tokens, warc
 
 
 def load() -> tuple[dict, dict]:
     queries = {
+        "op1_chat_format": chat.op1,
+        "op2_kdtree_topk": kdtree.op2,
         "op3_language_id": language.op3,
+        "op4_token_counts": tokens.op4,
         "op5_minhash": minhash.op5,
         "op7_decontaminate": decontaminate.op7,
         "op8_mixing": mixing.op8,
         "op9_warc": warc.op9,
         "op10_line_dedup": line_dedup.op10,
     }
-    oracles = {"op9_warc": warc.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
+    oracles = {
+        "op1_chat_format": chat.ORACLE, "op2_kdtree_topk": kdtree.ORACLE,
+        "op9_warc": warc.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
     return queries, oracles
