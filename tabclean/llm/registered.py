@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, kdtree, language, line_dedup, minhash, mixing, tokens, warc
+from . import chat, decontaminate, kdtree, language, licenses, line_dedup, minhash, mixing, tokens, warc
 
 
 def load() -> tuple[dict, dict]:
@@ -12,6 +12,7 @@ def load() -> tuple[dict, dict]:
         "op3_language_id": language.op3,
         "op4_token_counts": tokens.op4,
         "op5_minhash": minhash.op5,
+        "op6_license_scan": licenses.op6,
         "op7_decontaminate": decontaminate.op7,
         "op8_mixing": mixing.op8,
         "op9_warc": warc.op9,
