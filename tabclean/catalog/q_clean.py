@@ -11,7 +11,7 @@ from ..plans import insights
 from ..plans.employees import DEPT_DISPLAY
 from ..plans.sales import AUDIT_RULES, CleanConfig, DRAW_KEYS, audit, before_imputation, clean_sales
 from .registry import query
-from .views import IMPUTED, SALES_COLUMNS, SLOT, Views, text as quoted, title
+from .views import IMPUTED, SALES_COLUMNS, Views, draw, text as quoted, title
 
 _ALL = ", ".join(SALES_COLUMNS)
 
@@ -298,7 +298,8 @@ def draw_sql(col: str, source: str, keep: str = "s.Id") -> str:
         sum(count(*)) OVER (PARTITION BY Make, Body, Year) AS tot
       FROM {source} WHERE {col} IS NOT NULL GROUP BY 1, 2, 3, 4) d
     ON s.{col} IS NULL AND s.Make = d.Make AND s.Body = d.Body AND s.Year = d.Year
-      AND {SLOT.replace('Id', 's.Id')} * d.tot >= (d.hi - d.n) * 1000003 AND {SLOT.replace('Id', 's.Id')} * d.tot < d.hi * 1000003"""
+      AND {draw(col, 's.Id')} * d.tot >= (d.hi - d.n)::HUGEINT * (1::HUGEINT << 60)
+      AND {draw(col, 's.Id')} * d.tot < d.hi::HUGEINT * (1::HUGEINT << 60)"""
 
 
 @query("impute_conditional", draw_sql("Color", "c6"), ("c6",))
@@ -339,7 +340,7 @@ WITH mk AS (SELECT Make, dense_rank() OVER (ORDER BY Make) - 1 AS mcode
         coalesce(Odometer, (SELECT median(Odometer) FROM e0))::double AS b,
         coalesce(mcode, (SELECT median(mcode) FROM e0))::double AS c,
         coalesce(bcode, (SELECT median(bcode) FROM e0))::double AS d FROM e0),
- t AS MATERIALIZED (SELECT * FROM e WHERE Color IS NOT NULL ORDER BY {SLOT}, Id LIMIT 50000),
+ t AS MATERIALIZED (SELECT * FROM e WHERE Color IS NOT NULL ORDER BY {draw('sample')}, Id LIMIT 50000),
  q AS MATERIALIZED (SELECT DISTINCT a, b, c, d FROM e WHERE Color IS NULL),
  one AS MATERIALIZED (SELECT q.a, q.b, q.c, q.d, {_NEAREST} AS xs FROM q JOIN t ON t.b BETWEEN q.b - 300 AND q.b + 300
           GROUP BY 1, 2, 3, 4),

@@ -10,7 +10,7 @@ from ..operators.repair import SHIFTED_VALUES
 from ..plans.employees import clean_employees
 from ..plans.sales import first_clean, prepare_sales
 from .registry import query
-from .views import CONDITION_BAND, LEVEL, PRICE_BAND, SALARY_BAND, SLOT, TENURE_DATE, Views, title
+from .views import CONDITION_BAND, LEVEL, PRICE_BAND, SALARY_BAND, TENURE_DATE, Views, draw, title
 
 KEYS = ["Id", "Make", "Body", "Transmission"]
 _KEYS = ", ".join(KEYS)
@@ -76,7 +76,7 @@ def _(v: Views):
     return filters.quantile_trim(v.sales.select("Id", "SellingPrice"), "SellingPrice")
 
 
-@query("sample_n", f"SELECT Id, MMR, SellingPrice FROM sales WHERE MMR IS NOT NULL ORDER BY {SLOT}, Id LIMIT 6000")
+@query("sample_n", f"SELECT Id, MMR, SellingPrice FROM sales WHERE MMR IS NOT NULL ORDER BY {draw('sample')}, Id LIMIT 6000")
 def _(v: Views):
     return filters.sample_n(v.sales.where("MMR IS NOT NULL").select("Id", "MMR", "SellingPrice"), 6000, "Id")
 

@@ -176,7 +176,10 @@ def values(rows, name: str, cols: str) -> str:
     return f"SELECT * FROM (VALUES {body}) AS {name}({cols})"
 
 
-SLOT = "(((Id % 1000003) * 7919 + 42) % 1000003)"
+def draw(purpose: str, key: str = "Id") -> str:
+    return f"('0x' || substr(md5('42|{purpose}|' || {key}), 1, 15))::HUGEINT"
+
+
 DASH_LIST = "('---', '—', '–', '———')"
 IMPUTED = ["Make", "Model", "Trim", "Body", "Color", "Interior", "Transmission", "Odometer", "ConditionValue"]
 

@@ -77,14 +77,20 @@ def tenure_years(c: Column | str, ref: str) -> Column:
     return F.bround(F.datediff(F.to_date(F.lit(ref)), col(c)) / F.lit(365.25), 0).cast("int")
 
 
-_DRAW_SLOTS = 1000003
+DRAW_BITS = 60
 
 
-def draw_slot(key: Column | str, seed: int = 42) -> Column:
-    """A repeatable pseudo-random integer from 0 to 1000002, a function of the key alone."""
-    return F.pmod(F.pmod(col(key), F.lit(_DRAW_SLOTS)) * 7919 + seed, F.lit(_DRAW_SLOTS))
+def draw(key: Column | str, purpose: str, seed: int = 42) -> Column:
+    """A repeatable pseudo-random integer of `DRAW_BITS` bits from key, purpose and seed.
 
+    The leading digits of an MD5 hash of their texts: any type of key will do, draws of
+    different purposes are independent, and near keys are as far apart as others. A null
+    key draws like an empty text.
+    """
+    text = F.concat(F.lit(f"{seed}|{purpose}|"), F.coalesce(col(key).cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text), 1, DRAW_BITS // 4), 16, 10).cast("bigint")
 
-def unit_draw(key: Column | str, seed: int = 42) -> Column:
-    """`draw_slot` scaled to [0, 1). Does not depend on the partitioning."""
-    return draw_slot(key, seed) / F.lit(float(_DRAW_SLOTS))
+
+def unit_draw(key: Column | str, purpose: str, seed: int = 42) -> Column:
+    """`draw` scaled to [0, 1). Does not depend on the partitioning."""
+    return draw(key, purpose, seed) / F.lit(float(1 << DRAW_BITS))

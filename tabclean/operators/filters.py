@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import draw_slot
+from ..functions.numeric import DRAW_BITS, draw
 from ..functions.text import any_of
 from .quantile import approx_quantiles, quantile_values
 
@@ -68,26 +68,32 @@ def quantile_trim(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99, a
     return df.where(F.col(col).between(F.lit(low), F.lit(high)))
 
 
+_BIN_BITS = 10
+
+
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """min(n, count) rows, the same for every partitioning.
+    """min(n, count) rows, the same for every partitioning; rows with a null key are drawn alike.
 
-    Rows are ranked by a number drawn from their key. Two histograms of the draws, of
-    1,001 blocks and of the draws in one block, give the smallest draw that leaves n
-    rows, so the final sort sees little more than n rows, however large the table is.
+    Rows are ranked by a number drawn from their key. Two histograms of the leading bits
+    of the draws, of 1,024 bins and of as many within one of them, give a bound that
+    leaves n rows and at most a millionth of the table besides, before the final sort.
     """
-    drawn = df.withColumn("__slot", draw_slot(key, seed))
-    block = F.floor(F.col("__slot") / 1000)
-    before, at = _reaches(drawn.groupBy(block.alias("at")).agg(F.count(F.lit(1)).alias("n")), n)
-    if at is not None:
-        slots = drawn.where(block == at).groupBy(F.col("__slot").alias("at")).agg(F.count(F.lit(1)).alias("n"))
-        _, limit = _reaches(slots, n - before)
-        drawn = drawn.where(F.col("__slot") <= limit)
-    return drawn.orderBy("__slot", key).limit(n).drop("__slot")
-
-
-def _reaches(hist: DataFrame, n: int) -> tuple[int, int | None]:
-    """Rows before the bin in which a running count reaches n, and that bin. At most 1,001 bins."""
-    seen = 0
+    drawn = df.withColumn("__draw", draw(key, "sample", seed))
+    low, shift, before = 0, DRAW_BITS, 0
+    for _ in range(2):
+        shift -= _BIN_BITS
+        inside = drawn.where(F.col("__draw").between(low, low + (1 << (shift + _BIN_BITS)) - 1))
+        at = F.shiftright("__draw", shift)
+        before, found = _reaches(inside.groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n")), n, before)
+        if found is None:
+            return drawn.drop("__draw")  # no more than n rows in all
+        low = found << shift
+    drawn = drawn.where(F.col("__draw") < low + (1 << shift))
+    return drawn.orderBy("__draw", key).limit(n).drop("__draw")
+
+
+def _reaches(hist: DataFrame, n: int, seen: int) -> tuple[int, int | None]:
+    """Rows before the bin in which a running count from `seen` on reaches n, and that bin. At most 1,024 bins."""
     for row in hist.orderBy("at").collect():
         if seen + row["n"] >= n:
             return seen, row["at"]

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import _DRAW_SLOTS, draw_slot
+from ..functions.numeric import DRAW_BITS, draw
 from ..functions.text import all_null, any_of, is_blank, title_case
 from ..sources.staging import stage
 from .filters import FLAG_IMPUTED, FLAG_NON_IMPUTABLE, is_clean, sample_n
@@ -169,8 +169,8 @@ def impute_conditional(
 ) -> DataFrame:
     """Draw missing values from their distribution within the group; unseen groups stay null.
 
-    The draw is a function of the row's key. Values of a group own consecutive ranges
-    of draws. The range of draws is cut into slices that join along with the keys, so
+    The draw is a function of the row's key and the column, so columns are drawn
+    independently. Values of a group own consecutive ranges of draws. The range of draws is cut into slices that join along with the keys, so
     a hot group is spread over the slices and a row meets few candidates.
     """
     counts = df.where(keys_present([*keys, col])).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n"))
@@ -191,16 +191,17 @@ def impute_conditional(
             )
         ),
     )
-    slot = F.when(F.col(col).isNull(), draw_slot(row_key, seed))
-    drawn = df.withColumn("__slot", slot).withColumn("__slice", F.floor(F.col("__slot") * _SLICES / _DRAW_SLOTS))
-    # Whole numbers on both sides: no draw can fall between two ranges.
-    scaled = F.col("__slot") * total
-    hit = (scaled >= (hi - n) * _DRAW_SLOTS) & (scaled < hi * _DRAW_SLOTS)
+    drawn = df.withColumn("__draw", F.when(F.col(col).isNull(), draw(row_key, col, seed)))
+    drawn = drawn.withColumn("__slice", F.shiftright("__draw", DRAW_BITS - _SLICES.bit_length() + 1))
+    # Whole numbers of 38 digits on both sides: no draw can fall between two ranges, none overflows.
+    whole = lambda c: c.cast("decimal(19,0)")
+    scaled, slots = whole(F.col("__draw")) * whole(total), F.lit(1 << DRAW_BITS).cast("decimal(19,0)")
+    hit = (scaled >= whole(hi - n) * slots) & (scaled < whole(hi) * slots)
     out = lookup_join(drawn, ranges, [*keys, "__slice"], extra=hit)
     cols = {col: F.coalesce(F.col(col), F.col("__value"))}
     if mark:
         cols[mark] = F.col("__value").isNotNull()
-    return out.withColumns(cols).drop("__slot", "__slice", "__value", "__n", "__hi", "__total")
+    return out.withColumns(cols).drop("__draw", "__slice", "__value", "__n", "__hi", "__total")
 
 
 # --- label codes --------------------------------------------------------------------

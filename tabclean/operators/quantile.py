@@ -4,9 +4,10 @@
 range is narrowed first: a histogram on logarithmic buckets (a small table after
 map-side combining) tells which bucket holds each wanted rank; only rows of those
 buckets are looked at again, on a finer grid, and only the values of single grid
-cells are finally ranked. Results are exact: linear interpolation between the two
-neighbouring ranks. Once the histogram shows that there are no more than `SMALL_ROWS`
-values in all, `percentile` may as well do the rest.
+cells are finally ranked, after as many further grids as it takes until no cell holds
+many different values. Results are exact for doubles: linear interpolation between the
+two neighbouring ranks. Other numbers are taken as doubles, so whole numbers beyond 2**53
+and long decimals count as the nearest double.
 
 So a quantile reads the table twice and shuffles next to nothing. The passes run when
 the plan is built; their small results are written to the shared folder.
@@ -22,8 +23,8 @@ from .joins import MAX_BROADCAST_ROWS, keys_present
 
 _PER_OCTAVE = 64
 _CELLS = 4096
-# As many values as all buffers of `percentile` together may hold.
-SMALL_ROWS = 1_000_000
+# Different values of a cell that are ranked in one task.
+CELL_VALUES = 100_000
 # Lifts the smallest exponent of a double above zero, so that buckets keep their sign.
 _LIFT = 1075 * _PER_OCTAVE + 1
 
@@ -74,63 +75,57 @@ def group_quantiles(
 
     counts = [F.expr("count(1) AS __n"), F.expr("min(__x) AS __lo"), F.expr("max(__x) AS __hi")]
     hist = stage(fact.groupBy(*keys, "__b").agg(*counts), "hist")
-    buckets, rows = hist.selectExpr("count(1)", "coalesce(sum(__n), 0)").first()
-    if rows <= SMALL_ROWS:
-        listed = ", ".join(f"{float(p)!r}D" for p in probs)
-        found = fact.groupBy(*keys).agg(F.expr(f"percentile(__x, array({listed})) AS __q"))
-        return found.selectExpr(*[f"`{k}`" for k in keys], *[f"__q[{i}] AS `{n}`" for i, n in enumerate(names)])
-    # At most two buckets per quantile and group are wanted.
+    # At most two buckets or cells per quantile and group are wanted.
     bound = 1 if not keys else groups_at_most
-    small = min(buckets, 2 * len(probs) * bound if bound else buckets) <= MAX_BROADCAST_ROWS
+    small = (2 * len(probs) * bound if bound else hist.count()) <= MAX_BROADCAST_ROWS
+    quoted = [f"`{k}`" for k in keys]
 
     def hint(frame: DataFrame) -> DataFrame:
         return F.broadcast(frame) if small else frame
 
     def over(*part: str) -> str:
-        return "PARTITION BY " + ", ".join([f"`{k}`" for k in keys] + list(part) or ["0"])
+        return "PARTITION BY " + ", ".join([*quoted, *part] or ["0"])
 
-    buckets = (
-        hist.selectExpr(
-            *[f"`{k}`" for k in keys], "__b", "__lo", "__hi", "__n",
-            f"sum(__n) OVER ({over()} ORDER BY __b ROWS UNBOUNDED PRECEDING) - __n AS __start",
-            f"sum(__n) OVER ({over()}) AS __total",
-        )
+    # A cell is named by the number of values of its group below it.
+    start = "__start + sum(__n) OVER ({} ORDER BY {} ROWS UNBOUNDED PRECEDING) - __n AS __start"
+    wanted = (
+        hist.withColumn("__start", F.lit(0))
+        .selectExpr(*quoted, "__b", "__lo", "__hi", "__n", start.format(over(), "__b"), f"sum(__n) OVER ({over()}) AS __total")
         .where(_wanted(probs))
         .drop("__n")
     )
-    counts = [F.expr("count(1) AS __n"), F.expr("min(__start) AS __start"), F.expr("min(__total) AS __total")]
-    values = stage(
-        fact.join(hint(buckets), [*keys, "__b"])
-        .selectExpr("*", f"{_cell('__x', '__lo', '__hi')} AS __c")
-        .groupBy(*keys, "__b", "__c", "__x")
-        .agg(*counts),
-        "values",
-    )
+    counts = [F.expr("count(1) AS __n"), F.expr("min(__total) AS __total")]
+    values = fact.join(hint(wanted.drop("__lo", "__hi")), [*keys, "__b"]).groupBy(*keys, "__start", "__x").agg(*counts)
+    values = stage(values, "values")
+    wanted = wanted.select(*keys, "__start", "__lo", "__hi")
+    while True:
+        most = values.groupBy(*keys, "__start").agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0]
+        if (most or 0) <= CELL_VALUES:
+            break
+        celled = values.join(hint(wanted), [*keys, "__start"]).selectExpr("*", f"{_cell('__x', '__lo', '__hi')} AS __c")
+        sizes = [F.expr("sum(__n) AS __n"), F.expr("min(__total) AS __total"), F.expr("min(__x) AS __lo"), F.expr("max(__x) AS __hi")]
+        cells = (
+            celled.groupBy(*keys, "__start", "__c")
+            .agg(*sizes)
+            .selectExpr(*quoted, "__start AS __above", "__c", "__n", "__total", "__lo", "__hi", start.format(over("__start"), "__c"))
+            .where(_wanted(probs))
+        )
+        cells = stage(cells.select(*keys, "__above", "__c", "__start", "__lo", "__hi"), "cells")
+        celled = celled.drop("__lo", "__hi").withColumnRenamed("__start", "__above")
+        values = stage(celled.join(hint(cells.drop("__lo", "__hi")), [*keys, "__above", "__c"]).drop("__above", "__c"), "values")
+        wanted = cells.drop("__above", "__c")
 
-    counts[0] = F.expr("sum(__n) AS __n")
-    start = "__start + sum(__n) OVER ({} ORDER BY {} ROWS UNBOUNDED PRECEDING) - __n AS __start"
-    cells = (
-        values.groupBy(*keys, "__b", "__c")
-        .agg(*counts)
-        .selectExpr(*[f"`{k}`" for k in keys], "__b", "__c", "__n", "__total", start.format(over("__b"), "__c"))
-        .where(_wanted(probs))
-        .select(*keys, "__b", "__c", "__start")
-    )
-    ranked = (
-        values.drop("__start")
-        .join(hint(cells), [*keys, "__b", "__c"])
-        .selectExpr(*[f"`{k}`" for k in keys], "__x", "__n", "__total", start.format(over("__b", "__c"), "__x"))
-    )
+    ranked = values.selectExpr(*quoted, "__x", "__n", "__total", start.format(over("__start"), "__x"))
     picks = [
         F.expr(f"max(CASE WHEN {_holds(f'{side}{_position(p)}')} THEN __x END) AS __{side}{i}")
         for i, p in enumerate(probs) for side in ("floor", "ceil")
     ]
     found = ranked.groupBy(*keys).agg(F.expr("max(__total) AS __total"), *picks)
-    out = [
-        f"__floor{i} + (__ceil{i} - __floor{i}) * ({_position(p)} - floor{_position(p)}) AS `{name}`"
-        for i, (p, name) in enumerate(zip(probs, names))
-    ]
-    return found.selectExpr(*[f"`{k}`" for k in keys], *out)
+    out = []
+    for i, (p, name) in enumerate(zip(probs, names)):
+        part = f"({_position(p)} - floor{_position(p)})"
+        out.append(f"CASE WHEN __floor{i} = __ceil{i} THEN __floor{i} ELSE __floor{i} * (1 - {part}) + __ceil{i} * {part} END AS `{name}`")
+    return found.selectExpr(*quoted, *out)
 
 
 def group_median(

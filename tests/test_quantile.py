@@ -1,4 +1,4 @@
-"""Exact quantiles on both ways, against numpy."""
+"""Exact quantiles against numpy."""
 
 import numpy as np
 import pytest
@@ -10,9 +10,9 @@ PROBS = [0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0]
 NAMES = [f"p{i}" for i in range(len(PROBS))]
 
 
-@pytest.fixture(params=[0, 1_000_000], ids=["narrowing", "builtin"])
+@pytest.fixture(params=[3, 100_000], ids=["grids", "buckets"])
 def limit(request, monkeypatch):
-    monkeypatch.setattr(quantile, "SMALL_ROWS", request.param)
+    monkeypatch.setattr(quantile, "CELL_VALUES", request.param)
 
 
 def groups():
@@ -25,11 +25,12 @@ def groups():
         "pair": np.array([-2.0, 1e12]),
         "negative": -np.abs(rng.normal(1000, 1, 400)),
         "zeros": np.array([0.0, -0.0, 0.0]),
+        "clustered": np.append(1e9 + np.arange(400) * 1e-7, 1.005e9),
         "close": 1e9 + np.arange(300) * 1e-6,
     }
 
 
-@pytest.mark.parametrize("known", [None, 8])
+@pytest.mark.parametrize("known", [None, 9])
 def test_groups(spark, limit, known):
     rows = [(k, float(x)) for k, xs in groups().items() for x in xs]
     rows += [(None, 1.0), ("normal", None), ("normal", float("nan")), ("empty", None)]
@@ -47,7 +48,7 @@ def test_whole_column(spark, limit):
 
 
 def test_no_broadcast_beyond_the_bound(spark, monkeypatch):
-    monkeypatch.setattr(quantile, "SMALL_ROWS", 0)
+    monkeypatch.setattr(quantile, "CELL_VALUES", 10)
     monkeypatch.setattr(quantile, "MAX_BROADCAST_ROWS", 1)
     df = spark.range(1000).selectExpr("id % 3 AS k", "cast(id AS double) AS x")
     found = dict(group_quantiles(df, ["k"], "x", [0.5], ["m"]).collect())
