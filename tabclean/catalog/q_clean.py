@@ -115,7 +115,7 @@ def _(v: Views):
 )
 def _(v: Views):
     dim = impute.prefix_dimension(v.spark)
-    return repair.apply_aliases_validated(v.sales, dim, known_small=True).select("Id", "VIN", "Make")
+    return repair.apply_aliases_validated(v.sales, dim).select("Id", "VIN", "Make")
 
 
 @query(

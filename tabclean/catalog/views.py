@@ -21,7 +21,8 @@ TENURE_DATE = "2003-01-01"
 
 SALES = """
 SELECT
-  ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS Id,
+  concat_ws('-', cast(l_orderkey AS string), cast(l_linenumber AS string), cast(l_partkey AS string),
+            cast(l_suppkey AS string)) AS Id,
   cast(year(o_orderdate) - l_partkey % 12 AS int) AS Year,
   CASE WHEN l_partkey % 53 = 0 THEN NULL
        WHEN l_partkey % 47 = 0 THEN 'ford truck'
@@ -46,11 +47,11 @@ SELECT
        WHEN l_partkey % 106 = 0 THEN NULL
        ELSE concat(CASE l_suppkey % 4 WHEN 0 THEN '3vw' WHEN 1 THEN '1ft'
                                       WHEN 2 THEN 'jtd' ELSE 'zzz' END,
-                   lpad(cast(l_orderkey AS string), 7, '0'),
-                   lpad(cast(l_partkey AS string), 7, '0')) END AS VIN,
+                   lpad(cast(l_orderkey AS string), cast(greatest(7, length(cast(l_orderkey AS string))) AS int), '0'),
+                   lpad(cast(l_partkey AS string), cast(greatest(7, length(cast(l_partkey AS string))) AS int), '0')) END AS VIN,
   CASE WHEN l_orderkey % 97 = 5
-       THEN concat('3vw', lpad(cast(l_orderkey AS string), 7, '0'),
-                   lpad(cast(l_partkey AS string), 7, '0'))
+       THEN concat('3vw', lpad(cast(l_orderkey AS string), cast(greatest(7, length(cast(l_orderkey AS string))) AS int), '0'),
+                   lpad(cast(l_partkey AS string), cast(greatest(7, length(cast(l_partkey AS string))) AS int), '0'))
        ELSE substr('caflpatxga', cast((s_nationkey % 5) * 2 + 1 AS int), 2) END AS State,
   CASE WHEN l_linenumber = 5 THEN NULL ELSE l_quantity END AS ConditionValue,
   CASE WHEN l_orderkey % 101 = 7 THEN cast(999999 AS double)

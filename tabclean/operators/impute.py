@@ -11,7 +11,7 @@ from ..functions.numeric import DRAW_BITS, draw
 from ..functions.text import all_null, any_of, is_blank, title_case
 from ..sources.staging import stage
 from .filters import FLAG_IMPUTED, FLAG_NON_IMPUTABLE, is_clean, sample_n
-from .joins import keys_present, lookup_join
+from .joins import keys_present, lookup_join, prefix_rows
 from .profile import melt, unfold
 from .quantile import group_quantiles
 
@@ -95,15 +95,22 @@ def impute_from_prefix(
     second: str = "Body",
     mark: str | None = None,
 ) -> DataFrame:
-    """Fill `first` from the prefix of the code, and `second` where both are missing."""
-    known_small = dim is None
-    if dim is None:
+    """Fill `first` from the prefix of the code, and `second` where both are missing.
+
+    `dim` is a table (code, make, body) of your own. It is treated as the literal one is:
+    codes of three characters, makes spelled as the cleaned table spells them; of rows with
+    the same code the smallest counts.
+    """
+    literal = dim is None
+    if literal:
         dim = prefix_dimension(df.sparkSession)
+    else:
+        dim = prefix_rows(dim.withColumn("make", title_case("make")))
     dim = dim.select(
         F.col("code").alias("__code"), F.col("make").alias("__first"), F.col("body").alias("__second")
     )
     prefix = F.when(F.col(first).isNull(), F.upper(F.substring(code, 1, 3)))
-    out = lookup_join(df.withColumn("__code", prefix), dim, ["__code"], known_small=known_small)
+    out = lookup_join(df.withColumn("__code", prefix), dim, ["__code"], literal=literal)
     cols = {
         first: F.coalesce(F.col(first), F.col("__first")),
         second: F.coalesce(F.col(second), F.col("__second")),
@@ -235,9 +242,11 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 # --- nearest neighbours -------------------------------------------------------------
 
-# Width of the first search band, in average distances between training rows; then growth per level.
-_FIRST_BAND = 8
+# Training rows of a search band on the first level; then growth per level.
+_FIRST_BAND = 32
 _BAND_GROWTH = 8
+# Lower edges of bands are looked up in two steps of about this many.
+_EDGE_STEP = 40
 
 
 def impute_knn(
@@ -258,9 +267,11 @@ def impute_knn(
     the median. Exact matches outvote everything else; ties go to the smallest label.
 
     Instead of all pairs, a row first meets the training rows in its own and the two
-    neighbouring bands of the widest feature. If the k-th of them is nearer than one
-    band, no other row can be nearer, and the row is done; the rest goes on with wider
-    bands until one covers everything. Equal feature vectors are searched only once.
+    neighbouring bands of the feature with the widest spread. Bands hold equally many
+    training rows, so one far value changes nothing. If the k-th of them is nearer than the
+    edges of the three bands, no other row can be nearer, and the row is done; the rest goes
+    on with wider bands until three cover everything. Equal feature vectors are searched
+    only once, and rows whose target is known take no part in the join of the votes.
     """
     numeric = numeric or ["Year", "Odometer"]
     categorical = ["Make", "Body"] if categorical is None else categorical
@@ -304,12 +315,30 @@ def impute_knn(
     ask = stage(ask, "ask")
 
     votes = _nearest_votes(ask, train, vector, feats, block_on, k)
-    # Features are never null here, so the vector itself is the key.
-    out = lookup_join(complete(encode(df)), votes.withColumnRenamed("label", "__vote"), vector)
+    # Features are never null here, so the vector itself is the key; null for rows that need no vote.
+    keys = [f"__key_{i}" for i in range(len(vector))]
+    asking = complete(encode(df))
+    asking = asking.withColumns({k: F.when(F.col(target).isNull(), F.col(c)) for k, c in zip(keys, vector)}).drop(*feats)
+    out = lookup_join(asking, votes.select(*[F.col(c).alias(k) for k, c in zip(keys, vector)], F.col("label").alias("__vote")), keys)
     cols = {target: F.coalesce(F.col(target), F.col("__vote"))}
     if mark:
         cols[mark] = F.col(target).isNull() & F.col("__vote").isNotNull()
-    return out.withColumns(cols).drop("__vote", *feats)
+    return out.withColumns(cols).drop("__vote", *keys)
+
+
+def _band_of(x: Column, edges: list[float]) -> Column:
+    """The last band whose lower edge is not above x; 0 below all. Looked up in two short lists."""
+    parts = [edges[i : i + _EDGE_STEP] for i in range(0, len(edges), _EDGE_STEP)]
+    lists = F.array(*[F.array(*[F.lit(e) for e in p]) for p in parts])
+    upto = lambda a: F.size(F.filter(a, lambda e: e <= x))
+    part = F.greatest(upto(F.array(*[F.lit(p[0]) for p in parts])), F.lit(1))
+    return F.greatest((part - 1) * _EDGE_STEP + upto(F.get(lists, part - 1)) - 1, F.lit(0)).cast("bigint")
+
+
+def _edge(edges: list[float], at: Column, there: Column, distance) -> Column:
+    """`distance` to the edge numbered `at`; infinite where there is none."""
+    listed = F.array(*[F.lit(e) for e in edges])
+    return F.when(there, distance(F.get(listed, at.cast("int")))).otherwise(F.lit(float("inf")))
 
 
 def _nearest_votes(
@@ -318,47 +347,55 @@ def _nearest_votes(
     # One row of statistics of the training sample picks the feature to band on.
     ranges = train.agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.min(f"__t{f}").alias(f"lo{i}") for i, f in enumerate(feats)],
-        *[F.max(f"__t{f}").alias(f"hi{i}") for i, f in enumerate(feats)],
+        *[(F.max(f"__t{f}") - F.min(f"__t{f}")).alias(f"spread{i}") for i, f in enumerate(feats)],
     ).first()
     if not ranges["n"]:
         return ask.drop("__q").withColumn("label", F.lit(None).cast("string"))
-    spreads = [ranges[f"hi{i}"] - ranges[f"lo{i}"] for i in range(len(feats))]
-    axis = max(range(len(feats)), key=spreads.__getitem__)
-    lo, hi, spread, name = ranges[f"lo{axis}"], ranges[f"hi{axis}"], spreads[axis], feats[axis]
-
-    widths = [spread / ranges["n"] * _FIRST_BAND]
-    while 0 < widths[-1] <= spread:
-        widths.append(widths[-1] * _BAND_GROWTH)
-    if widths[-1] <= spread:
-        widths = [1.0]  # no spread at all: everything lies in one band
-
-    asking, done = ask, None
-    for level, width in enumerate(widths):
-        last = level == len(widths) - 1
-        at = F.least(F.greatest(F.col(name), F.lit(lo)), F.lit(hi))
-        asked = ask.withColumn("__band", F.floor((at - lo) / width))
-        band = F.floor((F.col(f"__t{name}") - lo) / width)
-        offered = train.withColumn("__tband", F.explode(F.array(band - 1, band, band + 1)))
-        test = F.col("__band") == F.col("__tband")
+    axis = feats[max(range(len(feats)), key=lambda i: ranges[f"spread{i}"])]
+    # The sample is bounded, so ranking it in one task and listing every 32nd value is, too.
+    in_order = Window.orderBy(f"__t{axis}", "__id")
+    train = train.withColumn("__cell", F.floor((F.row_number().over(in_order) - 1) / _FIRST_BAND).cast("bigint"))
+    train = stage(train, "train")
+    edges = train.groupBy("__cell").agg(F.min(f"__t{axis}").alias("lo")).orderBy("__cell").collect()
+    edges = [float(r["lo"]) for r in edges]
+
+    asking, done, size = ask, None, 1
+    while True:
+        own = edges[::size]
+        last = len(own) <= 3
+        asked = ask.withColumn("__band", _band_of(F.col(axis), own))
+        # How far the three bands reach on either side; without end where no band follows.
+        reach = F.least(
+            _edge(own, F.col("__band") - 1, F.col("__band") >= 2, lambda e: F.col(axis) - e),
+            _edge(own, F.col("__band") + 2, F.col("__band") + 2 < len(own), lambda e: e - F.col(axis)),
+        )
+        asked = asked.withColumn("__reach", reach)
+        band = F.floor(F.col("__cell") / size).cast("bigint")
+        if last:  # three bands at most: every row is offered once
+            offered, test = train, F.lit(True)
+        else:
+            offered = train.withColumn("__tband", F.explode(F.array(band - 1, band, band + 1)))
+            test = F.col("__band") == F.col("__tband")
         for b in block_on:
             test &= F.col(b) == F.col(f"__t_{b}")
         squares = [(F.col(f) - F.col(f"__t{f}")) * (F.col(f) - F.col(f"__t{f}")) for f in feats]
         distance = F.sqrt(reduce(lambda a, b: a + b, squares))
-        pairs = asked.join(offered, test).select("__q", "__id", "__label", distance.alias("__d"))
+        pairs = asked.join(offered, test).select("__q", "__reach", "__id", "__label", distance.alias("__d"))
         nearest = Window.partitionBy("__q").orderBy("__d", "__id")
         near = pairs.withColumn("__r", F.row_number().over(nearest)).where(F.col("__r") <= k)
         found = near.groupBy("__q").agg(
-            F.count(F.lit(1)).alias("__found"), F.max("__d").alias("__reach"),
+            F.count(F.lit(1)).alias("__found"), F.max("__d").alias("__far"), F.min("__reach").alias("__reach"),
             F.collect_list(F.struct("__d", "__label")).alias("__near"),
         )
-        found = stage(found if last else found.where((F.col("__found") == k) & (F.col("__reach") <= width)), "near")
+        sure = (F.col("__found") == k) & (F.col("__far") < F.col("__reach"))
+        found = stage((found if last else found.where(sure)).drop("__far", "__reach"), "near")
         done = found if done is None else done.unionByName(found)
         if last:
             break
         ask = stage(ask.join(found, "__q", "left_anti"), "ask")
         if ask.isEmpty():
             break
+        size *= _BAND_GROWTH
 
     near = done.select("__q", F.array_min(F.col("__near")["__d"]).alias("__best"), F.explode("__near").alias("__x"))
     weight = F.when(F.col("__best") == 0, F.when(F.col("__x.__d") == 0, 1.0).otherwise(0.0)).otherwise(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import any_of, icontains, imatches, map_values, strip
-from .joins import lookup_join
+from .joins import lookup_join, one_per_key, prefix_rows
 from .profile import melt, string_columns
 from .quantile import group_quantiles, median_value
 
@@ -87,10 +87,11 @@ def split_by_lookup(
 ) -> DataFrame:
     """Split a concatenated value with a table of its lower-cased spelling.
 
-    `table` is a short mapping, or a DataFrame (raw, first, second) for a long one.
+    `table` is a short mapping, or a DataFrame (raw, first, second) for a long one; of rows
+    with the same lower-cased `raw` the smallest counts.
     """
     if isinstance(table, DataFrame):
-        dim = table.toDF("__raw", "__first", "__second")
+        dim = one_per_key(table.toDF("__raw", "__first", "__second").withColumn("__raw", F.lower("__raw")), ["__raw"])
         out = lookup_join(df.withColumn("__raw", F.lower(F.col(col))), dim, ["__raw"])
         hit = F.col("__first").isNotNull()
         cols = {
@@ -162,10 +163,15 @@ def merge_fragments_trim(
 
 
 def apply_aliases(df: DataFrame, col: str, mapping: dict[str, str] | DataFrame, mark: str | None = None) -> DataFrame:
-    """Replace a value whose lower-cased form is listed. A long list comes as DataFrame (raw, value)."""
+    """Replace a value whose lower-cased form is listed.
+
+    A long list comes as DataFrame (raw, value); of rows with the same lower-cased `raw` the
+    smallest counts.
+    """
     raw = F.lower(F.col(col))
     if isinstance(mapping, DataFrame):
-        df = lookup_join(df.withColumn("__raw", raw), mapping.toDF("__raw", "__alias"), ["__raw"])
+        dim = one_per_key(mapping.toDF("__raw", "__alias").withColumn("__raw", F.lower("__raw")), ["__raw"])
+        df = lookup_join(df.withColumn("__raw", raw), dim, ["__raw"])
         new = F.col("__alias")
     else:
         new = map_values(raw, mapping, keep_others=False)
@@ -176,16 +182,16 @@ def apply_aliases(df: DataFrame, col: str, mapping: dict[str, str] | DataFrame,
 
 def apply_aliases_validated(
     df: DataFrame, dim: DataFrame, col: str = "Make", code: str = "VIN", mapping: dict[str, str] | None = None,
-    known_small: bool = False, mark: str | None = None,
+    mark: str | None = None,
 ) -> DataFrame:
     """Replace an alias only where the prefix of the code leads to the same name.
 
-    `dim` holds one row (code, make, body) per prefix.
+    `dim` holds rows (code, make, body); of rows with the same code the smallest counts.
     """
     new = map_values(F.lower(F.col(col)), mapping or MAKE_ALIASES, keep_others=False)
     prefix = F.when(new.isNotNull() & (F.length(code) >= 3), F.upper(F.substring(code, 1, 3)))
-    dim = dim.select(F.col("code").alias("__code"), F.col("make").alias("__expected"))
-    out = lookup_join(df.withColumn("__code", prefix), dim, ["__code"], known_small=known_small)
+    dim = prefix_rows(dim).select(F.col("code").alias("__code"), F.col("make").alias("__expected"))
+    out = lookup_join(df.withColumn("__code", prefix), dim, ["__code"])
     hit = F.lower("__expected") == F.lower(new)
     cols = {col: F.when(hit, new).otherwise(F.col(col))} | _marked(df, mark, hit)
     return out.withColumns(cols).drop("__code", "__expected")

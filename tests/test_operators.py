@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,7 +125,7 @@ def test_split_and_merge(spark):
 
 def test_alias_needs_prefix(spark):
     df = spark.createDataFrame([("vw", "3VWx"), ("vw", "1FTx"), ("vw", None), ("Kia", "3VWx")], "Make string, VIN string")
-    out = repair.apply_aliases_validated(df, impute.prefix_dimension(spark), known_small=True, mark="hit")
+    out = repair.apply_aliases_validated(df, impute.prefix_dimension(spark), mark="hit")
     assert sorted(values(out.select("Make", "hit"))) == [("Kia", False), ("Volkswagen", True), ("vw", False), ("vw", False)]
 
 
@@ -250,7 +251,7 @@ def test_salted_join_gives_the_same(spark):
     fact = spark.range(2000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 7 = 0 THEN NULL ELSE id % 50 END AS k")
     dim = spark.range(40).selectExpr("id AS k", "id * 10 AS v")
     small = joins.lookup_join(fact, dim, ["k"])
-    salted = joins.lookup_join(fact, dim, ["k"], max_broadcast_rows=0, salts=5)
+    salted = joins.lookup_join(fact, dim, ["k"], max_broadcast_bytes=0, salts=5)
     assert salted.columns == small.columns
     assert sorted(values(small), key=str) == sorted(values(salted), key=str)
     assert "Broadcast" in small._jdf.queryExecution().executedPlan().toString()
@@ -341,3 +342,75 @@ def test_cleaning_before_imputation_does_not_shuffle(spark, tmp_path, sales):
     files.write_table(sales, str(tmp_path / "s"))
     plan = before_imputation(files.read_table(spark, str(tmp_path / "s")))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+# --- draws, samples, lookups and neighbours under skew ---------------------------------
+
+
+def test_columns_are_drawn_independently(spark):
+    rows = [(f"a{i}", "k", "rb"[i % 2], "xy"[i % 2]) for i in range(400)] + [(f"key {i}", "k", None, None) for i in range(6000)]
+    df = spark.createDataFrame(rows, "Id string, k string, c string, d string")
+    for c in ("c", "d"):
+        df = impute.impute_conditional(df, c, ["k"])
+    got = values(df.where("Id LIKE 'key%'").groupBy("c", "d").count())
+    assert len(got) == 4 and all(abs(n / 6000 - 0.25) < 0.03 for _, _, n in got)
+
+
+def test_rare_values_are_drawn_from_whole_numbers(spark):
+    df = spark.range(200_000).selectExpr("id AS Id", "'k' AS k", "CASE WHEN id >= 100000 THEN NULL WHEN id = 7 THEN 'rare' ELSE 'usual' END AS c")
+    out = impute.impute_conditional(df, "c", ["k"])
+    assert out.where("c IS NULL").count() == 0
+
+
+def test_sample_is_spread_evenly(spark):
+    got = [r[0] for r in filters.sample_n(spark.range(200_000).selectExpr("id AS Id"), 2000, "Id").collect()]
+    tenths = [sum(i // 20_000 == t for i in got) for t in range(10)]
+    assert len(got) == len(set(got)) == 2000 and min(tenths) > 140 and max(tenths) < 260
+    assert len({i % 97 for i in got}) == 97
+
+
+@pytest.mark.parametrize("n", [3, 50, 190, 200, 300])
+def test_sample_with_null_and_text_keys(spark, n):
+    df = spark.range(200).selectExpr("CASE WHEN id < 5 THEN NULL ELSE concat('key ', id) END AS Id")
+    assert filters.sample_n(df, n, "Id").count() == min(n, 200)
+
+
+def test_lookup_tables_with_repeated_keys(spark):
+    df = spark.createDataFrame([(1, "VW", None, "3VWa"), (2, "kia", None, "zzz1"), (3, None, None, "3vwb")], "Id int, Make string, Body string, VIN string")
+    table = spark.createDataFrame([("vw", "Volkswagen", "Wagon"), ("VW", "Volkswagen", "Sedan"), ("Kia", "Kia", None)], "raw string, make string, body string")
+    out = repair.split_by_lookup(df, table=table)
+    assert sorted(values(out.select("Id", "Make", "Body")), key=str) == [(1, "Volkswagen", "Sedan"), (2, "Kia", None), (3, None, None)]
+    out = repair.apply_aliases(df, "Make", table.select("raw", "make"))
+    assert sorted(values(out.select("Id", "Make")), key=str) == [(1, "Volkswagen"), (2, "Kia"), (3, None)]
+    codes = spark.createDataFrame([("3vw", "volkswagen", "Sedan"), ("3VW", "volkswagen", "Van"), ("3vwb", "no", "no")], "code string, make string, body string")
+    assert sorted(values(impute.impute_from_prefix(df, codes).where("Id = 3").select("Make", "Body"))) == [("Volkswagen", "Sedan")]
+    named = codes.selectExpr("code", "'Volkswagen' AS make", "body")
+    assert values(repair.apply_aliases_validated(df, named).where("Id = 1").select("Make")) == [("Volkswagen",)]
+
+
+@pytest.mark.parametrize("case", ["outlier", "ties"])
+def test_knn_under_skew(spark, case):
+    rng = np.random.default_rng(5)
+    odometer = rng.integers(0, 40_000, 1500) * 2
+    if case == "outlier":
+        odometer[7] = 10**9
+    else:
+        odometer[:600] = 5000
+    rows = [(i, int(rng.integers(1990, 2015)), float(odometer[i]), None if i % 4 == 0 else "abc"[rng.integers(3)]) for i in range(1500)]
+    df = spark.createDataFrame(rows, "Id int, Year int, Odometer double, c string")
+    got = dict(values(impute.impute_knn(df, "c", categorical=[]).select("Id", "c")))
+    assert got == brute_force_knn(rows, 5)
+
+
+def test_keys_of_the_sales_view_stay_apart(spark):
+    from tabclean.catalog.views import SALES
+
+    names = {"lineitem": "li", "orders": "od", "part": "pt", "supplier": "sp"}
+    line = "CAST({} AS BIGINT) AS l_orderkey, {} AS l_partkey, 7L AS l_suppkey, 1 AS l_linenumber, 1D AS l_quantity, 1D AS l_extendedprice, 0D AS l_discount, 'A' AS l_returnflag, 'F' AS l_linestatus, timestamp_ntz'2000-01-01' AS l_shipdate"
+    keys = [(10**12 + 2, 3), (10**12 + 3, 3), (10**12 + 2, 10**9)]
+    spark.sql(" UNION ALL ".join("SELECT " + line.format(*k) for k in keys)).createOrReplaceTempView("li")
+    spark.sql("SELECT DISTINCT l_orderkey AS o_orderkey, timestamp_ntz'2000-01-01' AS o_orderdate FROM li").createOrReplaceTempView("od")
+    spark.sql("SELECT DISTINCT l_partkey AS p_partkey, 'n' AS p_name, 'b' AS p_brand, 't' AS p_type, 1 AS p_size FROM li").createOrReplaceTempView("pt")
+    spark.sql("SELECT 7L AS s_suppkey, 's' AS s_name, 1 AS s_nationkey").createOrReplaceTempView("sp")
+    got = values(spark.sql(SALES.format(**names)).select("Id", "VIN"))
+    assert len({r[0] for r in got}) == 3 and len({r[1] for r in got}) == 3
