@@ -152,3 +152,60 @@ def mixed(
 
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return mixed(spark.read.parquet(f"{folder}/documents.parquet"))
+
+
+ORACLE = r"""
+WITH docs AS (
+  SELECT doc_id, source AS name, coalesce('s' || source, 'null') AS src, md5('1|' || coalesce(CAST(doc_id AS VARCHAR), '-')) AS draw,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+sums AS (
+  SELECT coalesce(sum(size), 0)::BIGINT AS total, greatest(1, (coalesce(sum(size), 0)::BIGINT + 1048575) // 1048576) AS block,
+    greatest(16, (count(*) + 65535) // 65536) AS shards FROM docs),
+dealt AS (SELECT docs.*, ('0x' || substr(draw, 25, 8))::BIGINT % shards AS shard FROM docs, sums),
+shards AS (SELECT src, shard, min(name) AS name, sum(size)::BIGINT AS shard_size FROM dealt GROUP BY 1, 2),
+ranked AS (
+  SELECT src, min(name) AS name, sum(shard_size)::BIGINT AS words, row_number() OVER (ORDER BY min(name) NULLS LAST) AS rank
+  FROM shards GROUP BY src),
+weighed AS (SELECT *, [1, 2, 3][(rank - 1) % 3 + 1] AS weight FROM ranked),
+levels AS (
+  SELECT *, (sum(words) OVER () - coalesce(sum(3 * words) OVER (ORDER BY words / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / (sum(weight) OVER (ORDER BY words / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS level FROM weighed),
+targets AS (
+  SELECT src, rank, words, least(3.0::DOUBLE * words, weight * coalesce(max(level) FILTER (level <= 3 * words / weight) OVER (), 0.0)::DOUBLE) AS target
+  FROM levels),
+seats AS (SELECT (total + block // 2) // block AS n, block, total, (SELECT count(*) FROM targets) AS parts FROM sums),
+source_seats AS (
+  SELECT rank, count(*) AS seats FROM (
+    SELECT rank, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, rank) AS place, n
+    FROM (SELECT rank, target, n, unnest(range(0, CAST(target / total * n AS BIGINT) + parts + 2)) AS k FROM targets, seats WHERE total > 0 AND target > 0))
+  WHERE place <= n GROUP BY rank),
+sources AS (SELECT src, words, target, coalesce(seats, 0) AS seats FROM targets LEFT JOIN source_seats USING (rank)),
+shard_seats AS (
+  SELECT src, shard, count(*) AS quota FROM (
+    SELECT src, shard, seats, row_number() OVER (PARTITION BY src ORDER BY shard_size / (2 * k + 1) DESC, shard) AS place
+    FROM (SELECT src, shard, shard_size, seats,
+        unnest(range(0, CAST(shard_size / words * seats AS BIGINT) + (SELECT max(shards) FROM sums) + 2)) AS k
+      FROM shards JOIN sources USING (src) WHERE words > 0 AND shard_size > 0))
+  WHERE place <= seats GROUP BY 1, 2),
+quotas AS (
+  SELECT src, shard, shard_size, words, target, least(coalesce(quota, 0) * block, 3 * shard_size) AS due
+  FROM shards JOIN sources USING (src) LEFT JOIN shard_seats USING (src, shard), seats),
+passes AS (SELECT *, CASE WHEN shard_size > 0 THEN due // shard_size ELSE 0 END AS whole FROM quotas),
+lines AS (
+  SELECT src, shard, shard_size, due - whole * shard_size AS rest, unnest(range(0, (shard_size - 1) // block + 1)) AS b, block
+  FROM passes, seats WHERE due > whole * shard_size),
+chosen AS (
+  SELECT src, shard, b, block, least(length, rest - (upto - length)) AS part FROM (
+    SELECT *, sum(length) OVER (PARTITION BY src, shard ORDER BY md5('1|' || src || '|' || shard || '|' || b), b ROWS UNBOUNDED PRECEDING) AS upto
+    FROM (SELECT *, least(block, shard_size - b * block) AS length FROM lines))),
+laid AS (
+  SELECT *, CAST(sum(size) OVER here AS BIGINT) AS stop, row_number() OVER here AS row FROM dealt
+  WINDOW here AS (PARTITION BY src, shard ORDER BY draw, doc_id, size ROWS UNBOUNDED PRECEDING)),
+pieces AS (
+  SELECT src, shard, row, stop, size, unnest(range((stop - size) // block, (stop - 1) // block + 1)) AS b FROM laid, seats WHERE size > 0),
+extra AS (
+  SELECT src, shard, row, sum(greatest(0, least(stop - b * block, part) - greatest(stop - size - b * block, 0))) AS words
+  FROM pieces JOIN chosen USING (src, shard, b) GROUP BY 1, 2, 3)
+SELECT doc_id, CAST(size AS BIGINT) AS size, p.words AS source_size, target, CAST(whole * size + coalesce(extra.words, 0) AS BIGINT) AS taken
+FROM laid JOIN passes p USING (src, shard) LEFT JOIN extra USING (src, shard, row)
+"""

@@ -20,5 +20,5 @@ def load() -> tuple[dict, dict]:
     }
     oracles = {
         "op1_chat_format": chat.ORACLE, "op2_kdtree_topk": kdtree.ORACLE,
-        "op9_warc": warc.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
+        "op8_mixing": mixing.ORACLE, "op9_warc": warc.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
     return queries, oracles
