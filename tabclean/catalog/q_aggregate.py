@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregate as agg
 from ..operators import features, stats
-from ..plans import insights
+from ..plans import dashboard, insights
 from ..plans.employees import LEVEL_ORDER, NUMERIC
 from .registry import query
 from .views import CONDITION_BAND, Views, case_band, text as quoted
@@ -342,15 +342,36 @@ def _(v: Views):
     return agg.topk_volume_price(v.prepared)
 
 
-@query(
-    "pivot_heatmap",
-    f"""WITH cells AS (SELECT Make, Body, SellingPrice FROM prepared WHERE Make IN {top('prepared', 'Make', 8)}
-          AND Body IN {top('prepared', 'Body', 6)})
+def heatmap_sql(table: str) -> str:
+    return f"""WITH cells AS (SELECT Make, Body, SellingPrice FROM {table} WHERE Make IN {top(table, 'Make', 8)}
+          AND Body IN {top(table, 'Body', 6)})
         SELECT r.Make, c.Body, coalesce(m.median, 0) / 1000 AS value
         FROM (SELECT DISTINCT Make FROM cells) r CROSS JOIN (SELECT DISTINCT Body FROM cells) c
-        LEFT JOIN (SELECT Make, Body, median(SellingPrice) AS median FROM cells GROUP BY 1, 2) m USING (Make, Body)""",
-    PREP, {"value": 8},
-)
+        LEFT JOIN (SELECT Make, Body, median(SellingPrice) AS median FROM cells GROUP BY 1, 2) m USING (Make, Body)"""
+
+
+def quality_sql(table: str) -> str:
+    return f"""SELECT Body, CASE WHEN _flag_non_imputable THEN 'Non-imputable' WHEN _flag_imputed THEN 'Imputed' ELSE 'Clean' END
+        AS DataQuality, median(SellingPrice) AS median FROM {table} WHERE Body IN {top(table, 'Body', 6)}
+        GROUP BY 1, 2 HAVING median(SellingPrice) IS NOT NULL"""
+
+
+@query("dashboard_kpis", _KPI.replace("FROM prepared", "FROM dashboard"), ("dashboard",), _KPI_DIGITS)
+def _(v: Views):
+    return dashboard.kpis(v.dashboard)
+
+
+@query("dashboard_heatmap", heatmap_sql("dashboard"), ("dashboard",), {"value": 8})
+def _(v: Views):
+    return dashboard.heatmap(v.dashboard)
+
+
+@query("dashboard_quality", quality_sql("dashboard"), ("dashboard",), {"median": 6})
+def _(v: Views):
+    return dashboard.quality(v.dashboard)
+
+
+@query("pivot_heatmap", heatmap_sql("prepared"), PREP, {"value": 8})
 def _(v: Views):
     return agg.heatmap(v.prepared)
 
@@ -366,13 +387,7 @@ def _(v: Views):
     return agg.pivot_gender_gap(v.staff)
 
 
-@query(
-    "quality_median",
-    f"""SELECT Body, CASE WHEN _flag_non_imputable THEN 'Non-imputable' WHEN _flag_imputed THEN 'Imputed' ELSE 'Clean' END
-        AS DataQuality, median(SellingPrice) AS median FROM cleaned WHERE Body IN {top('cleaned', 'Body', 6)}
-        GROUP BY 1, 2 HAVING median(SellingPrice) IS NOT NULL""",
-    ("cleaned",), {"median": 6},
-)
+@query("quality_median", quality_sql("cleaned"), ("cleaned",), {"median": 6})
 def _(v: Views):
     return agg.quality_median(v.cleaned)
 

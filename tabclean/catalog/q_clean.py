@@ -9,7 +9,7 @@ from ..operators import impute, repair
 from ..operators import aggregate as agg
 from ..plans import insights
 from ..plans.employees import DEPT_DISPLAY
-from ..plans.sales import AUDIT_RULES, CleanConfig, DRAW_KEYS, audit, before_imputation, clean_sales
+from ..plans.sales import AUDIT_RULES, CleanConfig, DRAW_KEYS, audit, before_imputation, clean_sales, repair_complete
 from .registry import query
 from .views import IMPUTED, SALES_COLUMNS, Views, draw, text as quoted, title
 
@@ -118,6 +118,53 @@ def _(v: Views):
     return repair.apply_aliases_validated(v.sales, dim).select("Id", "VIN", "Make")
 
 
+@query(
+    "apply_aliases_table",
+    """SELECT Id, coalesce(v, Make) AS Make FROM sales LEFT JOIN
+       (SELECT lower(p_brand) AS raw, min(p_brand || ' of ' || p_type) AS v FROM part GROUP BY 1) ON lower(Make) = raw""",
+)
+def _(v: Views):
+    table = v.table("part").selectExpr("p_brand AS raw", "concat(p_brand, ' of ', p_type) AS value")
+    return repair.apply_aliases(v.sales, "Make", table).select("Id", "Make")
+
+
+def own_prefixes(v: Views):
+    """A prefix table of the data's own, with many rows for a code."""
+    full = v.sales.where("VIN IS NOT NULL AND Make IS NOT NULL AND Body IS NOT NULL")
+    return full.selectExpr("substr(VIN, 1, 3) AS code", "lower(Make) AS make", "Body AS body")
+
+
+@query(
+    "impute_from_prefix_table",
+    """SELECT Id, coalesce(Make, own.m) AS Make, coalesce(Body, own.b) AS Body
+       FROM sales LEFT JOIN own ON Make IS NULL AND upper(substr(VIN, 1, 3)) = code""",
+    ("sales", "own"),
+)
+def _(v: Views):
+    return impute.impute_from_prefix(v.sales, own_prefixes(v)).select("Id", "Make", "Body")
+
+
+@query(
+    "clean_sales_validated",
+    f"""SELECT Id, coalesce(Make, own.m) AS Make, coalesce(Body, own.b) AS Body FROM (
+         SELECT Id, VIN, {title(f"CASE WHEN lower(n) = lower(own.m) THEN n ELSE Make END")} AS Make, {title('Body')} AS Body
+         FROM (SELECT *, nullif({alias_case('Make', repair.MAKE_ALIASES)}, Make) AS n FROM c3)
+         LEFT JOIN own ON upper(substr(VIN, 1, 3)) = code)
+       LEFT JOIN own ON Make IS NULL AND upper(substr(VIN, 1, 3)) = code""",
+    ("c3", "own"),
+)
+def _(v: Views):
+    config = CleanConfig(prefixes=own_prefixes(v), validate_aliases=True)
+    return before_imputation(v.sales, config).select("Id", "Make", "Body")
+
+
+@query(
+    "repair_complete", "SELECT * FROM repaired_prepared", ("repaired_prepared",),
+)
+def _(v: Views):
+    return repair_complete(v.sales)
+
+
 @query(
     "title_case",
     f"""SELECT No, {title('First_Name')} AS First_Name, {title('Last_Name')} AS Last_Name,
@@ -328,24 +375,28 @@ _DISTANCE = """sqrt((q.a - t.a) * (q.a - t.a) + (q.b - t.b) * (q.b - t.b) + (q.c
                + (q.d - t.d) * (q.d - t.d))"""
 # The five nearest training rows. Those within 300 of the second feature come first; where five of them lie
 # within 300 in all, no other row can be nearer, and the others are compared with the whole sample.
-_NEAREST = f"""arg_min(struct_pack(color := t.Color, dist := {_DISTANCE}),
-               struct_pack(dist := {_DISTANCE}, id := t.Id), 5)"""
-_KNN_SQL = f"""
+_NEAREST = """arg_min(struct_pack(color := t.{col}, dist := {dist}),
+               struct_pack(dist := {dist}, id := t.Id), 5)"""
+
+
+def knn_sql(col: str, source: str, keep: str = "e.Id") -> str:
+    nearest = _NEAREST.format(col=col, dist=_DISTANCE)
+    return f"""
 WITH mk AS (SELECT Make, dense_rank() OVER (ORDER BY Make) - 1 AS mcode
-            FROM (SELECT DISTINCT Make FROM c6 WHERE Make IS NOT NULL)),
+            FROM (SELECT DISTINCT Make FROM {source} WHERE Make IS NOT NULL)),
  bd AS (SELECT Body, dense_rank() OVER (ORDER BY Body) - 1 AS bcode
-        FROM (SELECT DISTINCT Body FROM c6 WHERE Body IS NOT NULL)),
- e0 AS (SELECT Id, Color, Year, Odometer, mcode, bcode FROM c6 LEFT JOIN mk USING (Make) LEFT JOIN bd USING (Body)),
- e AS MATERIALIZED (SELECT Id, Color, coalesce(Year, (SELECT median(Year) FROM e0))::double AS a,
+        FROM (SELECT DISTINCT Body FROM {source} WHERE Body IS NOT NULL)),
+ e0 AS (SELECT * FROM {source} LEFT JOIN mk USING (Make) LEFT JOIN bd USING (Body)),
+ e AS MATERIALIZED (SELECT * EXCLUDE (mcode, bcode), coalesce(Year, (SELECT median(Year) FROM e0))::double AS a,
         coalesce(Odometer, (SELECT median(Odometer) FROM e0))::double AS b,
         coalesce(mcode, (SELECT median(mcode) FROM e0))::double AS c,
         coalesce(bcode, (SELECT median(bcode) FROM e0))::double AS d FROM e0),
- t AS MATERIALIZED (SELECT * FROM e WHERE Color IS NOT NULL ORDER BY {draw('sample')}, Id LIMIT 50000),
- q AS MATERIALIZED (SELECT DISTINCT a, b, c, d FROM e WHERE Color IS NULL),
- one AS MATERIALIZED (SELECT q.a, q.b, q.c, q.d, {_NEAREST} AS xs FROM q JOIN t ON t.b BETWEEN q.b - 300 AND q.b + 300
+ t AS MATERIALIZED (SELECT * FROM e WHERE {col} IS NOT NULL ORDER BY {draw('sample')}, Id LIMIT 50000),
+ q AS MATERIALIZED (SELECT DISTINCT a, b, c, d FROM e WHERE {col} IS NULL),
+ one AS MATERIALIZED (SELECT q.a, q.b, q.c, q.d, {nearest} AS xs FROM q JOIN t ON t.b BETWEEN q.b - 300 AND q.b + 300
           GROUP BY 1, 2, 3, 4),
  sure AS MATERIALIZED (SELECT * FROM one WHERE len(xs) = 5 AND list_max(list_transform(xs, lambda x: x.dist)) <= 300),
- rest AS (SELECT q.a, q.b, q.c, q.d, {_NEAREST} AS xs FROM (SELECT * FROM q EXCEPT SELECT a, b, c, d FROM sure) q, t
+ rest AS (SELECT q.a, q.b, q.c, q.d, {nearest} AS xs FROM (SELECT * FROM q EXCEPT SELECT a, b, c, d FROM sure) q, t
           GROUP BY 1, 2, 3, 4),
  near AS (SELECT a, b, c, d, unnest(xs) AS x FROM (SELECT * FROM sure UNION ALL SELECT * FROM rest)),
  w AS (SELECT a, b, c, d, x.color AS color, x.dist AS dist, min(x.dist) OVER (PARTITION BY a, b, c, d) AS best FROM near),
@@ -353,10 +404,11 @@ WITH mk AS (SELECT Make, dense_rank() OVER (ORDER BY Make) - 1 AS mcode
           ELSE 1.0e0 / dist END) AS score FROM w GROUP BY 1, 2, 3, 4, 5),
  p AS (SELECT a, b, c, d, color AS vote FROM s
        QUALIFY row_number() OVER (PARTITION BY a, b, c, d ORDER BY score DESC, color) = 1)
-SELECT Id, coalesce(Color, vote) AS Color FROM e LEFT JOIN p USING (a, b, c, d)"""
+SELECT {keep}, coalesce(e.{col}, vote) AS {col} FROM e LEFT JOIN p USING (a, b, c, d)"""
+
 
 
-@query("impute_knn", _KNN_SQL, ("c6",))
+@query("impute_knn", knn_sql("Color", "c6"), ("c6",))
 def _(v: Views):
     return impute.impute_knn(before_imputation(v.sales), "Color").select("Id", "Color")
 
@@ -462,10 +514,14 @@ def _(v: Views):
     return clean_sales(v.sales, CleanConfig(strategy="conditional")).select("Id", "Color", "Interior")
 
 
-@query("clean_sales_knn", None)
+@query(
+    "clean_sales_knn",
+    "WITH kc AS (" + knn_sql("Color", "c6", "e.Id, e.Make, e.Body, e.Year, e.Odometer, e.Interior") + ") "
+    + "SELECT * FROM (" + knn_sql("Interior", "kc", "e.Id, e.Color") + ")",
+    ("c6",),
+)
 def _(v: Views):
-    out = clean_sales(v.sales, CleanConfig(strategy="knn+conditional"))
-    return out.groupBy("Color", "Interior").agg(agg.n_rows().alias("rows"))
+    return clean_sales(v.sales, CleanConfig(strategy="knn+conditional")).select("Id", "Color", "Interior")
 
 
 # --- text of results ----------------------------------------------------------------

@@ -12,7 +12,10 @@ from ..sources.staging import scratch_path
 from .registry import query
 from .views import Views
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+]
 
 CUSTOMER = StructType(
     [
@@ -46,7 +49,7 @@ def _(v: Views):
     (),
 )
 def _(v: Views):
-    return files.list_path_tables(v.spark, {t: f"{v.folder}/{t}.parquet" for t in TABLES})
+    return files.list_path_tables(v.spark, files.folder_tables(v.spark, v.folder))
 
 
 @query("roundtrip_parquet", "SELECT * FROM sales")
@@ -79,6 +82,12 @@ def _(v: Views):
     ("staff",),
 )
 def _(v: Views):
+    tables, folder = _bundle(v)
+    return files.list_path_tables(v.spark, {t: f"{folder}/{t}" for t in tables}).select("table", "rows")
+
+
+def _bundle(v: Views):
+    """The tables of the bundle, and the folder they are exported to."""
     tables = {
         "staff": v.staff,
         "departments": agg.dept_summary(v.staff),
@@ -86,11 +95,17 @@ def _(v: Views):
     }
     folder = scratch_path(v.spark, "bundle")
     files.export_bundle(tables, folder)
-    return files.list_path_tables(v.spark, {t: f"{folder}/{t}" for t in tables}).select("table", "rows")
+    return tables, folder
+
+
+@query("export_bundle_staff", "SELECT * FROM staff", ("staff",))
+def _(v: Views):
+    tables, folder = _bundle(v)
+    return files.read_table(v.spark, f"{folder}/staff", tables["staff"].schema)
 
 
 _TYPES = {
-    "Id": "Integer", "Year": "Integer", "ConditionValue": "Decimal", "Odometer": "Decimal", "MMR": "Decimal",
+    "Year": "Integer", "ConditionValue": "Decimal", "Odometer": "Decimal", "MMR": "Decimal",
     "SellingPrice": "Decimal", "SaleDate": "DateTime", "SaleYear": "Integer", "VehicleAge": "Integer",
     "PriceDiff": "Decimal", "PriceDiffPct": "Decimal", "AboveMMR": "Boolean",
 }

@@ -13,7 +13,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.impute import PREFIXES
-from ..operators.repair import MAKE_ALIASES, MAKE_BODY
+from ..operators.repair import MAKE_ALIASES, MAKE_BODY, MODEL_ALIASES
+from ..plans.dashboard import dashboard_table
 from ..plans.employees import clean_employees
 from ..plans.sales import CleanConfig, clean_sales, prepare_sales
 
@@ -153,6 +154,10 @@ class Views:
     def marked(self) -> DataFrame:
         return clean_sales(self.sales, CleanConfig(keep_marks=True))
 
+    @cached_property
+    def dashboard(self) -> DataFrame:
+        return dashboard_table(self.cleaned, ["clean", "imputed"], transmissions=["automatic"], years=(1984, 1996))
+
     @cached_property
     def staff(self) -> DataFrame:
         return clean_employees(self.employees, TENURE_DATE)
@@ -249,6 +254,7 @@ def top_value_sql(col: str, source: str) -> str:
 
 _plain = {n: n for n in ["lineitem", "orders", "part", "supplier", "customer"]}
 _make_map = " ".join(f"WHEN {text(k)} THEN {text(v)}" for k, v in MAKE_ALIASES.items())
+_model_map = " ".join(f"WHEN {text(k)} THEN {text(v)}" for k, v in MODEL_ALIASES.items())
 _was = ", ".join(f"{c} IS NULL AS w_{c}" for c in IMPUTED)
 _flag = " OR ".join(f"(w_{c} AND {c} IS NOT NULL)" for c in IMPUTED)
 _cased = ", ".join(f"{title(c)} AS {c}" for c in ["Model", "Body", "Color", "Interior", "State", "Trim"])
@@ -264,6 +270,22 @@ CTES: dict[str, str] = {
     "mb": values([(k, *v) for k, v in MAKE_BODY.items()], "t", "raw, mb_make, mb_body"),
     "wmi": f"SELECT code, {title('make')} AS wmi_make, body AS wmi_body FROM ("
            + values([(k, *v) for k, v in PREFIXES.items()], "t", "code, make, body") + ")",
+    "own": f"""SELECT code, r.m AS m, r.b AS b FROM (
+        SELECT upper(substr(VIN, 1, 3)) AS code, min(struct_pack(m := {title('lower(Make)')}, b := Body)) AS r FROM sales
+        WHERE VIN IS NOT NULL AND Make IS NOT NULL AND Body IS NOT NULL GROUP BY 1)""",
+    "r1": r"""SELECT * REPLACE (regexp_replace(Make, ' (truck|tk)$', '', 'i') AS Make,
+        CASE WHEN regexp_matches(Make, '(?i) (truck|tk)$') THEN 'Truck' ELSE Body END AS Body) FROM shifted""",
+    "r2": rf"""SELECT * REPLACE (CASE lower(Make) {_make_map} ELSE Make END AS Make,
+        CASE WHEN lower(Model) = 'range' THEN 'Range Rover' ELSE Model END AS Model,
+        CASE WHEN lower(Model) = 'range' THEN trim(regexp_replace(Trim, '^rover\s*', '', 'i')) ELSE Trim END AS Trim)
+      FROM r1""",
+    "r3": f"""SELECT * REPLACE (CASE lower(Model) {_model_map} ELSE Model END AS Model) FROM r2""",
+    "r4": "SELECT * REPLACE (nullif(Odometer, 999999) AS Odometer, " + ", ".join(
+        f"CASE WHEN {c} IN {DASH_LIST} THEN NULL ELSE {c} END AS {c}"
+        for c in ["Make", "Model", "Trim", "Body", "Transmission", "VIN", "State", "Color", "Interior", "Seller"]
+    ) + ") FROM r3",
+    "r5": SHIFT_KEEP.format(source="r4"),
+    "repaired_prepared": prepared_sql("r5"),
     "c0": f"SELECT *, {_was} FROM sales",
     "c1": """SELECT * REPLACE (
         CASE WHEN h_shift THEN 'Sedan' ELSE Body END AS Body,
@@ -306,6 +328,10 @@ CTES: dict[str, str] = {
     "marked": f"""SELECT *, ({_flag}) AS _flag_imputed, (Make IS NULL AND Model IS NULL AND Trim IS NULL
         AND Body IS NULL AND (VIN IS NULL OR trim(VIN) = '')) AS _flag_non_imputable FROM c8""",
     "cleaned": f"SELECT {', '.join(SALES_COLUMNS)}, _flag_imputed, _flag_non_imputable FROM marked",
+    "cleaned_shifted": SHIFT_KEEP.format(source="cleaned"),
+    "cleaned_prepared": prepared_sql("cleaned_shifted"),
+    "dashboard": "SELECT * FROM cleaned_prepared WHERE Transmission = 'automatic' AND Year BETWEEN 1984 AND 1996 "
+                 "AND (_flag_imputed OR NOT _flag_non_imputable)",
     "staff": f"""SELECT No, First_Name || ' ' || Last_Name AS Full_Name, First_Name, Last_Name, Gender, Start_Date,
         cast(round_even(date_diff('day', cast(Start_Date AS date), DATE '{TENURE_DATE}') / 365.25e0, 0) AS int)
           AS Tenure_Years, Department, Country, Center, Monthly_Salary, Annual_Salary,
@@ -317,9 +343,11 @@ CTES: dict[str, str] = {
 
 _NEEDS = {
     "sales": [], "employees": [], "shifted": ["sales"], "prepared": ["shifted"], "replaced": ["sales"], "mb": [],
-    "wmi": [], "c0": ["sales"], "c1": ["c0"], "c2": ["c1", "mb"], "c3": ["c2"], "c4": ["c3"], "c5": ["c4"],
+    "wmi": [], "own": ["sales"], "r1": ["shifted"], "r2": ["r1"], "r3": ["r2"], "r4": ["r3"], "r5": ["r4"],
+    "repaired_prepared": ["r5"], "c0": ["sales"], "c1": ["c0"], "c2": ["c1", "mb"], "c3": ["c2"], "c4": ["c3"], "c5": ["c4"],
     "c6": ["c5", "wmi"], "mc": ["c6"], "mi": ["c6"], "c7": ["c6", "mc", "mi"], "oc": ["c7"], "oi": ["c7"], "c8": ["c7", "oc", "oi"], "marked": ["c8"],
-    "cleaned": ["marked"], "staff": ["employees"],
+    "cleaned": ["marked"], "cleaned_shifted": ["cleaned"], "cleaned_prepared": ["cleaned_shifted"],
+    "dashboard": ["cleaned_prepared"], "staff": ["employees"],
 }
 
 

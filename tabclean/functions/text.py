@@ -34,7 +34,7 @@ def title_case(c: Column | str) -> Column:
     values need neither that nor stripping, which one test finds out.
     """
     value = col(c)
-    special = value.rlike(rf"^[{WHITESPACE}]|[{WHITESPACE}]$|[^\p{{L}} ]\p{{L}}")
+    special = (strip(value) != value) | value.rlike(r"[^\p{L} ]\p{L}")
     marked = F.regexp_replace(strip(value), r"([^\p{L} ])(?=\p{L})", "$1" + _BREAK)
     cased = F.replace(F.initcap(marked), F.lit(_BREAK), F.lit(""))
     return F.when(special, cased).otherwise(F.initcap(value))

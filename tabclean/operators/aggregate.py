@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.numeric import tier
 from .features import is_above_market
 from .filters import isin
 from .impute import quality_label
 from .joins import keys_present
+from ..sources.staging import stage
 from .quantile import group_median, group_quantiles, median_value
 
 
@@ -244,9 +246,10 @@ def median_by_year(df: DataFrame, since: int | None = None, value: str = "Sellin
 
 def yoy_median(df: DataFrame, value: str = "SellingPrice") -> DataFrame:
     """Median by model year and its change to the year before, if that year occurs."""
+    along = Window.orderBy("Year")  # one row per year
     now = median_by_year(df, value=value)
-    before = now.select((F.col("Year") + 1).alias("Year"), F.col("median").alias("previous"))
-    return now.join(before, "Year", "left").withColumn("change", F.col("median") - F.col("previous"))
+    before = F.when(F.lag("Year").over(along) == F.col("Year") - 1, F.lag("median").over(along))
+    return now.withColumn("previous", before).withColumn("change", F.col("median") - F.col("previous"))
 
 
 def band_effect(df: DataFrame, band: Column, high: str, low: str, value: str = "SellingPrice") -> DataFrame:
@@ -280,8 +283,11 @@ def topk_then_median(df: DataFrame, key: str, k: int, value: str) -> DataFrame:
 
 
 def topk_volume_price(df: DataFrame, key: str = "Make", k: int = 10, value: str = "SellingPrice") -> DataFrame:
-    medians = group_median(rows_of_top(df, key, k), [key], value, "median", groups_at_most=k)
-    return top_groups(df, key, k).withColumnRenamed("count", "volume").join(medians, key, "left")
+    df = stage(df.select(key, value), "volumes")
+    top = stage(top_groups(df, key, k), "top")
+    rows = df.join(F.broadcast(top.select(key)), key, "left_semi")
+    medians = group_median(rows, [key], value, "median", groups_at_most=k)
+    return top.withColumnRenamed("count", "volume").join(medians, key, "left")
 
 
 def heatmap(
@@ -293,6 +299,7 @@ def heatmap(
     Long form (row, column, value), or a pivot whose columns are the at most `n_cols`
     top values.
     """
+    df = stage(df.select(rows, cols, value), "cells")
     top_cols = top_groups(df, cols, n_cols).select(cols)
     cells = rows_of_top(df, rows, n_rows_).join(F.broadcast(top_cols), cols, "left_semi")
     medians = group_median(cells, [rows, cols], value, "median", groups_at_most=n_rows_ * n_cols)
@@ -357,6 +364,7 @@ def arg_max_groups(df: DataFrame, key: str = "Make", value: str = "SellingPrice"
 
 def mark_groups(groups: DataFrame, value: str) -> DataFrame:
     """Mark the groups that reach the largest value, and those at or above the median group."""
+    groups = stage(groups, "groups")
     top = groups.agg(F.max(value)).scalar()
     return groups.withColumns(
         {

@@ -56,7 +56,7 @@ def condition_band(c: str = "ConditionValue") -> Column:
 
 
 def salary_band(c: str = "Monthly_Salary") -> Column:
-    """Outside all bands the text `nan`, as the text cast in the original report gives."""
+    """Outside all bands the text `nan`, as a cast to text gives."""
     return cut(c, SALARY_EDGES, SALARY_LABELS, missing_label="nan")
 
 

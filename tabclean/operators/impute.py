@@ -16,6 +16,7 @@ from .profile import melt, unfold
 from .quantile import group_quantiles
 
 WAS_NULL = "_was_null_"
+# The columns that may be filled, and those filled from codes.
 IMPUTABLE = ["Make", "Model", "Trim", "Body", "Color", "Interior", "Transmission", "Odometer", "ConditionValue"]
 CATEGORICAL = ["Make", "Model", "Trim", "Body"]
 

@@ -9,6 +9,7 @@ from ..functions.numeric import tenure_years
 from ..functions.text import full_name, map_values, title_case
 from ..operators.features import JOB_LEVELS, add_threshold_flags, salary_band
 
+# Columns of the clean table, in order.
 CLEAN_COLUMNS = [
     "No", "Full_Name", "First_Name", "Last_Name", "Gender", "Start_Date", "Tenure_Years", "Department",
     "Country", "Center", "Monthly_Salary", "Annual_Salary", "Salary_Band", "Job_Rate", "Job_Level",
@@ -17,7 +18,7 @@ CLEAN_COLUMNS = [
 LEVEL_ORDER = ["Junior", "Mid", "Senior", "Lead", "Principal"]
 NUMERIC = ["Monthly_Salary", "Tenure_Years", "Job_Rate", "Sick_Leaves", "Unpaid_Leaves", "Overtime_Hours"]
 
-# Names under which the department summary is exported.
+# Names under which the department summary is exported.
 DEPT_DISPLAY = {
     "Avg_Monthly_Salary": "Avg Monthly Salary ($)",
     "Total_Annual_Cost": "Total Annual Cost ($)",

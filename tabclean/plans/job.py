@@ -7,15 +7,22 @@ import argparse
 from tabclean.plans.sales import CleanConfig, audit, clean_sales, drop_marks
 from tabclean.operators.impute import drop_snapshot
 from tabclean.session import build_session
-from tabclean.sources.files import nan_to_null, read_table, write_auto
+from tabclean.sources.files import read_table, write_auto
+from tabclean.sources.staging import stage, staged_until_end
 
 
 def run(spark, source: str, target: str, strategy: str = "mode", audit_to: str | None = None) -> None:
-    """Clean the table at `source` and write it to `target` (CSV or Parquet, by suffix)."""
-    marked = clean_sales(nan_to_null(read_table(spark, source)), CleanConfig(strategy=strategy, keep_marks=True))
-    write_auto(drop_marks(drop_snapshot(marked)), target)
-    if audit_to:
-        write_auto(audit(marked), audit_to)
+    """Clean the table at `source` and write it to `target` (CSV or Parquet, by suffix).
+
+    With an audit, the marked table is written once and both results are read from it. Nothing
+    staged on the way is left behind.
+    """
+    with staged_until_end(spark):
+        marked = clean_sales(read_table(spark, source), CleanConfig(strategy=strategy, keep_marks=True))
+        if audit_to:
+            marked = stage(marked, "marked")
+            write_auto(audit(marked), audit_to)
+        write_auto(drop_marks(drop_snapshot(marked)), target)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -19,7 +19,7 @@ DRAW_KEYS = ["Make", "Body", "Year"]
 MODE_COLUMNS = ["Color", "Interior"]
 _MARK = "_hit_"
 
-# Step, rule and marker of the audit, in the order of the plan.
+# Step, rule and marker of the audit, in the order of the plan.
 AUDIT_RULES = [
     ("CS-001", "column shift realigned", _MARK + "CS-001"),
     ("CS-002", "make and body split", _MARK + "CS-002"),
@@ -44,6 +44,8 @@ class CleanConfig:
     strategy: `mode`, `knn`, `conditional`, `knn+conditional` or `none`.
     baseline: `raw` counts only cells null in the raw table as missing before,
     `post_sentinel` also those that held a placeholder.
+    prefixes: a table (code, make, body) of your own in place of the built-in one.
+    validate_aliases: replace a make's alias only where the prefix of the VIN confirms it.
     """
 
     strategy: str = "mode"
@@ -53,6 +55,8 @@ class CleanConfig:
     knn_sample: int = 50_000
     row_key: str = "Id"
     make_aliases: dict = field(default_factory=lambda: dict(repair.MAKE_ALIASES))
+    prefixes: DataFrame | None = None
+    validate_aliases: bool = False
 
 
 def repair_structure(df: DataFrame) -> DataFrame:
@@ -62,17 +66,20 @@ def repair_structure(df: DataFrame) -> DataFrame:
     return repair.merge_fragments(df, mark=_MARK + "MF-001")
 
 
-def standardise(df: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
-    """Phase 2: aliases, case, blanks."""
+def standardise(df: DataFrame, aliases: dict[str, str] | None = None, confirm: DataFrame | None = None) -> DataFrame:
+    """Phase 2: aliases, case, blanks. With a prefix table `confirm`, only aliases that it confirms."""
     aliases = repair.MAKE_ALIASES if aliases is None else aliases
-    lowered = F.lower("Make")
-    named = {k: v for k, v in aliases.items() if k != v.lower()}
-    df = df.withColumns(
-        {
-            "Make": map_values(lowered, aliases),
-            _MARK + "MK-001": F.coalesce(lowered.isin(list(named)), F.lit(False)),
-        }
-    )
+    if confirm is not None:
+        df = repair.apply_aliases_validated(df, confirm, mapping=aliases, mark=_MARK + "MK-001")
+    else:
+        lowered = F.lower("Make")
+        named = {k: v for k, v in aliases.items() if k != v.lower()}
+        df = df.withColumns(
+            {
+                "Make": map_values(lowered, aliases),
+                _MARK + "MK-001": F.coalesce(lowered.isin(list(named)), F.lit(False)),
+            }
+        )
     cols = {c: title_case(c) for c in TITLE_COLUMNS if c in df.columns}
     cols["Transmission"] = normalise_enum("Transmission", repair.TRANSMISSION_ALIASES)
     return df.withColumns(cols)
@@ -98,10 +105,13 @@ def null_sentinels(df: DataFrame) -> DataFrame:
 def before_imputation(df: DataFrame, config: CleanConfig = CleanConfig()) -> DataFrame:
     """Snapshot and phases 1 to 4: everything up to the statistical imputation. One narrow plan, no shuffle."""
     df = impute.snapshot_missing(df)
-    df = null_sentinels(standardise(repair_structure(df), config.make_aliases))
+    confirm = None
+    if config.validate_aliases:
+        confirm = impute.prefix_dimension(df.sparkSession) if config.prefixes is None else config.prefixes
+    df = null_sentinels(standardise(repair_structure(df), config.make_aliases, confirm))
     if config.baseline == "post_sentinel":
         df = impute.extend_snapshot(df)
-    return impute.impute_from_prefix(df, mark=_MARK + "IMP-VIN")
+    return impute.impute_from_prefix(df, config.prefixes, mark=_MARK + "IMP-VIN")
 
 
 def clean_sales(df: DataFrame, config: CleanConfig = CleanConfig()) -> DataFrame:
@@ -158,7 +168,16 @@ def prepare_sales(df: DataFrame, shift: str = "realign", trim: bool = True) -> D
     return add_features(df)
 
 
-# Columns of the exported main table, in order.
+def repair_complete(df: DataFrame) -> DataFrame:
+    """The repair script as one plan: shift, suffix, makes, fragments with trim, models, dashes, sentinel, features."""
+    df = repair.split_by_regex(repair.realign_shift_keep(df))
+    df = repair.merge_fragments_trim(repair.apply_aliases(df, "Make", repair.MAKE_ALIASES))
+    df = repair.apply_aliases(df, "Model", repair.MODEL_ALIASES)
+    df = repair.null_placeholder_all(df, repair.DASHES)
+    return prepare_sales(repair.sentinel_to_null(df, {"Odometer": [repair.NUMERIC_SENTINEL]}))
+
+
+# Columns of the exported main table, in order.
 EXPORT_COLUMNS = [
     "Id", "Year", "Make", "Model", "Trim", "Body", "Transmission", "State", "ConditionValue", "Odometer",
     "Color", "Interior", "MMR", "SellingPrice", "SaleDate", "SaleYear", "SaleMonth", "SaleQuarter",

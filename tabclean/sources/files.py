@@ -14,8 +14,9 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A Parquet table; NaN comes as null, the only missing value."""
     reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
+    return nan_to_null(reader.parquet(path))
 
 
 def read_csv(
@@ -84,6 +85,14 @@ def data_dictionary(df: DataFrame, descriptions: dict[str, str] | None = None, d
     return df.agg(*aggs).select(F.inline(F.array(*cells)))
 
 
+def folder_tables(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Names and paths of the Parquet tables in a folder of any file system that Spark reads."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    names = sorted(f.getPath().getName() for f in found)
+    return {n.removesuffix(".parquet"): f"{folder.rstrip('/')}/{n}" for n in names if n.endswith(".parquet")}
+
+
 def list_path_tables(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     """Name, rows and columns of the Parquet tables at the given paths; rows come from the file footers."""
     out = None

@@ -322,8 +322,8 @@ def test_csv_round_trip(spark, tmp_path):
 
 def test_jdbc_options():
     part = jdbc.Partition("Id", 0, 100, 4)
-    options = jdbc.jdbc_options("jdbc:x:y", "VehicleSales", partition=part)
-    assert options["dbtable"] == "VehicleSales" and options["numPartitions"] == "4"
+    options = jdbc.jdbc_options("jdbc:x:y", "some_table", partition=part)
+    assert options["dbtable"] == "some_table" and options["numPartitions"] == "4"
     with pytest.raises(ValueError):
         jdbc.jdbc_options("jdbc:x:y", "a", "b")
     with pytest.raises(ValueError):
