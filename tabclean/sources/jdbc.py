@@ -49,7 +49,7 @@ def read_jdbc(
     spark: SparkSession, url: str, table: str, partition: Partition | None = None, limit: int | None = None,
     properties: dict[str, str] | None = None,
 ) -> DataFrame:
-    """A whole table, or its first `limit` rows. Filters and column choice are pushed to the database."""
+    """A whole table, or `limit` of its rows; the limit is applied in Spark."""
     df = spark.read.format("jdbc").options(**jdbc_options(url, table, None, partition, properties)).load()
     return df if limit is None else df.limit(limit)
 
