@@ -17,11 +17,14 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from tabclean.catalog.views import TENURE_DATE, Views  # noqa: E402
 from tabclean.functions.text import normalise_enum, title_case  # noqa: E402
 from tabclean.operators import aggregate as agg  # noqa: E402
 from tabclean.operators import impute, repair, stats  # noqa: E402
+from tabclean.operators.quantile import group_quantiles  # noqa: E402
+from tabclean.plans import dashboard  # noqa: E402
 from tabclean.plans import sales as plan  # noqa: E402
 from tabclean.plans.employees import clean_employees  # noqa: E402
 from tabclean.session import build_session  # noqa: E402
@@ -49,8 +52,17 @@ def main() -> None:
     sales, staff = spark.read.parquet(f"{base}/sales"), spark.read.parquet(f"{base}/employees")
     plan.prepare_sales(sales).write.parquet(f"{base}/prepared")
     plan.before_imputation(sales).write.parquet(f"{base}/repaired")
+    plan.clean_sales(sales).write.parquet(f"{base}/cleaned")
+    cleaned = spark.read.parquet(f"{base}/cleaned")
+    # Four values a row, and one row whose odometer lies far from all others.
+    four = F.explode(F.array(*[F.col("SellingPrice") * x for x in (1.0, 1.37, 2.11, 3.59)]))
+    sales.select("State", four.alias("v")).write.parquet(f"{base}/many")
+    many = spark.read.parquet(f"{base}/many")
     prepared, repaired = spark.read.parquet(f"{base}/prepared"), spark.read.parquet(f"{base}/repaired")
 
+    far = F.when(F.col("Odometer") == repaired.agg(F.max("Odometer")).first()[0], 1e9).otherwise(F.col("Odometer"))
+    outlier = repaired.withColumn("Odometer", far)
+
     def standardise() -> DataFrame:
         cased = {c: title_case(c) for c in plan.TITLE_COLUMNS}
         return sales.withColumns(
@@ -67,7 +79,9 @@ def main() -> None:
         "sentinel_to_null": lambda: plan.null_sentinels(sales),
         "impute_from_prefix": lambda: impute.impute_from_prefix(sales),
         "impute_conditional": lambda: impute.impute_conditional(repaired, "Color", plan.DRAW_KEYS),
+        "impute_group_mode": lambda: impute.impute_group_mode(repaired, ["Color", "Interior"], plan.GROUP_KEYS),
         "impute_knn": lambda: impute.impute_knn(repaired, "Color"),
+        "impute_knn_outlier": lambda: impute.impute_knn(outlier, "Color"),
         "clean_sales": lambda: plan.clean_sales(sales),
         "clean_sales_knn": lambda: plan.clean_sales(sales, plan.CleanConfig(strategy="knn+conditional")),
         "prepare_sales": lambda: plan.prepare_sales(sales),
@@ -77,6 +91,8 @@ def main() -> None:
         "pivot_heatmap": lambda: agg.heatmap(prepared),
         "box_stats": lambda: stats.box_stats(prepared, "Body", "SellingPrice", top=6),
         "corr_matrix": lambda: stats.corr_matrix(prepared, ["SellingPrice", "MMR", "Odometer", "Year"], "listwise"),
+        "quantiles_over_2m": lambda: group_quantiles(many, ["State"], "v", [0.25, 0.5, 0.75], ["q25", "q50", "q75"]),
+        "dashboard_kpis": lambda: dashboard.kpis(dashboard.dashboard_table(cleaned, ["clean", "imputed"])),
         "clean_employees": lambda: clean_employees(staff, TENURE_DATE),
     }
     only = sys.argv[1:]
