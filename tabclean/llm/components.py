@@ -9,6 +9,16 @@ from ..sources.staging import stage
 from .skew import spread_join
 
 
+def narrow(links: DataFrame) -> DataFrame:
+    """A table of ids in an eighth of the shuffle's partitions, which are made for texts."""
+    parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return links.coalesce(max(1, parts // 8))
+
+
+def _written(edges: DataFrame) -> DataFrame:
+    return stage(narrow(edges), "links")
+
+
 def _smallest(edges: DataFrame, key: str, other: str) -> DataFrame:
     """Each pair with the smallest of `key` and all its partners."""
     least = edges.groupBy(key).agg(F.least(F.min(other), F.col(key)).alias("__m"))
@@ -25,16 +35,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     component of one.
     """
     alone = edges.where("a = b").select("a")
-    now = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    now = _written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while True:
-        both = stage(now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+        both = _written(now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))))
         large = _smallest(both, "a", "b").where("b > a").select(F.col("b").alias("a"), F.col("__m").alias("b"))
-        large = stage(large.where("a <> b").distinct(), "links")
+        large = _written(large.where("a <> b").distinct())
         small = _smallest(large, "a", "b")
         small = small.select(F.explode(F.array(
             F.struct(F.col("a"), F.col("__m").alias("b")), F.struct(F.col("b").alias("a"), F.col("__m").alias("b"))
         )).alias("e")).select("e.*")
-        after = stage(small.where("a <> b").distinct(), "links")
+        after = _written(small.where("a <> b").distinct())
         if _checked(after) == _checked(now):
             break
         now = after

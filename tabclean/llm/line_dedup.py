@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from ..sources.staging import scratch_path, staged_until_end
-from .skew import spread_join
+from .skew import spread_join, stage_bucketed
 
 _BLANK = b" \t\n\v\f\r"
 
@@ -48,9 +48,8 @@ def line_keys(docs: DataFrame, min_points: int = 10) -> DataFrame:
 class LineRuns:
     """Levelled runs of (key, owner). All runs have equally many buckets, so joins with them need no shuffle."""
 
-    def __init__(self, spark: SparkSession, fan_in: int = 4, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, fan_in: int = 4):
         self.spark, self.fan_in = spark, fan_in
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = [[]]
 
     def tables(self) -> list[str]:
@@ -67,7 +66,7 @@ class LineRuns:
 
     def add(self, rows: DataFrame) -> None:
         """Adds keys that no run holds, then compacts full levels."""
-        self.levels[0].append(self._written(rows))
+        self.levels[0].append(stage_bucketed(rows.select("key", "owner"), "key", "run"))
         for i in range(len(self.levels) + 1):
             if i == len(self.levels) or len(self.levels[i]) < self.fan_in:
                 break
@@ -75,7 +74,7 @@ class LineRuns:
             for name in self.levels[i]:
                 part = self.spark.table(name)
                 merged = part if merged is None else merged.unionByName(part)
-            name = self._written(merged)
+            name = stage_bucketed(merged, "key", "run")
             for old in self.levels[i]:
                 self.spark.sql(f"DROP TABLE {old}")
             self.levels[i] = []
@@ -83,13 +82,6 @@ class LineRuns:
                 self.levels.append([])
             self.levels[i + 1].append(name)
 
-    def _written(self, rows: DataFrame) -> str:
-        path = scratch_path(self.spark, "run")
-        name = path.rsplit("/", 1)[1].replace("-", "_")
-        dealt = rows.select("key", "owner").repartition(self.buckets, "key")
-        dealt.write.format("parquet").bucketBy(self.buckets, "key").sortBy("key").option("path", path).saveAsTable(name)
-        return name
-
     def drop(self) -> None:
         for name in self.tables():
             self.spark.sql(f"DROP TABLE {name}")

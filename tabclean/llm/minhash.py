@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from ..sources.staging import stage
-from .components import connected_components
-from .skew import heavy_keys, spread_join
+from .components import connected_components, narrow
+from .skew import heavy_keys, spread_join, stage_bucketed
 from .words import mixed, odd_constants, shingle_set
 
 BANDS, ROWS = 32, 5
@@ -159,11 +159,16 @@ class _Links:
         keyed = firsts.select("doc", F.explode("bands").alias("key"))
         buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("doc").alias("lo"), F.max("doc").alias("hi"))
         buckets = stage(buckets.where("lo < hi").select("key", "c"), "buckets")
-        heavy = [r["key"] for r in buckets.orderBy(F.desc("c")).limit(500).collect() if r["c"] > 2000]
-        self.members = stage(spread_join(keyed, buckets.select("key"), "key", spread_by="doc", heavy=heavy), "members")
+        # Buckets with over a thousandth of all members are spread; there are fewer than a thousand.
+        top = buckets.orderBy(F.desc("c")).limit(1000).collect()
+        least = max(1000, (buckets.agg(F.sum("c")).first()[0] or 0) // 1000)
+        self.heavy = [r["key"] for r in top if r["c"] > least]
+        self.members = stage(spread_join(keyed, buckets.select("key"), "key", spread_by="doc", heavy=self.heavy), "members")
         needed = self.members.select("doc").distinct()
         self.known = stage(firsts.select("doc", "n", "sketch").join(needed, "doc", "left_semi"), "sketches")
-        self.sets = stage(shingle_sets(docs.join(needed, "doc", "left_semi"), shingle).dropDuplicates(["doc", "shingles"]), "sets")
+        sets = shingle_sets(docs.join(needed, "doc", "left_semi"), shingle)
+        # Bucketed by document: each round moves its pairs, not the sets of all candidates.
+        self.sets = stage_bucketed(sets.dropDuplicates(["doc", "shingles"]), "doc", "sets")
 
     def placed(self, labels: DataFrame | None) -> DataFrame:
         """(key, doc, component) of all members of buckets."""
@@ -173,17 +178,21 @@ class _Links:
         return out.select("key", "doc", F.coalesce("component", "doc").alias("component"))
 
     def hub_pairs(self, placed: DataFrame, turn: int) -> DataFrame:
-        """Pairs of a member with the hub of its bucket, where they are of different components."""
-        draw = F.struct(F.xxhash64("doc", F.pmod("key", F.lit(4)), F.lit(turn)).alias("h"), "doc", "component")
-        hubs = placed.groupBy("key").agg(F.min(draw).alias("hub"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        """(a, b): members a with the hub b of their bucket, where they are of different components.
+
+        All buckets prefer the same hubs, so a member meets few of them.
+        """
+        drawn = F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), "doc", "component")
+        hubs = placed.groupBy("key").agg(F.min(drawn).alias("hub"), F.min("component").alias("lo"), F.max("component").alias("hi"))
         hubs = hubs.where("lo < hi").select("key", F.col("hub.doc").alias("hub"), F.col("hub.component").alias("of"))
-        met = spread_join(placed, hubs, "key", spread_by="doc").where("component <> of")
-        return met.select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct()
+        met = spread_join(placed, hubs, "key", spread_by="doc", heavy=self.heavy).where("component <> of")
+        return met.select(F.col("doc").alias("a"), F.col("hub").alias("b")).distinct()
 
     def open_pairs(self, placed: DataFrame) -> int:
-        """Pairs in the buckets that hold more than one component, at most."""
-        per = placed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-        return int(per.where("lo < hi").agg(F.coalesce(F.sum(F.expr("c * (c - 1.0) / 2")), F.lit(0.0))).first()[0])
+        """Pairs of different components within buckets."""
+        sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+        cross = sizes.groupBy("key").agg(F.expr("(pow(sum(c), 2) - sum(pow(c, 2))) / 2").alias("n"))
+        return int(cross.agg(F.coalesce(F.sum("n"), F.lit(0.0))).first()[0])
 
     def other_pairs(self, placed: DataFrame) -> DataFrame:
         """All pairs of different components in a bucket that size and sketch admit."""
@@ -197,18 +206,19 @@ class _Links:
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are links, after size, sketch and the comparison of whole sets."""
-        pairs = stage(pairs, "pairs")
-        pairs = spread_join(pairs, self.known.toDF("a", "n_a", "s_a"), "a", spread_by="b")
-        pairs = stage(pairs, "pairs")
-        pairs = spread_join(pairs, self.known.toDF("b", "n_b", "s_b"), "b", spread_by="a")
-        pairs = stage(pairs.where(_passes(self.percent)).select("a", "b"), "pairs")
-        left = spread_join(pairs, self.sets.toDF("a", "left"), "a", spread_by="b")
-        both = spread_join(left, self.sets.toDF("b", "right"), "b", spread_by="a", heavy=heavy_keys(pairs, "b"))
+        pairs = stage(narrow(pairs), "pairs")
+        of_a, of_b = heavy_keys(pairs, "a"), heavy_keys(pairs, "b")
+        rated = spread_join(pairs, self.known.toDF("a", "n_a", "s_a"), "a", spread_by="b", heavy=of_a)
+        rated = spread_join(rated, self.known.toDF("b", "n_b", "s_b"), "b", spread_by="a", heavy=of_b)
+        pairs = stage(rated.where(_passes(self.percent)).select("a", "b"), "pairs")
+        sets = pairs.sparkSession.table(self.sets).select("doc", "shingles")
+        both = spread_join(pairs, sets.toDF("a", "left"), "a", spread_by="b", heavy=of_a)
+        both = spread_join(both, sets.toDF("b", "right"), "b", spread_by="a", heavy=of_b)
         return stage(confirmed(both, self.percent), "linked")
 
 
-#: Pairs of a bucket compared one by one once hubs have left so few of them, per member of a bucket.
-_PAIRS_A_MEMBER = 16
+#: After so many rounds of hubs, pairs are compared one by one if no more are left per member of a bucket.
+_ROUNDS, _PAIRS_A_MEMBER = 2, 64
 
 
 def _components(firsts: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame | None:
@@ -218,11 +228,18 @@ def _components(firsts: DataFrame, docs: DataFrame, shingle: int, percent: int)
     pair, at the latest when hubs link nothing more. The result is the same whenever that
     happens.
     """
-    found, labels, turn = _Links(firsts, docs, shingle, percent), None, 0
-    members = found.members.count()
+    found = _Links(firsts, docs, shingle, percent)
+    try:
+        return _merged(found)
+    finally:
+        docs.sparkSession.sql(f"DROP TABLE {found.sets}")
+
+
+def _merged(found: _Links) -> DataFrame | None:
+    labels, turn, members = None, 0, found.members.count()
     while True:
         placed = stage(found.placed(labels), "placed")
-        last = found.open_pairs(placed) <= _PAIRS_A_MEMBER * members
+        last = turn >= _ROUNDS and found.open_pairs(placed) <= _PAIRS_A_MEMBER * members
         new = found.links(found.other_pairs(placed) if last else found.hub_pairs(placed, turn))
         if new.isEmpty():
             if last:
@@ -231,7 +248,7 @@ def _components(firsts: DataFrame, docs: DataFrame, shingle: int, percent: int)
             if new.isEmpty():
                 return labels
         edges = new if labels is None else new.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        labels, turn = stage(connected_components(edges), "labels"), turn + 1
+        labels, turn = stage(narrow(connected_components(edges)), "labels"), turn + 1
         if last:
             return labels
 

@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import scratch_path
+
 #: A key with more than this share of the rows is heavy, so there are fewer than 1 / SHARE of them.
 SHARE = 0.001
 SALTS = 32
+#: So many rows of a key are no load for one task.
+LEAST_ROWS = 20_000
 
 
 def heavy_keys(fact: DataFrame, key: str, share: float = SHARE) -> list:
-    """The keys with more than `share` of all rows: fewer than 1 / share values, found by a grouped count."""
+    """The keys with more than `share` of all rows and `LEAST_ROWS`: fewer than 1 / share values, by a grouped count."""
+    rows = fact.count()
+    least = max(share * rows, LEAST_ROWS)
     counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    top = counts.orderBy(F.desc("__n")).limit(int(1 / share)).collect()
-    least = max(share * fact.count(), 100)
+    # No key of a table with fewer rows can be heavy, so it isn't counted by key.
+    top = counts.orderBy(F.desc("__n")).limit(int(1 / share)).collect() if least < rows else []
     return [r[key] for r in top if r["__n"] > least]
 
 
@@ -22,19 +28,31 @@ def spread_join(
     fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", spread_by: str | None = None,
     salts: int = SALTS, heavy: list | None = None,
 ) -> DataFrame:
-    """Join on `key`, which is unique in `dim`; rows of heavy keys are dealt over `salts` tasks.
+    """Inner or left join on `key`, which is unique in `dim`; heavy and null keys are dealt over `salts` tasks.
 
-    Only the `dim` rows of heavy keys are copied, `salts` times each. `fact` should be
+    Only the `dim` rows of heavy keys are copied, `salts` times each; all other rows are
+    joined as they are, so a bucketed `dim` is not shuffled for them. `fact` should be
     written already, since it is counted first, unless `heavy` is known. Rows are dealt by
     a hash of `spread_by` (all columns of `fact` if not given), so that a repeated task
     deals alike.
     """
     heavy = heavy_keys(fact, key) if heavy is None else heavy
-    if not heavy:
-        return fact.join(dim, key, how)
-    hot = F.coalesce(F.col(key).isin(heavy), F.lit(False))
-    dealt = F.xxhash64(*([spread_by] if spread_by else fact.columns))
-    left = fact.withColumn("__salt", F.when(hot, F.pmod(dealt, F.lit(salts))).otherwise(F.lit(0)).cast("int"))
-    every = F.array(*[F.lit(i) for i in range(salts)])
-    right = dim.withColumn("__salt", F.explode(F.when(hot, every).otherwise(F.array(F.lit(0)))))
-    return left.join(right, [key, "__salt"], how).drop("__salt")
+    listed = F.coalesce(F.col(key).isin(heavy), F.lit(False)) if heavy else F.lit(False)
+    if how == "inner" and not heavy:
+        return fact.join(dim, key)
+    apart = listed if how == "inner" else listed | F.col(key).isNull()
+    salt = F.pmod(F.xxhash64(*([spread_by] if spread_by else fact.columns)), F.lit(salts)).cast("int")
+    every = F.explode(F.array(*[F.lit(i) for i in range(salts)]))
+    hot = fact.where(apart).withColumn("__salt", salt).join(dim.where(listed).withColumn("__salt", every), [key, "__salt"], how)
+    return fact.where(~apart).join(dim, key, how).unionByName(hot.drop("__salt"))
+
+
+def stage_bucketed(df: DataFrame, key: str, name: str) -> str:
+    """Writes `df` as a table bucketed and sorted by `key`, as many buckets as a shuffle has partitions; its name."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    dealt = df.repartition(buckets, key)
+    dealt.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return table
