@@ -164,11 +164,15 @@ def _dictionary(payloads: list[bytes]) -> bytes | None:
         return None
 
 
-def write_archives(records: DataFrame, path: str, archives: int) -> None:
-    """Writes the rows (number, url, payload, refers_to) as that many archives below `path`."""
-    sample = records.where("refers_to IS NULL AND length(payload) > 0").orderBy(F.xxhash64("number")).limit(DICT_ROWS)
-    sample = sample.select(F.substring("payload", 1, DICT_BYTES_EACH).alias("p")).collect()
-    trained = _dictionary([bytes(r.p) for r in sample])
+def train_on(pages: DataFrame, rows: int) -> bytes | None:
+    """A dictionary from about `DICT_ROWS` of the `rows` rows (number, url, payload), drawn by a hash."""
+    drawn = F.pmod(F.xxhash64("number", "url", F.length("payload")), F.lit(1 << 30)) * rows < DICT_ROWS * (1 << 30)
+    sample = pages.where((F.length("payload") > 0) & drawn).select(F.substring("payload", 1, DICT_BYTES_EACH).alias("p"))
+    return _dictionary([bytes(r.p) for r in sample.limit(2 * DICT_ROWS).collect()])
+
+
+def write_archives(records: DataFrame, path: str, trained: bytes | None) -> None:
+    """Writes the rows (number, url, payload, refers_to), one archive for each partition, below `path`."""
 
     def packed(batches):
         known = zstandard.ZstdCompressionDict(trained) if trained else None
@@ -181,8 +185,8 @@ def write_archives(records: DataFrame, path: str, archives: int) -> None:
             out = [pack.compress(record(n.as_py(), u.as_py(), p.as_py() or b"", r.as_py())) for n, u, p, r in rows]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
 
-    dealt = records.select("number", "url", "payload", "refers_to").repartition(archives)
-    packed_rows = dealt.mapInArrow(packed, "frame binary").select(F.col("frame").cast("string").alias("value"))
+    rows = records.select("number", "url", "payload", "refers_to").mapInArrow(packed, "frame binary")
+    packed_rows = rows.select(F.col("frame").cast("string").alias("value"))
     packed_rows.write.option("lineSep", _SEPARATOR).text(path)
 
 
@@ -219,18 +223,20 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def with_revisits(pages: DataFrame) -> DataFrame:
-    """(number, url, payload, refers_to) of (number, url, payload): equal payloads are stored once.
+def with_revisits(pages: DataFrame, partitions: int) -> DataFrame:
+    """(number, url, payload, refers_to) of (number, url, payload) in that many partitions: equal payloads are stored once.
 
     Of rows with equal payloads those with the largest number are responses and the others
-    refer to it. Rows without a number are responses and are referred to by none.
+    refer to it. Rows without a number are responses and are referred to by none. Payloads
+    move once, to the partition in which they stay; who refers to whom is found out on keys.
     """
     keyed = pages.withColumn("key", F.sha2("payload", 256))
-    keys = stage(keyed.select("number", "key"), "keys")
+    keys = stage(keyed.select("number", F.unhex("key").alias("key")), "keys")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("number").alias("largest")).where("n > 1")
     revisits = spread_join(keys, shared, "key", spread_by="number").where("number < largest")
-    revisits = revisits.select(F.col("number").alias("r_number"), F.col("key").alias("r_key"), "largest").distinct()
-    out = keyed.join(revisits, F.expr("number = r_number AND key = r_key"), "left")
+    revisits = revisits.select("number", F.lower(F.hex("key")).alias("key"), "largest").distinct()
+    left, right = (df.repartition(partitions, "number", "key") for df in (keyed, revisits))
+    out = left.join(right.toDF("r_number", "r_key", "largest"), F.expr("number = r_number AND key = r_key"), "left")
     return out.select("number", "url", "payload", F.col("largest").alias("refers_to"))
 
 
@@ -245,8 +251,9 @@ def archive(pages: DataFrame, path: str) -> None:
         F.col("page_id").cast("long").alias("number"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"),
     )
-    size = rows.agg(F.coalesce(F.sum(F.length("payload")), F.lit(0))).first()[0]
-    write_archives(with_revisits(rows), path, max(1, -(-size // ARCHIVE_BYTES), min(size >> 21, 64)))
+    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("payload")), F.lit(0))).first()
+    archives = max(1, -(-size // ARCHIVE_BYTES), min(size >> 21, 64))
+    write_archives(with_revisits(rows, archives), path, train_on(rows, max(n, 1)))
 
 
 def op9(spark: SparkSession, folder: str) -> DataFrame:
