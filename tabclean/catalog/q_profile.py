@@ -30,7 +30,7 @@ def _(v: Views):
     return profile.shape(v.sales)
 
 
-_KINDS = {"Id": "bigint", "Year": "int", "SaleDate": "timestamp_ntz"} | {
+_KINDS = {"Year": "int", "SaleDate": "timestamp_ntz"} | {
     c: "double" for c in ["ConditionValue", "Odometer", "MMR", "SellingPrice"]
 }
 
