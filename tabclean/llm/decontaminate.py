@@ -1,15 +1,11 @@
 """Benchmark items inside documents, up to a share of edited words.
 
-The CGK embedding reads a word sequence by a random walk: at each step it notes the word it
-stands on, and a bit drawn from step and word says whether it moves on. Two sequences that
-differ by few edits are read in step again soon after each, so their embeddings differ in
-few places: edit distance becomes Hamming distance. Bit-sampling tables over several
-independent walks then find candidates; a bit-parallel edit distance over words decides.
-
-Windows are as long as the items of a length class. A best match begins, without loss, with
-a word that is among the first d + 1 words of the item, where d is the number of edits
-allowed; so windows begin at such words only, each item is embedded from each of them, and
-a window must hold enough words of the benchmark at all. Both tests are exact bounds.
+An item with d edits allowed is cut into d + 1 pieces of neighbouring words. An edit changes
+one piece at most, so a run that is at most d edits away holds one piece unchanged, at most
+d words from where the item has it. Documents are searched for pieces; each one found gives a
+window that holds every such run around it, and a bit-parallel edit distance over words
+decides. A window with too few words of the item is passed over before. All of this is exact
+for items of any length and edits of any kind: nothing is drawn and nothing missed.
 
 Everything happens where the document is: no shuffle. Items are sent out in blocks of
 proven size; more items make more blocks.
@@ -30,12 +26,9 @@ from .words import mixed, odd_constants, word_hashes, words
 PERCENT_EDITS = 20
 #: Items with fewer words are no passages; they match nothing.
 LEAST_WORDS = 5
-WALKS, TABLES, SAMPLES = 4, 6, 3
-#: Tables in which a window and an item must agree.
-AGREE = 2
 #: At most so many items and bytes of items go out at once.
 BLOCK_ITEMS, BLOCK_BYTES = 10_000, 16 << 20
-_AT_ONCE = 400_000
+_AT_ONCE, _CELLS = 400_000, 1 << 22
 
 
 def edits_allowed(n_words: int, percent: int = PERCENT_EDITS) -> int:
@@ -65,79 +58,49 @@ def least_edits(item: list, text: list, at_most: int) -> tuple[int, int] | None:
     return best if best[0] <= at_most else None
 
 
-class LengthClass:
-    """The tables of items of similar length. `items`: (id, word hashes)."""
-
-    def __init__(self, items: list[tuple[int, np.ndarray]], percent: int):
-        lengths = [len(w) for _, w in items]
-        edits = [edits_allowed(n, percent) for n in lengths]
-        self.span = max(n + d for n, d in zip(lengths, edits))
-        self.least = min(n - d for n, d in zip(lengths, edits))
-        self.steps = max(2, int(1.6 * self.least))
-        starts = [(k, j) for k, d in enumerate(edits) for j in range(d + 1)]
-        self.of = np.array([k for k, _ in starts])
-        flat = np.concatenate([w for _, w in items])
-        ends = np.cumsum(lengths)
-        at = np.array([ends[k] - lengths[k] + j for k, j in starts])
-        self.starts = np.unique(flat[at])
-        rng = np.random.default_rng(self.least * 1000 + self.span)
-        self.picks = np.sort(rng.integers(1, self.steps, (WALKS, TABLES, SAMPLES)), axis=2)
-        self.turns = odd_constants(WALKS * self.steps, 31).reshape(WALKS, self.steps)
-        self.weights = odd_constants(TABLES * SAMPLES, 37).reshape(TABLES, SAMPLES)
-        self.tables = []
-        for keys in self.keys(flat, at, ends[self.of]):
-            order = np.argsort(keys, kind="stable")
-            seen = np.zeros(1 << 16, bool)
-            seen[(keys >> np.uint64(48)).astype(np.int64)] = True
-            self.tables.append((keys[order], order, seen))
-
-    def keys(self, hashes: np.ndarray, at: np.ndarray, ends: np.ndarray):
-        """The table keys of the windows that begin at `at`, one array for each walk and table."""
-        for walk in range(WALKS):
-            place = at.copy()
-            wanted = {}
-            for table in range(TABLES):
-                for s in range(SAMPLES):
-                    wanted.setdefault(int(self.picks[walk, table, s]), []).append((table, s))
-            sums = [np.zeros(len(at), np.uint64) for _ in range(TABLES)]
-            for step in range(max(wanted) + 1):
-                word = hashes[np.minimum(place, len(hashes) - 1)]
-                word[place >= ends] = 0
-                for table, s in wanted.get(step, ()):
-                    sums[table] += word * self.weights[table, s]
-                place += ((word * self.turns[walk, step]) >> np.uint64(63)).astype(np.int64)
-            for table in range(TABLES):
-                yield mixed(sums[table] + hashes[at])
-
-    def candidates(self, hashes: np.ndarray, at: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
-        """(window number, item number) with equal keys in at least `AGREE` tables."""
-        items = int(self.of.max()) + 1
-        met = []
-        for keys, (known, order, seen) in zip(self.keys(hashes, at, ends), self.tables):
-            maybe = np.flatnonzero(seen[(keys >> np.uint64(48)).astype(np.int64)])
-            lo, hi = (np.searchsorted(known, keys[maybe], side) for side in ("left", "right"))
-            n = hi - lo
-            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            met.append(np.unique(np.repeat(maybe, n) * items + self.of[order[np.repeat(lo, n) + within]]))
-        pairs, tables = np.unique(np.concatenate(met), return_counts=True)
-        return [divmod(int(x), items) for x in pairs[tables >= AGREE]]
+def pieces(n_words: int, edits: int) -> list[tuple[int, int]]:
+    """(begin, end) of `edits` + 1 pieces of an item, as even as can be."""
+    cuts = [n_words * i // (edits + 1) for i in range(edits + 2)]
+    return list(zip(cuts, cuts[1:]))
+
+
+def run_keys(hashes: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """The keys of the runs of `width` words that begin at `at`."""
+    weights = odd_constants(width, 31 + width)
+    sums = np.zeros(len(at), np.uint64)
+    for i in range(width):
+        sums += hashes[at + i] * weights[i]
+    return mixed(sums)
 
 
 class Index:
-    """All length classes of a block of items."""
+    """The pieces of a block of items, by their number of words."""
 
     def __init__(self, items: list[tuple[int, bytes | None]], percent: int = PERCENT_EDITS):
-        self.percent = percent
+        if not 0 <= percent < 100:
+            raise ValueError("percent must be from 0 to 99")
         hashed = [(i, word_hashes(words(t))) for i, t in items if i is not None]
-        groups: dict[int, list] = {}
-        for i, w in hashed:
-            if len(w) >= LEAST_WORDS:
-                groups.setdefault(int(math.log(len(w), 1.5)), []).append((i, w))
-        self.groups = [(LengthClass(g, percent), g) for _, g in sorted(groups.items())]
-        self.vocabulary = np.unique(np.concatenate([w for g in groups.values() for _, w in g])) if groups else np.array([], np.uint64)
+        self.items = [(i, w) for i, w in hashed if len(w) >= LEAST_WORDS]
+        self.lengths = np.array([len(w) for _, w in self.items], np.int64)
+        self.edits = np.array([edits_allowed(len(w), percent) for _, w in self.items], np.int64)
+        self.vocabulary = np.unique(np.concatenate([w for _, w in self.items])) if self.items else np.array([], np.uint64)
+        by_width: dict[int, list] = {}
+        for k, (_, w) in enumerate(self.items):
+            for begin, end in pieces(len(w), int(self.edits[k])):
+                by_width.setdefault(end - begin, []).append((k, begin))
+        flat = np.concatenate([w for _, w in self.items]) if self.items else self.vocabulary
+        firsts = np.cumsum(self.lengths) - self.lengths
+        self.tables = []
+        for width, listed in sorted(by_width.items()):
+            of, begins = np.array(listed, np.int64).T
+            keys = run_keys(flat, firsts[of] + begins, width)
+            order = np.argsort(keys, kind="stable")
+            seen = np.zeros(1 << 16, bool)
+            seen[(keys >> np.uint64(48)).astype(np.int64)] = True
+            self.tables.append((width, keys[order], of[order], begins[order], seen))
 
     def search(self, texts: list[bytes | None]) -> list[dict[int, tuple[int, int]]]:
-        """For each text: {item id: (edits, word after the match)}."""
+        """For each text: {item id: (edits, word after the match)}; the first of the nearest matches."""
         found: list[dict] = [{} for _ in texts]
         first = 0
         while first < len(texts):
@@ -146,37 +109,77 @@ class Index:
                 parts.append(word_hashes(words(texts[last])))
                 size += len(parts[-1])
                 last += 1
-            if size and self.groups:
-                self._search(parts, size, found[first:last])
+            if size and self.items:
+                self._search(parts, found[first:last])
             first = last
         return found
 
-    def _search(self, parts: list[np.ndarray], size: int, found: list[dict]) -> None:
+    def _search(self, parts: list[np.ndarray], found: list[dict]) -> None:
         hashes = np.concatenate(parts)
-        lengths = np.array([len(p) for p in parts])
-        stops = np.cumsum(lengths)
+        bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
         place = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
         of_items = self.vocabulary[place] == hashes
+        # The last number is that of all words no item has.
+        place[~of_items] = len(self.vocabulary)
         before = np.concatenate([[0], np.cumsum(of_items)])
         at_all = np.flatnonzero(of_items)
-        doc_of = np.searchsorted(stops, at_all, "right")
-        end_of = stops[doc_of]
-        for tables, items in self.groups:
-            begins = np.isin(self.vocabulary, tables.starts)[place[at_all]]
-            begins &= before[np.minimum(at_all + tables.span, end_of)] - before[at_all] >= tables.least
-            at, docs, ends = at_all[begins], doc_of[begins], end_of[begins]
-            if not len(at):
+        stop_of = bounds[np.searchsorted(bounds, at_all, "right")]
+        met = [np.empty((0, 3), np.int64)]
+        for width, known, of, begins, seen in self.tables:
+            inside = at_all + width <= stop_of
+            at = at_all[inside]
+            at = at[before[at + width] - before[at] == width]
+            keys = run_keys(hashes, at, width)
+            maybe = np.flatnonzero(seen[(keys >> np.uint64(48)).astype(np.int64)])
+            lo, hi = (np.searchsorted(known, keys[maybe], side) for side in ("left", "right"))
+            # Pieces that many items share are met in portions.
+            ends = np.cumsum(hi - lo)
+            for portion in np.split(np.arange(len(maybe)), np.flatnonzero(np.diff(ends // _CELLS)) + 1):
+                n = (hi - lo)[portion]
+                within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                piece = np.repeat(lo[portion], n) + within
+                met.append(self._windows(np.repeat(at[maybe[portion]], n), begins[piece], of[piece], bounds, before))
+        windows = np.concatenate(met)
+        windows = windows[np.lexsort(windows.T[::-1])]
+        cuts = np.flatnonzero(np.diff(windows[:, 0])) + 1
+        for own in np.split(windows, cuts) if len(windows) else []:
+            k = int(own[0, 0])
+            item, item_words = self.items[k]
+            own = own[self._holds_enough(k, own, place)]
+            if not len(own):
                 continue
-            for i, k in tables.candidates(hashes, at, ends):
-                item, item_words = items[k]
-                doc = int(docs[i])
-                allowed = edits_allowed(len(item_words), self.percent)
-                start = int(ends[i] - lengths[doc])
-                lo = max(start, int(at[i]) - allowed)
-                hi = min(int(ends[i]), int(at[i]) + len(item_words) + 2 * allowed)
-                best = least_edits(item_words.tolist(), hashes[lo:hi].tolist(), allowed)
+            # Windows of a document that overlap or touch are read at once.
+            doc_of = np.searchsorted(bounds, own[:, 1], "right") - 1
+            reach = np.maximum.accumulate(own[:, 2])
+            new = np.concatenate([[True], (own[1:, 1] > reach[:-1]) | (doc_of[1:] != doc_of[:-1])])
+            begin = np.flatnonzero(new)
+            last = np.concatenate([begin[1:], [len(own)]]) - 1
+            sought = item_words.tolist()
+            for lo, hi, doc in zip(own[begin, 1].tolist(), reach[last].tolist(), doc_of[begin].tolist()):
+                best = least_edits(sought, hashes[lo:hi].tolist(), int(self.edits[k]))
                 if best and (item not in found[doc] or best[0] < found[doc][item][0]):
-                    found[doc][item] = (best[0], lo - start + best[1])
+                    found[doc][item] = (best[0], lo - int(bounds[doc]) + best[1])
+
+    def _windows(self, at: np.ndarray, offset: np.ndarray, of: np.ndarray, bounds: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """(item, from, to) of the words that a match may use whose piece, `offset` words into the item, stands at `at`."""
+        doc = np.searchsorted(bounds, at, "right")
+        lo = np.maximum(bounds[doc - 1], at - offset - self.edits[of])
+        hi = np.minimum(bounds[doc], at - offset + self.lengths[of] + self.edits[of])
+        enough = before[hi] - before[lo] >= self.lengths[of] - self.edits[of]
+        return np.stack([of, lo, hi], axis=1)[enough]
+
+    def _holds_enough(self, k: int, own: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Which windows hold as many words of the item as a match leaves unchanged."""
+        member = np.zeros(len(self.vocabulary) + 1, bool)
+        member[np.searchsorted(self.vocabulary, self.items[k][1])] = True
+        span, least = int((own[:, 2] - own[:, 1]).max()), self.lengths[k] - self.edits[k]
+        out = np.empty(len(own), bool)
+        step = max(1, _CELLS // span)
+        for i in range(0, len(own), step):
+            lo, hi = own[i : i + step, 1:2], own[i : i + step, 2:]
+            cells = lo + np.arange(span)
+            out[i : i + step] = (member[place[np.minimum(cells, len(place) - 1)]] & (cells < hi)).sum(axis=1) >= least
+        return out
 
 
 _HITS = pa.list_(pa.struct([("item", pa.int64()), ("edits", pa.int64()), ("word_end", pa.int64())]))

@@ -153,6 +153,40 @@ def test_leak_recall_and_precision():
     assert not any(index.search([prose(rng, 500).encode() for _ in range(50)]))
 
 
+def edited(rng, item, kinds, n):
+    """`item` after `n` edits of the given kinds at different words."""
+    own = list(item)
+    for at in sorted(rng.sample(range(len(own)), n), reverse=True):
+        kind = rng.choice(kinds)
+        own[at : at + (kind != "insert")] = [] if kind == "delete" else ["x%d" % rng.randrange(99999)]
+    return own
+
+
+@pytest.mark.parametrize("kinds", [["replace"], ["delete"], ["insert"], ["replace", "delete", "insert"]])
+@pytest.mark.parametrize("length", [5, 9, 15, 26, 39, 58, 87, 130, 195, 292, 400])
+def test_leak_recall_is_whole(length, kinds):
+    """Every item within its edits is found, whatever its length and the kind of the edits."""
+    rng = random.Random(length)
+    items = [(i, prose(rng, length + i % 7, 10**9)) for i in range(30)]
+    index = Index([(i, t.encode()) for i, t in items])
+    for i, t in items:
+        own = edited(rng, t.split(), kinds, edits_allowed(len(t.split())))
+        text = " ".join([prose(rng, 50, 10**9), *own, prose(rng, 50, 10**9)])
+        assert i in index.search([text.encode()])[0], (i, kinds)
+
+
+def test_leaks_equal_all_distances():
+    """Few different words: pieces are found everywhere, and items, edits and ends equal a plain scan."""
+    rng = random.Random(11)
+    items = [(i, prose(rng, n, v)) for i, (n, v) in enumerate([(5, 9), (8, 9), (12, 9), (20, 9), (33, 5), (60, 5), (47, 30)] * 3)]
+    texts = [prose(rng, rng.randrange(1, 90), rng.choice([5, 9, 30])) for _ in range(120)]
+    texts += [" ".join([prose(rng, 9, 30), *edited(rng, t.split(), ["replace", "delete", "insert"], len(t.split()) // 6), prose(rng, 9, 30)]) for _, t in items]
+    found = Index([(i, t.encode()) for i, t in items]).search([t.encode() for t in texts])
+    for text, hits in zip(texts, found):
+        plain = {i: least_edits(t.split(), text.split(), edits_allowed(len(t.split()))) for i, t in items}
+        assert hits == {i: best for i, best in plain.items() if best}
+
+
 def test_leaks_edges(spark):
     rng = random.Random(6)
     item = prose(rng, 30)
