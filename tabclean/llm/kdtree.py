@@ -138,6 +138,12 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def all_finite(v: Column) -> Column:
+    """Whether an array of doubles is there and each component is a finite number."""
+    odd = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == math.inf)
+    return v.isNotNull() & ~F.exists(v, odd)
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score) of `vectors` and `queries`, both (id, v) with v an array of doubles.
 
@@ -150,8 +156,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     together and the k best returned.
     Empty tables give an empty table.
     """
-    fine = "id IS NOT NULL AND v IS NOT NULL AND NOT exists(v, x -> x IS NULL OR isnan(x) OR abs(x) = double('Infinity'))"
-    usable = lambda df: df.where(fine).withColumn("dim", F.size("v").cast("long"))
+    usable = lambda df: df.where(F.col("id").isNotNull() & all_finite(F.col("v"))).withColumn("dim", F.size("v").cast("long"))
     vectors, queries = stage(usable(vectors), "vectors"), stage(usable(queries), "queries")
     count, asked = vectors.count(), queries.count()
     shards = max(1, math.ceil(count / SHARD_VECTORS))
@@ -179,7 +184,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     table = spark.read.parquet(f"{folder}/embeddings.parquet")
-    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
+    given = F.col("embedding").cast("array<double>")
+    # Floor gives a long, which has neither NaN nor infinity: they are looked for before.
+    whole = F.when(all_finite(given), F.transform(given, lambda x: F.floor(x * 256).cast("double")))
     vectors = table.select(F.col("vec_id").cast("long").alias("id"), whole.alias("v"))
     return top_k(vectors, vectors.where("id % 50 = 0"))
 

@@ -8,7 +8,7 @@ import pytest
 import zstandard
 
 from tabclean.llm.chat import format_chats
-from tabclean.llm.kdtree import LEAF, Tree, top_k
+from tabclean.llm.kdtree import LEAF, Tree, op2, top_k
 from tabclean.llm.warc import WarcError, archive, digest_of, frames, number_of, parse, read_archives, record, record_id
 
 # Conversations
@@ -74,6 +74,20 @@ def test_top_k_edges(spark, monkeypatch):
     assert top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_registered_query_leaves_out_non_finite(spark, tmp_path):
+    """NaN and infinity are seen before components become whole numbers."""
+    rng = random.Random(3)
+    rows = [(i, [rng.randrange(-99, 99) / 7 for _ in range(4)]) for i in range(120)]
+    nan, inf = float("nan"), float("inf")
+    rows += [(150, [nan, 1.0, 1.0, 1.0]), (151, [9.0, nan, 9.0, 9.0]), (152, [inf, 9.0, 9.0, 9.0]), (200, [-inf, 1.0, 1.0, 1.0]), (201, [9.0, None, 9.0, 9.0]), (250, None)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {}
+    for r in op2(spark, str(tmp_path)).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    whole = [(i, [float(np.floor(np.float64(np.float32(x)) * 256)) for x in v]) for i, v in rows[:120]]
+    assert {q: sorted(v) for q, v in got.items()} == plain_top(whole)
+
+
 # Archives
 
 
