@@ -26,9 +26,9 @@ from .skew import spread_join
 
 #: Labelled rows a language's model is fitted on, on average; a documented bound of the sample.
 SAMPLE_ROWS = 1_000
-#: Languages with most labelled rows that get a model.
-MOST_LANGUAGES = 64
 BUCKETS = 1 << 16
+#: Languages whose likelihoods a task holds at once, 64 MB; more languages make more passes.
+BLOCK_LANGUAGES = 256
 #: Neighbouring trigrams share two bytes of three, so each counts as a third.
 TEMPER = 1 / 3
 #: Pseudo-counts: of a trigram bucket, of a domain or all rows in a host's prior, of evidence tables.
@@ -38,7 +38,7 @@ DECLARED_RIGHT = 0.8
 #: Rows under this posterior, or best explained by no language, are rejected.
 LEAST_POSTERIOR = 0.5
 NO_LANGUAGE = "und"
-_AT_ONCE = 1 << 20
+_AT_ONCE, _CELLS = 1 << 20, 1 << 24
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -64,28 +64,36 @@ def grams(text: bytes | None):
 
 
 class TextModel:
-    """Log likelihoods of trigram buckets by language; the last column is no language: all buckets alike."""
+    """Log likelihoods of trigram buckets by language, in blocks; the last column is no language: all buckets alike."""
 
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages + [NO_LANGUAGE]
-        smoothed = counts + SMOOTH
-        logs = np.log(smoothed / smoothed.sum(axis=0, keepdims=True)) if len(languages) else counts
-        uniform = np.full((BUCKETS, 1), -math.log(BUCKETS))
-        self.logs = np.hstack([logs, uniform]).astype(np.float32)
+        self.blocks = []
+        for at in range(0, len(languages), BLOCK_LANGUAGES):
+            smoothed = counts[:, at : at + BLOCK_LANGUAGES] + SMOOTH
+            self.blocks.append(np.log(smoothed / smoothed.sum(axis=0, keepdims=True)).astype(np.float32))
+        uniform = np.full((BUCKETS, 1), -math.log(BUCKETS), np.float32)
+        self.blocks[-1:] = [np.hstack([*self.blocks[-1:], uniform])]
 
-    def scores(self, text: bytes | None) -> list[float]:
-        total = np.zeros(len(self.languages))
-        for found in grams(text):
-            total += self.logs[found].sum(axis=0, dtype=np.float64)
-        return (total * TEMPER).tolist()
+
+def likelihoods(text: bytes | None, logs: np.ndarray) -> list[float]:
+    """Log likelihoods of a text under each column of a block."""
+    total, step = np.zeros(logs.shape[1]), _CELLS // logs.shape[1]
+    for found in grams(text):
+        for at in range(0, len(found), step):
+            total += logs[found[at : at + step]].sum(axis=0, dtype=np.float64)
+    return (total * TEMPER).tolist()
 
 
 def fit_text_model(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id") -> TextModel:
-    """A model from about `SAMPLE_ROWS` rows of each language, chosen by a hash of id and label."""
+    """A model of every label, from about `SAMPLE_ROWS` rows of each, chosen by a hash of id and label.
+
+    The driver holds a quarter of a megabyte for each language.
+    """
     rows = labelled.select(
         F.col(label_col).alias("lang"), F.col(text_col).cast("binary").alias("text"), F.col(id_col).cast("long").alias("id")
     ).where("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    sizes = rows.groupBy("lang").count().collect()
     languages = sorted(r["lang"] for r in sizes)
     if not languages:
         return TextModel([], np.zeros((BUCKETS, 0)))
@@ -105,7 +113,7 @@ def fit_text_model(labelled: DataFrame, text_col: str = "text", label_col: str =
                 [pa.array([lang] * len(at)), pa.array(at.astype(np.int32)), pa.array(own[at])], ["lang", "gram", "n"]
             )
 
-    sample = rows.where(F.col("lang").isin(languages)).where(drawn).select("lang", "text")
+    sample = rows.where(drawn).select("lang", "text")
     found = sample.mapInArrow(counted, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = np.zeros((BUCKETS, len(languages)))
     column = {x: i for i, x in enumerate(languages)}
@@ -114,12 +122,12 @@ def fit_text_model(labelled: DataFrame, text_col: str = "text", label_col: str =
     return TextModel(languages, counts)
 
 
-def text_scores(text: Column, model: TextModel) -> Column:
-    """Log likelihoods of a text under each language of the model and no language."""
+def text_scores(text: Column, logs: np.ndarray) -> Column:
+    """Log likelihoods of a text under each language of a block."""
 
     @F.arrow_udf("array<double>")
     def scored(texts: pa.Array) -> pa.Array:
-        return pa.array([model.scores(t.as_py()) for t in texts], pa.list_(pa.float64()))
+        return pa.array([likelihoods(t.as_py(), logs) for t in texts], pa.list_(pa.float64()))
 
     return scored(text.cast("binary"))
 
@@ -165,7 +173,11 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     n, names = len(model.languages), F.array(*[F.lit(x) for x in model.languages])
     best = lambda a: F.array_position(a, F.array_max(a)) - 1
     keep = [c for c in rows.columns if c not in ("text", "lang", "posterior", "text_lang", "accepted")]
-    scored = rows.select(*keep, text_scores(F.col("text"), model).alias("scores"), F.col("text").rlike(r"\p{L}").alias("letters"))
+    scored = rows.select(*keep, "text", text_scores(F.col("text"), model.blocks[0]).alias("scores"), F.col("text").rlike(r"\p{L}").alias("letters"))
+    for logs in model.blocks[1:]:
+        # Written in between, so that no task holds two blocks.
+        scored = stage(scored, "scores").withColumn("scores", F.concat("scores", text_scores(F.col("text"), logs)))
+    scored = scored.drop("text")
     scored = stage(scored.withColumn("letters", F.coalesce("letters", F.lit(False))).withColumn("top", best(F.col("scores"))), "scores")
 
     # What a row's text says counts for its host, domain, suffix and declaration.
@@ -192,15 +204,18 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     declared = F.when(F.col("declared").isNotNull(), F.when(known < 0, n).otherwise(known))
     scored = scored.withColumn("said", declared)
     said = {r["said"]: r["c"] for r in scored.where("letters AND said IS NOT NULL").groupBy("said").agg(_counts(n).alias("c")).collect()}
+    of = [sum(c[i] for c in said.values()) for i in range(n)]
     tables = []
     for d in range(n + 1):
-        logs = []
+        own, logs = said.get(d, [0.0] * n), []
         for i in range(n):
             expected = DECLARED_RIGHT if d == i else (1 - DECLARED_RIGHT) / n
-            of = sum(c[i] for c in said.values())
-            logs.append(math.log((said.get(d, [0.0] * n)[i] + TABLE_ROWS * expected) / (of + TABLE_ROWS)))
-        tables.append(_array(logs))
-    told = F.when(F.col("said").isNotNull(), F.get(F.array(*tables), F.col("said"))).otherwise(nothing)
+            logs.append(math.log((own[i] + TABLE_ROWS * expected) / (of[i] + TABLE_ROWS)))
+        tables.append((d, logs))
+    # A row for each language and not an expression, which would grow with their square.
+    tables = rows.sparkSession.createDataFrame(tables, "said int, told array<double>")
+    scored = scored.join(F.broadcast(tables), "said", "left").drop("said")
+    told = F.coalesce("told", nothing)
 
     out = spread_join(scored, hosts, "host", "left", spread_by="scores")
     start = F.coalesce("prior", _array([math.log(x) for x in overall]))

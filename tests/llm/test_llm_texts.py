@@ -274,6 +274,18 @@ def test_language(spark):
     assert accepted_documents(docs.limit(0)).count() == 0
 
 
+def test_every_labelled_language_has_a_model(spark, monkeypatch):
+    import tabclean.llm.language as language
+
+    monkeypatch.setattr(language, "BLOCK_LANGUAGES", 30, raising=False)
+    rng = random.Random(12)
+    own = {f"l{i:02}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=4)) for _ in range(8)] for i in range(70)}
+    rows = [(i, " ".join(rng.choices(own[lang], k=40)), "h", lang, "x") for i, lang in enumerate(list(own) * 3 + list(own)[:66])]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert fit_text_model(docs).languages == [*own, "und"]
+    assert {r.doc_id: r.lang for r in accepted_documents(docs).collect()} == {r[0]: r[3] for r in rows}
+
+
 def test_language_evidence(spark):
     docs = spark.createDataFrame([(i, t * 20, "h", l, "x") for i, (t, l) in enumerate([("tra bel con ", "xa"), ("und sch für ", "yo")] * 20)], SCHEMA)
     model = fit_text_model(docs)
