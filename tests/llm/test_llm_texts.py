@@ -346,3 +346,19 @@ def test_license_offsets(spark):
     rows = [(i, prose(rng, i) + " " + line + " " + prose(rng, 40)) for i in range(1, 60)]
     got = {r.doc_id for r in scan_licenses(table(spark, rows)).where("license = 'gpl-3.0-line'").collect()}
     assert got == set(range(1, 60))
+
+
+def test_common_licenses_and_their_variants(spark):
+    rng = random.Random(13)
+    texts = {k: TEMPLATES[k] for k in TEMPLATES if not k.startswith("cc-")}
+    texts |= {k: TEMPLATES[k] for k in ("cc-by-4.0-a", "cc-by-sa-3.0-the", "cc-by-nc-4.0-line")}
+    assert {"mpl-2.0", "epl-2.0", "cc0-1.0", "unlicense", "gpl-2.0-or-later", "lgpl-3.0-or-later", "agpl-3.0-or-later"} <= set(texts)
+    rows = [(i, f"{prose(rng, 40)}\n{t}\n{prose(rng, 40)}") for i, t in enumerate(texts.values())]
+    rows += [(100, "Released under the MIT License"), (101, "- Licensed under the Apache License, Version 2.0\n -- and more"), (102, "-" * 200_000 + " x" * 9 + " -" * 20_000)]
+    found = {}
+    for r in scan_licenses(table(spark, rows)).collect():
+        found.setdefault(r.doc_id, set()).add(r.license)
+    for i, k in enumerate(texts):
+        assert k in found[i]
+        assert not {x for x in found[i] if x.split("-")[0] != k.split("-")[0] or ("or-later" in k and x != k)} - {"apache-2.0-line"}, (k, found[i])
+    assert found[100] == {"mit-line"} and found[101] == {"apache-2.0-line"} and 102 not in found
