@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, kdtree, language, licenses, line_dedup, minhash, mixing, tokens, warc
+from . import (
+    chat, decontaminate, kdtree, language, licenses, line_dedup, merkle, minhash, mixing, packing, prefix_trie, tokens, warc,
+)
 
 
 def load() -> tuple[dict, dict]:
@@ -17,8 +19,12 @@ def load() -> tuple[dict, dict]:
         "op8_mixing": mixing.op8,
         "op9_warc": warc.op9,
         "op10_line_dedup": line_dedup.op10,
+        "op11_merkle_manifest": merkle.op11,
+        "op12_prefix_trie": prefix_trie.op12,
+        "op13_harmonic_packing": packing.op13,
     }
     oracles = {
         "op1_chat_format": chat.ORACLE, "op2_kdtree_topk": kdtree.ORACLE,
-        "op8_mixing": mixing.ORACLE, "op9_warc": warc.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
+        "op8_mixing": mixing.ORACLE, "op9_warc": warc.ORACLE, "op10_line_dedup": line_dedup.ORACLE,
+        "op11_merkle_manifest": merkle.ORACLE, "op12_prefix_trie": prefix_trie.ORACLE}
     return queries, oracles

@@ -19,7 +19,7 @@ def con():
 def test_all_are_registered():
     assert set(load()[0]) | {"pipeline"} <= set(queries())
     assert set(load()[1]) <= set(oracle_sql())
-    assert len(load()[0]) == 10
+    assert len(load()[0]) == 13
 
 
 @pytest.mark.parametrize("key", sorted(load()[1]))
