@@ -11,7 +11,7 @@ from ..functions.numeric import DRAW_BITS, draw
 from ..functions.text import all_null, any_of, is_blank, title_case
 from ..sources.staging import stage
 from .filters import FLAG_IMPUTED, FLAG_NON_IMPUTABLE, is_clean, sample_n
-from .joins import keys_present, lookup_join, prefix_rows
+from .joins import bounded, keys_present, lookup_join, prefix_rows
 from .profile import melt, unfold
 from .quantile import group_quantiles
 
@@ -243,11 +243,10 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 # --- nearest neighbours -------------------------------------------------------------
 
-# Training rows of a search band on the first level; then growth per level.
-_FIRST_BAND = 32
-_BAND_GROWTH = 8
-# Lower edges of bands are looked up in two steps of about this many.
-_EDGE_STEP = 40
+# A cell of the training sample with more rows than this is cut at the quartiles of its widest feature.
+_CELL_ROWS = 64
+# Three cuts make four parts, and a value that fills a quarter is a part of its own.
+_PARTS = 8
 
 
 def impute_knn(
@@ -267,12 +266,12 @@ def impute_knn(
     Features are unscaled; categories count by alphabetical code, missing features by
     the median. Exact matches outvote everything else; ties go to the smallest label.
 
-    Instead of all pairs, a row first meets the training rows in its own and the two
-    neighbouring bands of the feature with the widest spread. Bands hold equally many
-    training rows, so one far value changes nothing. If the k-th of them is nearer than the
-    edges of the three bands, no other row can be nearer, and the row is done; the rest goes
-    on with wider bands until three cover everything. Equal feature vectors are searched
-    only once, and rows whose target is known take no part in the join of the votes.
+    The training sample is cut into cells, again and again at quartiles of the feature in
+    which a cell is widest, so ties in one feature are told apart by the others. A row
+    goes down to its own cell, whose far side bounds the search, and level by level through
+    the cells whose tight boxes are no farther. The k-th row of the nearest bounds it anew,
+    and only the rows of cells within that are compared. Exact. Equal feature vectors are searched only once, and rows whose target is known
+    take no part in the join of the votes.
     """
     numeric = numeric or ["Year", "Odometer"]
     categorical = ["Make", "Body"] if categorical is None else categorical
@@ -327,84 +326,116 @@ def impute_knn(
     return out.withColumns(cols).drop("__vote", *keys)
 
 
-def _band_of(x: Column, edges: list[float]) -> Column:
-    """The last band whose lower edge is not above x; 0 below all. Looked up in two short lists."""
-    parts = [edges[i : i + _EDGE_STEP] for i in range(0, len(edges), _EDGE_STEP)]
-    lists = F.array(*[F.array(*[F.lit(e) for e in p]) for p in parts])
-    upto = lambda a: F.size(F.filter(a, lambda e: e <= x))
-    part = F.greatest(upto(F.array(*[F.lit(p[0]) for p in parts])), F.lit(1))
-    return F.greatest((part - 1) * _EDGE_STEP + upto(F.get(lists, part - 1)) - 1, F.lit(0)).cast("bigint")
+def _part(x: Column, edges: Column) -> Column:
+    """The part of a cell that x lies in; `edges` are its smallest value and the three cuts, null where it is not cut."""
+    edge = [F.get(edges, F.lit(i)) for i in range(4)]
+    part = reduce(lambda a, b: a + b, [(x >= e).cast("int") for e in edge[1:]])
+    alone = [(part == i) & (edge[i] == edge[i - 1]) & (x > edge[i]) for i in range(1, 4)]
+    return F.coalesce(part * 2 + reduce(lambda a, b: a | b, alone).cast("int"), F.lit(0))
 
 
-def _edge(edges: list[float], at: Column, there: Column, distance) -> Column:
-    """`distance` to the edge numbered `at`; infinite where there is none."""
-    listed = F.array(*[F.lit(e) for e in edges])
-    return F.when(there, distance(F.get(listed, at.cast("int")))).otherwise(F.lit(float("inf")))
+def _pick(values: list[str], at: Column) -> Column:
+    return F.get(F.array(*[F.col(v) for v in values]), at)
+
+
+def _cut_into_cells(train: DataFrame, feats: list[str], block_on: list[str], k: int) -> tuple[DataFrame, int]:
+    """The sample with its cells (`__c0`, `__c1`, ...), the feature and edges by which each is cut, and the depth.
+
+    The sample is bounded, so its first cells may be sorted in one task.
+    """
+    blocks, mine = [f"__t_{b}" for b in block_on], [f"__t{f}" for f in feats]
+    least = max(_CELL_ROWS, 4 * k)
+    cells, depth = train.withColumn("__c0", F.lit(0).cast("bigint")), 0
+    while True:
+        own = Window.partitionBy(*blocks, f"__c{depth}")
+        widths = F.array(*[F.max(t).over(own) - F.min(t).over(own) for t in mine])
+        wide = cells.withColumns({"__rows": F.count(F.lit(1)).over(own), "__widths": widths})
+        cut = (F.col("__rows") > least) & (F.array_max("__widths") > 0)
+        axis = F.when(cut, F.array_position("__widths", F.array_max("__widths")) - 1).cast("int")
+        wide = wide.withColumn(f"__axis{depth}", axis).withColumn("__at", _pick(mine, F.col(f"__axis{depth}")))
+        wide = wide.withColumn("__tile", F.ntile(4).over(own.orderBy("__at", "__id")))
+        edges = F.array(*[F.min(F.when(F.col("__tile") == i, F.col("__at"))).over(own) for i in range(1, 5)])
+        wide = wide.withColumn(f"__edges{depth}", F.when(F.col(f"__axis{depth}").isNotNull(), edges))
+        part = _part(F.col("__at"), F.col(f"__edges{depth}"))
+        wide = wide.withColumn(f"__c{depth + 1}", F.col(f"__c{depth}") * _PARTS + part)
+        deeper = stage(wide.drop("__rows", "__widths", "__at", "__tile"), "cells")
+        if deeper.where(F.col(f"__axis{depth}").isNotNull()).isEmpty():
+            return deeper, depth
+        cells, depth = deeper, depth + 1
 
 
 def _nearest_votes(
     ask: DataFrame, train: DataFrame, vector: list[str], feats: list[str], block_on: list[str], k: int
 ) -> DataFrame:
-    # One row of statistics of the training sample picks the feature to band on.
-    ranges = train.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[(F.max(f"__t{f}") - F.min(f"__t{f}")).alias(f"spread{i}") for i, f in enumerate(feats)],
-    ).first()
-    if not ranges["n"]:
-        return ask.drop("__q").withColumn("label", F.lit(None).cast("string"))
-    axis = feats[max(range(len(feats)), key=lambda i: ranges[f"spread{i}"])]
-    # The sample is bounded, so ranking it in one task and listing every 32nd value is, too.
-    in_order = Window.orderBy(f"__t{axis}", "__id")
-    train = train.withColumn("__cell", F.floor((F.row_number().over(in_order) - 1) / _FIRST_BAND).cast("bigint"))
-    train = stage(train, "train")
-    edges = train.groupBy("__cell").agg(F.min(f"__t{axis}").alias("lo")).orderBy("__cell").collect()
-    edges = [float(r["lo"]) for r in edges]
-
-    asking, done, size = ask, None, 1
-    while True:
-        own = edges[::size]
-        last = len(own) <= 3
-        asked = ask.withColumn("__band", _band_of(F.col(axis), own))
-        # How far the three bands reach on either side; without end where no band follows.
-        reach = F.least(
-            _edge(own, F.col("__band") - 1, F.col("__band") >= 2, lambda e: F.col(axis) - e),
-            _edge(own, F.col("__band") + 2, F.col("__band") + 2 < len(own), lambda e: e - F.col(axis)),
-        )
-        asked = asked.withColumn("__reach", reach)
-        band = F.floor(F.col("__cell") / size).cast("bigint")
-        if last:  # three bands at most: every row is offered once
-            offered, test = train, F.lit(True)
-        else:
-            offered = train.withColumn("__tband", F.explode(F.array(band - 1, band, band + 1)))
-            test = F.col("__band") == F.col("__tband")
-        for b in block_on:
-            test &= F.col(b) == F.col(f"__t_{b}")
-        squares = [(F.col(f) - F.col(f"__t{f}")) * (F.col(f) - F.col(f"__t{f}")) for f in feats]
-        distance = F.sqrt(reduce(lambda a, b: a + b, squares))
-        pairs = asked.join(offered, test).select("__q", "__reach", "__id", "__label", distance.alias("__d"))
-        nearest = Window.partitionBy("__q").orderBy("__d", "__id")
-        near = pairs.withColumn("__r", F.row_number().over(nearest)).where(F.col("__r") <= k)
-        found = near.groupBy("__q").agg(
-            F.count(F.lit(1)).alias("__found"), F.max("__d").alias("__far"), F.min("__reach").alias("__reach"),
-            F.collect_list(F.struct("__d", "__label")).alias("__near"),
-        )
-        sure = (F.col("__found") == k) & (F.col("__far") < F.col("__reach"))
-        found = stage((found if last else found.where(sure)).drop("__far", "__reach"), "near")
-        done = found if done is None else done.unionByName(found)
-        if last:
-            break
-        ask = stage(ask.join(found, "__q", "left_anti"), "ask")
-        if ask.isEmpty():
-            break
-        size *= _BAND_GROWTH
-
-    near = done.select("__q", F.array_min(F.col("__near")["__d"]).alias("__best"), F.explode("__near").alias("__x"))
+    near = _nearest(ask, train, feats, block_on, k)
+    best = F.min("__d").over(Window.partitionBy("__q")).alias("__best")
+    near = near.select("__q", best, F.struct("__d", "__label").alias("__x"))
     weight = F.when(F.col("__best") == 0, F.when(F.col("__x.__d") == 0, 1.0).otherwise(0.0)).otherwise(
         1.0 / F.when(F.col("__x.__d") != 0, F.col("__x.__d"))
     )
     scores = near.groupBy("__q", F.col("__x.__label").alias("label")).agg(F.sum(weight).alias("__score"))
     best = F.min(F.struct((-F.col("__score")).alias("s"), F.col("label").alias("v")))["v"]
-    return asking.join(scores.groupBy("__q").agg(best.alias("label")), "__q").drop("__q")
+    return ask.join(scores.groupBy("__q").agg(best.alias("label")), "__q").drop("__q")
+
+
+def _nearest(ask: DataFrame, train: DataFrame, feats: list[str], block_on: list[str], k: int) -> DataFrame:
+    """(__q, __id, __label, __d): the k nearest training rows of every vector in `ask`, ties to the smallest id."""
+    order = Window.partitionBy("__q").orderBy("__d", "__id")
+    near = _candidates(ask, train, feats, block_on, k).where("__d <= __reach").select("__q", "__id", "__label", "__d")
+    return near.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= k).drop("__r")
+
+
+def _candidates(ask: DataFrame, train: DataFrame, feats: list[str], block_on: list[str], k: int) -> DataFrame:
+    """The pairs of vectors and training rows that are looked at, with their distance and its bound."""
+    blocks = [f"__t_{b}" for b in block_on]
+    train, depth = _cut_into_cells(train.where(keys_present(blocks)) if blocks else train, feats, block_on, k)
+    fits = bounded(train)
+
+    def meet(left: DataFrame, right: DataFrame, cell: str, how: str = "inner") -> DataFrame:
+        """Join with the rows of the cell that a vector is at, within its block."""
+        tests = [F.col("__cell") == F.col(cell), *[F.col(b) == F.col(f"__t_{b}") for b in block_on]]
+        return left.join(F.broadcast(right) if fits else right, reduce(lambda a, b: a & b, tests), how).drop(cell, *blocks)
+
+    def distance(differences: list[Column]) -> Column:
+        return F.sqrt(reduce(lambda a, b: a + b, [d * d for d in differences]))
+
+    sides = [F.min(f"__t{f}").alias(f"__lo{f}") for f in feats] + [F.max(f"__t{f}").alias(f"__hi{f}") for f in feats]
+    ends = [f"__{side}{f}" for side in ("lo", "hi") for f in feats]
+    size = F.count(F.lit(1)).alias("__n")
+    top = F.lit(0).cast("bigint")
+
+    def within(asked: DataFrame) -> DataFrame:
+        """The last cells within reach of each vector, found level by level, with their distance and rows."""
+        asked = asked.withColumns({"__cell": top, "__near": F.lit(0.0), "__n": top})
+        for level in range(1, depth + 1):
+            boxes = train.groupBy(*blocks, f"__c{level - 1}", F.col(f"__c{level}").alias("__next")).agg(size, *sides)
+            asked = meet(asked.drop("__near", "__n"), boxes, f"__c{level - 1}")
+            outside = [F.greatest(F.col(f"__lo{f}") - F.col(f), F.col(f) - F.col(f"__hi{f}"), F.lit(0.0)) for f in feats]
+            asked = asked.withColumns({"__near": distance(outside), "__cell": F.col("__next")}).where("__near <= __reach")
+            asked = asked.drop("__next", *ends)
+        return asked
+
+    # Down to the vector's own cell, which may be one without rows: no neighbour is farther than the far side of a cell of k.
+    asked = ask.withColumns({"__cell": top, "__reach": F.lit(float("inf"))})
+    for level in range(depth + 1):
+        cut = [F.min(f"__axis{level}").alias("__axis"), F.min(f"__edges{level}").alias("__edges")]
+        asked = meet(asked, train.groupBy(*blocks, f"__c{level}").agg(size, *cut, *sides), f"__c{level}", "left")
+        far = distance([F.greatest(F.col(f) - F.col(f"__lo{f}"), F.col(f"__hi{f}") - F.col(f)) for f in feats])
+        below = F.col("__cell") * _PARTS + _part(_pick(feats, F.col("__axis")), F.col("__edges"))
+        reach = F.when(F.col("__n") >= k, F.least("__reach", far)).otherwise(F.col("__reach"))
+        asked = asked.withColumns({"__reach": reach, "__cell": below}).drop("__n", "__axis", "__edges", *ends)
+
+    # Nor farther than the k-th row of the nearest cell of k.
+    nearest = F.min(F.when(F.col("__n") >= k, F.struct("__near", "__cell")))["__cell"].alias("__cell")
+    asked = within(asked).groupBy("__q", *feats, *block_on, "__reach").agg(nearest)
+    own = train.groupBy(*blocks, f"__c{depth}").agg(F.collect_list(F.struct(*[f"__t{f}" for f in feats])).alias("__rows"))
+    away = F.array_sort(F.transform("__rows", lambda t: distance([F.col(f) - t[f"__t{f}"] for f in feats])))
+    asked = meet(asked, own, f"__c{depth}", "left")
+    asked = asked.withColumn("__reach", F.least("__reach", F.get(away, F.lit(k - 1)))).drop("__rows")
+
+    rows = train.select(*blocks, f"__c{depth}", "__id", "__label", *[f"__t{f}" for f in feats])
+    pairs = meet(within(asked), rows, f"__c{depth}")
+    return pairs.withColumn("__d", distance([F.col(f) - F.col(f"__t{f}") for f in feats]))
 
 
 # --- flags and audit ----------------------------------------------------------------

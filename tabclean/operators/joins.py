@@ -33,7 +33,7 @@ def prefix_rows(dim: DataFrame) -> DataFrame:
     return one_per_key(dim, ["code"])
 
 
-def _fits(dim: DataFrame, max_bytes: int) -> bool:
+def bounded(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     """Whether the written dimension takes at most `max_bytes` as rows in memory."""
     wide = [c for c, kind in dim.dtypes if kind in ("string", "binary")]
     text = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in wide), F.lit(16 * len(dim.columns) + 16))
@@ -64,7 +64,7 @@ def lookup_join(
         renamed = stage(renamed, "dim")
     left = fact
     tests = [F.col(k) == F.col(f"__dim_{k}") for k in on]
-    if literal or _fits(renamed, max_broadcast_bytes):
+    if literal or bounded(renamed, max_broadcast_bytes):
         renamed = F.broadcast(renamed)
     else:
         # The counted columns decide; what else `fact` computes is pruned away here.

@@ -402,6 +402,28 @@ def test_knn_under_skew(spark, case):
     assert got == brute_force_knn(rows, 5)
 
 
+def test_knn_meets_few_rows_under_ties(spark):
+    """Two fifths of the sample share a value of the widest feature; the other features tell them apart."""
+    rng = np.random.default_rng(6)
+    n = 20_000
+    odometer = np.where(rng.random(n) < 0.4, 5000, rng.integers(0, 200_000, n))
+    feats = ["f0", "f1", "f2"]
+    odometer[:3000] = 9000
+    rows = [(i, "x", float(odometer[i]), float(rng.integers(0, 400)), float(rng.integers(0, 300))) for i in range(n)]
+    train = spark.createDataFrame(rows, "__id int, __label string, __tf0 double, __tf1 double, __tf2 double")
+    asked = [(i, [5000.0, 5001.5, 8999.0, 9000.5, float(rng.integers(0, 200_000))][i % 5], float(rng.integers(0, 400)), float(rng.integers(0, 300))) for i in range(200)]
+    ask = spark.createDataFrame(asked, "__q int, f0 double, f1 double, f2 double")
+    met = dict(values(impute._candidates(ask, train, feats, [], 5).groupBy("__q").count()))
+    assert len(met) == 200 and max(met.values()) <= 2000 and sum(met.values()) / 200 <= 600
+    points = np.array([r[2:] for r in rows])
+    found = {}
+    for q, i, d in values(impute._nearest(ask, train, feats, [], 5).select("__q", "__id", "__d")):
+        found.setdefault(q, []).append((d, i))
+    for q, *x in asked:
+        d = np.sqrt(((points - np.array(x)) ** 2).sum(axis=1))
+        assert [i for _, i in sorted(found[q])] == np.lexsort((np.arange(n), d))[:5].tolist()
+
+
 def test_keys_of_the_sales_view_stay_apart(spark):
     from tabclean.catalog.views import SALES
 
