@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -243,10 +245,10 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 # --- nearest neighbours -------------------------------------------------------------
 
-# A cell of the training sample with more rows than this is cut at the quartiles of its widest feature.
-_CELL_ROWS = 64
-# Three cuts make four parts, and a value that fills a quarter is a part of its own.
-_PARTS = 8
+# A cell of the training sample with more rows than this is cut along its widest feature into even tiles, so many at most.
+_CELL_ROWS, _TILES, _LEVELS = 64, 32, 9
+# A value that fills a tile is a part of its own, so there are twice as many parts.
+_PARTS = 2 * _TILES
 
 
 def impute_knn(
@@ -266,8 +268,8 @@ def impute_knn(
     Features are unscaled; categories count by alphabetical code, missing features by
     the median. Exact matches outvote everything else; ties go to the smallest label.
 
-    The training sample is cut into cells, again and again at quartiles of the feature in
-    which a cell is widest, so ties in one feature are told apart by the others. A row
+    The training sample is cut into cells, again and again into even tiles of the feature
+    in which a cell is widest, so ties in one feature are told apart by the others. A row
     goes down to its own cell, whose far side bounds the search, and level by level through
     the cells whose tight boxes are no farther. The k-th row of the nearest bounds it anew,
     and only the rows of cells within that are compared. Exact. Equal feature vectors are searched only once, and rows whose target is known
@@ -327,41 +329,65 @@ def impute_knn(
 
 
 def _part(x: Column, edges: Column) -> Column:
-    """The part of a cell that x lies in; `edges` are its smallest value and the three cuts, null where it is not cut."""
-    edge = [F.get(edges, F.lit(i)) for i in range(4)]
-    part = reduce(lambda a, b: a + b, [(x >= e).cast("int") for e in edge[1:]])
-    alone = [(part == i) & (edge[i] == edge[i - 1]) & (x > edge[i]) for i in range(1, 4)]
-    return F.coalesce(part * 2 + reduce(lambda a, b: a | b, alone).cast("int"), F.lit(0))
-
-
-def _pick(values: list[str], at: Column) -> Column:
-    return F.get(F.array(*[F.col(v) for v in values]), at)
-
-
-def _cut_into_cells(train: DataFrame, feats: list[str], block_on: list[str], k: int) -> tuple[DataFrame, int]:
-    """The sample with its cells (`__c0`, `__c1`, ...), the feature and edges by which each is cut, and the depth.
-
-    The sample is bounded, so its first cells may be sorted in one task.
-    """
-    blocks, mine = [f"__t_{b}" for b in block_on], [f"__t{f}" for f in feats]
-    least = max(_CELL_ROWS, 4 * k)
-    cells, depth = train.withColumn("__c0", F.lit(0).cast("bigint")), 0
-    while True:
-        own = Window.partitionBy(*blocks, f"__c{depth}")
-        widths = F.array(*[F.max(t).over(own) - F.min(t).over(own) for t in mine])
-        wide = cells.withColumns({"__rows": F.count(F.lit(1)).over(own), "__widths": widths})
-        cut = (F.col("__rows") > least) & (F.array_max("__widths") > 0)
-        axis = F.when(cut, F.array_position("__widths", F.array_max("__widths")) - 1).cast("int")
-        wide = wide.withColumn(f"__axis{depth}", axis).withColumn("__at", _pick(mine, F.col(f"__axis{depth}")))
-        wide = wide.withColumn("__tile", F.ntile(4).over(own.orderBy("__at", "__id")))
-        edges = F.array(*[F.min(F.when(F.col("__tile") == i, F.col("__at"))).over(own) for i in range(1, 5)])
-        wide = wide.withColumn(f"__edges{depth}", F.when(F.col(f"__axis{depth}").isNotNull(), edges))
-        part = _part(F.col("__at"), F.col(f"__edges{depth}"))
-        wide = wide.withColumn(f"__c{depth + 1}", F.col(f"__c{depth}") * _PARTS + part)
-        deeper = stage(wide.drop("__rows", "__widths", "__at", "__tile"), "cells")
-        if deeper.where(F.col(f"__axis{depth}").isNotNull()).isEmpty():
-            return deeper, depth
-        cells, depth = deeper, depth + 1
+    """The part of a cell that x lies in; `edges` are the smallest values of its tiles."""
+    tile = F.greatest(F.size(F.filter(edges, lambda e: e <= x)) - 1, F.lit(0))
+    edge = F.get(edges, tile)
+    above = (tile > 0) & (edge == F.get(edges, F.greatest(tile - 1, F.lit(0)))) & (x > edge)
+    return tile * 2 + above.cast("int")
+
+
+def _cells_of(feats: list[str], blocks: list[str], least: int):
+    """Cuts the training rows of a block into cells; a row for each cell, the last ones with their training rows."""
+
+    def cut(own: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+        axis = int(np.argmax(own.max(axis=0) - own.min(axis=0)))
+        x = own[:, axis]
+        tiles = min(_TILES, -(-len(x) * 4 // (3 * least)))
+        edges = np.sort(x)[np.arange(tiles) * len(x) // tiles]
+        tile = np.searchsorted(edges, x, "right") - 1
+        above = (tile > 0) & (edges[tile] == edges[np.maximum(tile - 1, 0)]) & (x > edges[tile])
+        return axis, edges, tile * 2 + above
+
+    def cells(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("__id")
+        points = np.column_stack([rows[f"__t{f}"].to_numpy() for f in feats])
+        found, waiting = [], [(1, None, 0, np.arange(len(points)))]
+        while waiting:
+            cell, parent, level, at = waiting.pop()
+            own = points[at]
+            low, high = own.min(axis=0), own.max(axis=0)
+            node = {"__cell": cell, "__parent": parent, "__level": level, "__n": len(at), "__lo": low.tolist(), "__hi": high.tolist()}
+            if len(at) > least and (high > low).any() and level < _LEVELS:
+                axis, edges, part = cut(own)
+                node |= {"__axis": axis, "__edges": edges.tolist()}
+                waiting += [(cell * _PARTS + int(p), cell, level + 1, at[part == p]) for p in np.unique(part)]
+            else:
+                held = rows.take(at)
+                node["__rows"] = [
+                    {"id": i, "label": n, "at": x} for i, n, x in zip(held["__id"].to_pylist(), held["__label"].to_pylist(), own.tolist())]
+            found.append(node)
+        kinds = [
+            ("__cell", pa.int64()), ("__parent", pa.int64()), ("__level", pa.int32()), ("__n", pa.int64()), ("__axis", pa.int32()),
+            ("__edges", pa.list_(pa.float64())), ("__lo", pa.list_(pa.float64())), ("__hi", pa.list_(pa.float64())),
+            ("__rows", pa.list_(pa.struct([("id", rows["__id"].type), ("label", rows["__label"].type), ("at", pa.list_(pa.float64()))]))),
+        ]
+        block = [pa.chunked_array([pa.repeat(rows[b][0], len(found))]) for b in blocks]
+        columns = [pa.array([n.get(name) for n in found], kind) for name, kind in kinds]
+        return pa.Table.from_arrays([*block, *columns], [*blocks, *[name for name, _ in kinds]])
+
+    return cells
+
+
+def _cut_into_cells(train: DataFrame, feats: list[str], block_on: list[str], k: int) -> DataFrame:
+    """The cells of the sample, a tree for each block. The sample is bounded by its parameter, and so is a block."""
+    blocks, kinds = [f"__t_{b}" for b in block_on], dict(train.dtypes)
+    own = "".join(f"`{b}` {kinds[b]}, " for b in blocks)
+    row = f"array<struct<id:{kinds['__id']},label:{kinds['__label']},at:array<double>>>"
+    schema = (
+        f"{own}__cell bigint, __parent bigint, __level int, __n bigint, __axis int, __edges array<double>, "
+        f"__lo array<double>, __hi array<double>, __rows {row}"
+    )
+    return stage(train.groupBy(*blocks).applyInArrow(_cells_of(feats, blocks, max(_CELL_ROWS, 4 * k)), schema), "cells")
 
 
 def _nearest_votes(
@@ -388,54 +414,62 @@ def _nearest(ask: DataFrame, train: DataFrame, feats: list[str], block_on: list[
 def _candidates(ask: DataFrame, train: DataFrame, feats: list[str], block_on: list[str], k: int) -> DataFrame:
     """The pairs of vectors and training rows that are looked at, with their distance and its bound."""
     blocks = [f"__t_{b}" for b in block_on]
-    train, depth = _cut_into_cells(train.where(keys_present(blocks)) if blocks else train, feats, block_on, k)
-    fits = bounded(train)
-
-    def meet(left: DataFrame, right: DataFrame, cell: str, how: str = "inner") -> DataFrame:
-        """Join with the rows of the cell that a vector is at, within its block."""
-        tests = [F.col("__cell") == F.col(cell), *[F.col(b) == F.col(f"__t_{b}") for b in block_on]]
-        return left.join(F.broadcast(right) if fits else right, reduce(lambda a, b: a & b, tests), how).drop(cell, *blocks)
-
-    def distance(differences: list[Column]) -> Column:
-        return F.sqrt(reduce(lambda a, b: a + b, [d * d for d in differences]))
-
-    sides = [F.min(f"__t{f}").alias(f"__lo{f}") for f in feats] + [F.max(f"__t{f}").alias(f"__hi{f}") for f in feats]
-    ends = [f"__{side}{f}" for side in ("lo", "hi") for f in feats]
-    size = F.count(F.lit(1)).alias("__n")
-    top = F.lit(0).cast("bigint")
+    if blocks:
+        train = train.where(keys_present(blocks))
+    fits, cells = bounded(train), _cut_into_cells(train, feats, block_on, k)
+    depth = cells.agg(F.max("__level")).first()[0] or 0
+    x = F.array(*[F.col(f).cast("double") for f in feats])
+    own = [*blocks, "__cell", "__n", "__axis", "__edges", "__lo", "__hi"]
+
+    def meet(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+        """Join with what belongs to the cell that a vector is at, within its block."""
+        right = right.withColumnRenamed("__cell" if "__cell" in right.columns else "__parent", "__key")
+        tests = [F.col("__at_cell") == F.col("__key"), *[F.col(b) == F.col(f"__t_{b}") for b in block_on]]
+        return left.join(F.broadcast(right) if fits else right, reduce(lambda a, b: a & b, tests), how).drop("__key", *blocks)
+
+    def distance(difference) -> Column:
+        """Euclidean; `difference` gives the difference in a feature by its number."""
+        return F.sqrt(reduce(lambda a, b: a + b, [difference(i) * difference(i) for i in range(len(feats))]))
+
+    here = lambda i: F.col(feats[i])
+    low, high = lambda i: F.get("__lo", F.lit(i)), lambda i: F.get("__hi", F.lit(i))
+    below = cells.select(*blocks, "__parent", F.col("__cell").alias("__next"), "__n", "__lo", "__hi").where("__parent IS NOT NULL")
 
     def within(asked: DataFrame) -> DataFrame:
         """The last cells within reach of each vector, found level by level, with their distance and rows."""
-        asked = asked.withColumns({"__cell": top, "__near": F.lit(0.0), "__n": top})
-        for level in range(1, depth + 1):
-            boxes = train.groupBy(*blocks, f"__c{level - 1}", F.col(f"__c{level}").alias("__next")).agg(size, *sides)
-            asked = meet(asked.drop("__near", "__n"), boxes, f"__c{level - 1}")
-            outside = [F.greatest(F.col(f"__lo{f}") - F.col(f), F.col(f) - F.col(f"__hi{f}"), F.lit(0.0)) for f in feats]
-            asked = asked.withColumns({"__near": distance(outside), "__cell": F.col("__next")}).where("__near <= __reach")
-            asked = asked.drop("__next", *ends)
+        asked = asked.withColumns({"__at_cell": F.lit(1).cast("bigint"), "__near": F.lit(0.0), "__rows_there": F.lit(None).cast("bigint")})
+        for _ in range(depth):
+            met = meet(asked, below, "left")
+            outside = distance(lambda i: F.greatest(low(i) - here(i), here(i) - high(i), F.lit(0.0)))
+            asked = met.withColumns({
+                "__near": F.when(F.col("__next").isNull(), F.col("__near")).otherwise(outside),
+                "__at_cell": F.coalesce("__next", "__at_cell"), "__rows_there": F.coalesce("__n", "__rows_there"),
+            }).where("__near <= __reach").drop("__next", "__n", "__lo", "__hi")
         return asked
 
+    # Few narrow rows with much work each, so they are dealt out first; what follows keeps them in place.
+    ask = ask.repartition(int(ask.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__q")
+
     # Down to the vector's own cell, which may be one without rows: no neighbour is farther than the far side of a cell of k.
-    asked = ask.withColumns({"__cell": top, "__reach": F.lit(float("inf"))})
-    for level in range(depth + 1):
-        cut = [F.min(f"__axis{level}").alias("__axis"), F.min(f"__edges{level}").alias("__edges")]
-        asked = meet(asked, train.groupBy(*blocks, f"__c{level}").agg(size, *cut, *sides), f"__c{level}", "left")
-        far = distance([F.greatest(F.col(f) - F.col(f"__lo{f}"), F.col(f"__hi{f}") - F.col(f)) for f in feats])
-        below = F.col("__cell") * _PARTS + _part(_pick(feats, F.col("__axis")), F.col("__edges"))
+    asked = ask.withColumns({"__at_cell": F.lit(1).cast("bigint"), "__reach": F.lit(float("inf"))})
+    for _ in range(depth + 1):
+        asked = meet(asked, cells.select(*own), "left")
+        far = distance(lambda i: F.greatest(here(i) - low(i), high(i) - here(i)))
+        down = F.col("__at_cell") * _PARTS + _part(F.get(x, F.col("__axis")), F.col("__edges"))
         reach = F.when(F.col("__n") >= k, F.least("__reach", far)).otherwise(F.col("__reach"))
-        asked = asked.withColumns({"__reach": reach, "__cell": below}).drop("__n", "__axis", "__edges", *ends)
+        asked = asked.withColumns({"__reach": reach, "__at_cell": F.when(F.col("__axis").isNotNull(), down)})
+        asked = asked.drop("__n", "__axis", "__edges", "__lo", "__hi")
 
     # Nor farther than the k-th row of the nearest cell of k.
-    nearest = F.min(F.when(F.col("__n") >= k, F.struct("__near", "__cell")))["__cell"].alias("__cell")
-    asked = within(asked).groupBy("__q", *feats, *block_on, "__reach").agg(nearest)
-    own = train.groupBy(*blocks, f"__c{depth}").agg(F.collect_list(F.struct(*[f"__t{f}" for f in feats])).alias("__rows"))
-    away = F.array_sort(F.transform("__rows", lambda t: distance([F.col(f) - t[f"__t{f}"] for f in feats])))
-    asked = meet(asked, own, f"__c{depth}", "left")
-    asked = asked.withColumn("__reach", F.least("__reach", F.get(away, F.lit(k - 1)))).drop("__rows")
-
-    rows = train.select(*blocks, f"__c{depth}", "__id", "__label", *[f"__t{f}" for f in feats])
-    pairs = meet(within(asked), rows, f"__c{depth}")
-    return pairs.withColumn("__d", distance([F.col(f) - F.col(f"__t{f}") for f in feats]))
+    nearest = F.min(F.when(F.col("__rows_there") >= k, F.struct("__near", "__at_cell")))["__at_cell"].alias("__at_cell")
+    asked = within(asked.drop("__at_cell")).groupBy("__q", *feats, *block_on, "__reach").agg(nearest)
+    held = cells.where("__rows IS NOT NULL").select(*blocks, "__cell", "__rows")
+    away = F.array_sort(F.transform("__rows", lambda t: distance(lambda i: here(i) - F.get(t["at"], F.lit(i)))))
+    asked = meet(asked, held, "left").withColumn("__reach", F.least("__reach", F.get(away, F.lit(k - 1))))
+
+    pairs = meet(within(asked.drop("__rows", "__at_cell")), held).withColumn("__row", F.explode("__rows"))
+    apart = distance(lambda i: here(i) - F.get("__row.at", F.lit(i)))
+    return pairs.select("__q", "__reach", F.col("__row.id").alias("__id"), F.col("__row.label").alias("__label"), apart.alias("__d"))
 
 
 # --- flags and audit ----------------------------------------------------------------
