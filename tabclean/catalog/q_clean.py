@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import numeric, text
 from ..operators import impute, repair
 from ..operators import aggregate as agg
-from ..plans import insights
+from ..plans import insights, state
 from ..plans.employees import DEPT_DISPLAY
 from ..plans.sales import AUDIT_RULES, CleanConfig, DRAW_KEYS, audit, before_imputation, clean_sales, repair_complete
+from ..sources.staging import scratch_path
 from .registry import query
 from .views import IMPUTED, SALES_COLUMNS, Views, draw, text as quoted, title
 
@@ -524,6 +525,44 @@ def _(v: Views):
     return clean_sales(v.sales, CleanConfig(strategy="knn+conditional")).select("Id", "Color", "Interior")
 
 
+# --- deliveries ---------------------------------------------------------------------
+
+
+def _deliveries(v: Views):
+    """The sales in two parts, by the last letter of their key."""
+    first = F.substring("Id", -1, 1) < "5"
+    return v.sales.where(first), v.sales.where(~first)
+
+
+def _saved_state(v: Views, config: CleanConfig = CleanConfig()):
+    """The state of both deliveries, fitted one by one, saved, read again and merged."""
+    path = scratch_path(v.spark, "sales-state")
+    for i, part in enumerate(_deliveries(v)):
+        state.save(state.fit(part, config), f"{path}/{i}")
+    return state.merge(*[state.load(v.spark, f"{path}/{i}", config) for i in range(2)])
+
+
+@query("fit_sales_state", 'SELECT Make, Body, Color, Interior, count(*) AS n FROM c6 GROUP BY ALL', ("c6",))
+def _(v: Views):
+    return _saved_state(v).tables["groups"]
+
+
+@query("apply_sales_state", "SELECT * FROM cleaned WHERE right(Id, 1) >= '5'", ("cleaned",))
+def _(v: Views):
+    return state.apply(_deliveries(v)[1], _saved_state(v))
+
+
+@query(
+    "apply_sales_state_conditional",
+    "SELECT * FROM (WITH ic AS (" + draw_sql("Color", "c6", "s.* EXCLUDE (Color)") + ") "
+    + draw_sql("Interior", "ic", "s.Id, s.Color") + ") WHERE right(Id, 1) >= '5'",
+    ("c6",),
+)
+def _(v: Views):
+    config = CleanConfig(strategy="conditional")
+    return state.apply(_deliveries(v)[1], _saved_state(v, config)).select("Id", "Color", "Interior")
+
+
 # --- text of results ----------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -139,7 +140,18 @@ def impute_group_mode(
     One aggregation over the table serves all columns: group modes and the counts of
     the filled column both follow from the counts per (keys, values).
     """
-    counts = stage(df.groupBy(*keys, *cols).agg(F.count(F.lit(1)).alias("n")), "counts")
+    return fill_group_mode(df, stage(group_counts(df, cols, keys), "counts"), cols, keys, marks)
+
+
+def group_counts(df: DataFrame, cols: list[str], keys: list[str]) -> DataFrame:
+    """Rows per (keys, columns) as `n`: all that group modes need to know. Counts of two tables add up."""
+    return df.groupBy(*keys, *cols).agg(F.count(F.lit(1)).alias("n"))
+
+
+def fill_group_mode(
+    df: DataFrame, counts: DataFrame, cols: list[str], keys: list[str], marks: dict[str, str] | None = None
+) -> DataFrame:
+    """`impute_group_mode` by the `group_counts` of this or another table, which should be written already."""
     dim = counts.where(keys_present(keys)).select(*keys).distinct()
     filled = None
     for c in cols:
@@ -164,11 +176,35 @@ def impute_group_mode(
     return out.withColumns(new).drop(*[f"__mode_{c}" for c in cols])
 
 
+def value_counts_by(df: DataFrame, col: str, keys: list[str]) -> DataFrame:
+    """Rows per group and value as `n`, nulls left out. Counts of two tables add up."""
+    return df.where(keys_present([*keys, col])).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("n"))
+
+
+def running_counts(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """`counts` (keys, value, n) with `upto`, the sum of `n` in the group up to this value, and `total`.
+
+    Groups are spread over range partitions: a sum is what earlier partitions hold of the
+    group plus what comes before in its own, so a group of any size is no single task.
+    """
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = counts.repartitionByRange(parts, *keys, value).withColumn("__part", F.spark_partition_id())
+    placed = stage(placed, "placed")
+    sizes = placed.groupBy(*keys, "__part").agg(F.sum("n").alias("__size"))
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)
+    starts = sizes.select(
+        *keys, "__part", (F.sum("__size").over(before) - F.col("__size")).alias("__before"),
+        F.sum("__size").over(Window.partitionBy(*keys)).alias("total"),
+    )
+    within = Window.partitionBy(*keys, "__part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    out = placed.withColumn("__within", F.sum("n").over(within)).join(starts, [*keys, "__part"])
+    return out.select(*keys, value, "n", (F.col("__before") + F.col("__within")).alias("upto"), "total")
+
+
 def conditional_distribution(df: DataFrame, col: str, keys: list[str]) -> DataFrame:
     """Count and share of each value within its group; nulls left out."""
-    counts = df.where(keys_present([*keys, col])).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy(*keys))
-    return counts.withColumn("share", F.col("count") / total)
+    ranked = running_counts(value_counts_by(df, col, keys), keys, col)
+    return ranked.select(*keys, col, F.col("n").alias("count"), (F.col("n") / F.col("total")).alias("share"))
 
 
 _SLICES = 16
@@ -183,15 +219,16 @@ def impute_conditional(
     independently. Values of a group own consecutive ranges of draws. The range of draws is cut into slices that join along with the keys, so
     a hot group is spread over the slices and a row meets few candidates.
     """
-    counts = df.where(keys_present([*keys, col])).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n"))
-    upto = Window.partitionBy(*keys).orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
+    return draw_from_counts(df, value_counts_by(df, col, keys), col, keys, row_key, seed, mark)
+
+
+def draw_from_counts(
+    df: DataFrame, counts: DataFrame, col: str, keys: list[str], row_key: str = "Id", seed: int = 42, mark: str | None = None
+) -> DataFrame:
+    """`impute_conditional` by the `value_counts_by` of this or another table."""
     hi, n, total = F.col("__hi"), F.col("__n"), F.col("__total")
-    ranges = counts.select(
-        *keys,
-        F.col(col).alias("__value"),
-        "__n",
-        F.sum("__n").over(upto).alias("__hi"),
-        F.sum("__n").over(Window.partitionBy(*keys)).alias("__total"),
+    ranges = running_counts(counts, keys, col).select(
+        *keys, F.col(col).alias("__value"), F.col("n").alias("__n"), F.col("upto").alias("__hi"), F.col("total").alias("__total"),
     ).withColumn(
         "__slice",
         F.explode(
@@ -251,6 +288,44 @@ _CELL_ROWS, _TILES, _LEVELS = 64, 32, 9
 _PARTS = 2 * _TILES
 
 
+@dataclass(frozen=True)
+class KnnModel:
+    """What a neighbour search learns: training rows with their raw features, written; label codes; medians, by column."""
+
+    train: DataFrame
+    codes: dict[str, DataFrame]
+    medians: dict[str, float | None]
+
+
+def feature_counts(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """(column, label, number, n): rows per value of every feature, nulls left out. Counts of two tables add up."""
+    kind = {**dict.fromkeys(numeric, "number"), **dict.fromkeys(categorical, "label")}
+    cells = [
+        F.struct(
+            F.lit(c).alias("column"), (F.col(c) if k == "label" else F.lit(None)).cast("string").alias("label"),
+            (F.col(c) if k == "number" else F.lit(None)).cast("double").alias("number"),
+        )
+        for c, k in kind.items()
+    ]
+    rows = df.select(F.inline(F.array(*cells))).where("label IS NOT NULL OR number IS NOT NULL")
+    return rows.groupBy("column", "label", "number").agg(F.count(F.lit(1)).alias("n"))
+
+
+def knn_model(train: DataFrame, features: DataFrame, categorical: list[str]) -> KnnModel:
+    """A model from training rows and the `feature_counts` of the whole table, both written already."""
+    codes = {c: stage(label_codes(features.where(F.col("column") == c).select(F.col("label").alias(c)), c), "codes") for c in categorical}
+    every = [codes[c].select(F.lit(c).alias("column"), F.col(c).alias("label"), "code") for c in categorical]
+    numbers = features.select("column", F.col("number").alias("x"), "n").where("x IS NOT NULL")
+    if every:
+        coded = features.join(reduce(DataFrame.unionByName, every), ["column", "label"])
+        numbers = numbers.unionByName(coded.select("column", F.col("code").cast("double").alias("x"), "n"))
+    ranked = running_counts(numbers, ["column"], "x")
+    holds = lambda at: (at >= F.col("upto") - F.col("n")) & (at < F.col("upto"))
+    low, high = F.floor((F.col("total") - 1) / 2), F.ceil((F.col("total") - 1) / 2)
+    picks = ranked.groupBy("column").agg(F.max(F.when(holds(low), F.col("x"))).alias("a"), F.max(F.when(holds(high), F.col("x"))).alias("b"))
+    return KnnModel(train, codes, {r["column"]: (r["a"] + r["b"]) / 2 for r in picks.collect()})
+
+
 def impute_knn(
     df: DataFrame,
     target: str,
@@ -262,6 +337,7 @@ def impute_knn(
     seed: int = 42,
     block_on: list[str] | None = None,
     mark: str | None = None,
+    model: KnnModel | None = None,
 ) -> DataFrame:
     """Fill missing values by a vote of the k nearest training rows, weighted by 1/distance.
 
@@ -273,7 +349,8 @@ def impute_knn(
     goes down to its own cell, whose far side bounds the search, and level by level through
     the cells whose tight boxes are no farther. The k-th row of the nearest bounds it anew,
     and only the rows of cells within that are compared. Exact. Equal feature vectors are searched only once, and rows whose target is known
-    take no part in the join of the votes.
+    take no part in the join of the votes. A `model` learnt before takes the place of what
+    the table itself would give.
     """
     numeric = numeric or ["Year", "Odometer"]
     categorical = ["Make", "Body"] if categorical is None else categorical
@@ -281,8 +358,13 @@ def impute_knn(
 
     # The few columns needed, written once: what follows passes over them several times.
     narrow = stage(df.select(row_key, target, *dict.fromkeys([*numeric, *categorical, *block_on])), "narrow")
-    codes = {c: stage(label_codes(narrow, c).withColumnRenamed("code", f"__f_{c}"), "codes") for c in categorical}
     feats = [f"__f_{c}" for c in [*numeric, *categorical]]
+    if model is None:
+        train = sample_n(narrow.where(F.col(target).isNotNull()), sample, row_key, seed)
+        codes = {c: stage(label_codes(narrow, c), "codes") for c in categorical}
+    else:
+        train, codes = model.train, model.codes
+    codes = {c: codes[c].withColumnRenamed("code", f"__f_{c}") for c in categorical}
 
     def encode(frame: DataFrame) -> DataFrame:
         for c in categorical:
@@ -290,8 +372,11 @@ def impute_knn(
         return frame.withColumns({f"__f_{c}": F.col(c) for c in numeric})
 
     enc = encode(narrow)
-    cells = group_quantiles(melt(enc, feats), ["column"], "value", [0.5], ["m"], groups_at_most=len(feats))
-    medians = dict(cells.collect())  # one row per feature
+    if model is None:
+        cells = group_quantiles(melt(enc, feats), ["column"], "value", [0.5], ["m"], groups_at_most=len(feats))
+        medians = dict(cells.collect())  # one row per feature
+    else:
+        medians = {f"__f_{c}": m for c, m in model.medians.items()}
 
     def complete(frame: DataFrame) -> DataFrame:
         return frame.withColumns(
@@ -299,8 +384,7 @@ def impute_knn(
         )
 
     enc = complete(enc)
-    known = enc.where(F.col(target).isNotNull()).select(row_key, target, *feats, *block_on)
-    train = stage(sample_n(known, sample, row_key, seed), "train")
+    train = stage(complete(encode(train)).select(row_key, target, *feats, *block_on), "train")
     # Beyond the first k keys, rows equal in all features can never be among the k nearest.
     same = Window.partitionBy(*feats, *block_on).orderBy(row_key)
     train = train.withColumn("__r", F.row_number().over(same)).where(F.col("__r") <= k)

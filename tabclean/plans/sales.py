@@ -59,6 +59,15 @@ class CleanConfig:
     validate_aliases: bool = False
 
 
+@dataclass(frozen=True)
+class Learnt:
+    """What imputation knows of a table: group counts, value counts and neighbour models by filled column."""
+
+    groups: DataFrame | None = None
+    values: dict[str, DataFrame] = field(default_factory=dict)
+    neighbours: dict[str, impute.KnnModel] = field(default_factory=dict)
+
+
 def repair_structure(df: DataFrame) -> DataFrame:
     """Phase 1: shifted rows, joined values, split names."""
     df = repair.realign_shift(df, mark=_MARK + "CS-001")
@@ -114,21 +123,30 @@ def before_imputation(df: DataFrame, config: CleanConfig = CleanConfig()) -> Dat
     return impute.impute_from_prefix(df, config.prefixes, mark=_MARK + "IMP-VIN")
 
 
-def clean_sales(df: DataFrame, config: CleanConfig = CleanConfig()) -> DataFrame:
-    """The cleaning plan: repair, standardise, null out, impute, flag."""
-    df = before_imputation(df, config)
+def clean_sales(df: DataFrame, config: CleanConfig = CleanConfig(), learnt: Learnt | None = None) -> DataFrame:
+    """The cleaning plan: repair, standardise, null out, impute, flag.
+
+    What imputation has to know of the whole table comes from `learnt`, else from `df` itself.
+    """
+    df, learnt = before_imputation(df, config), learnt or Learnt()
     marks = {c: f"{_MARK}IMP-{c}" for c in MODE_COLUMNS}
     missing = {c: F.col(c).isNull() for c in MODE_COLUMNS}
-    if config.strategy == "mode":
+    if config.strategy == "mode" and learnt.groups is not None:
+        df = impute.fill_group_mode(df, learnt.groups, MODE_COLUMNS, GROUP_KEYS, marks)
+    elif config.strategy == "mode":
         df = impute.impute_group_mode(df, MODE_COLUMNS, GROUP_KEYS, marks)
     else:
         df = df.withColumns({f"__gap_{c}": test for c, test in missing.items()})
         if "knn" in config.strategy:
             for c in MODE_COLUMNS:
-                df = impute.impute_knn(df, c, row_key=config.row_key, sample=config.knn_sample, seed=config.seed)
+                df = impute.impute_knn(
+                    df, c, row_key=config.row_key, sample=config.knn_sample, seed=config.seed, model=learnt.neighbours.get(c))
         if "conditional" in config.strategy:
             for c in MODE_COLUMNS:
-                df = impute.impute_conditional(df, c, DRAW_KEYS, config.row_key, config.seed)
+                counts = learnt.values.get(c)
+                if counts is None:
+                    counts = impute.value_counts_by(df, c, DRAW_KEYS)
+                df = impute.draw_from_counts(df, counts, c, DRAW_KEYS, config.row_key, config.seed)
         df = df.withColumns({marks[c]: F.col(f"__gap_{c}") & F.col(c).isNotNull() for c in MODE_COLUMNS})
         df = df.drop(*[f"__gap_{c}" for c in MODE_COLUMNS])
     df = impute.flag_non_imputable(impute.flag_imputed(df))
