@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregate as agg
 from ..operators import features, stats
-from ..plans import dashboard, insights
+from ..plans import cube, dashboard, insights
 from ..plans.employees import LEVEL_ORDER, NUMERIC
 from .registry import query
 from .views import CONDITION_BAND, Views, case_band, text as quoted
@@ -371,6 +371,24 @@ def _(v: Views):
     return dashboard.quality(v.dashboard)
 
 
+_CHOSEN = {"kinds": ["clean", "imputed"], "transmissions": ["automatic"], "years": (1984, 1996)}
+
+
+@query("cube_kpis", _KPI.replace("FROM prepared", "FROM dashboard"), ("dashboard",), _KPI_DIGITS)
+def _(v: Views):
+    return cube.kpis(v.cube, **_CHOSEN)
+
+
+@query("cube_heatmap", heatmap_sql("dashboard"), ("dashboard",), {"value": 8})
+def _(v: Views):
+    return cube.heatmap(v.cube, **_CHOSEN)
+
+
+@query("cube_quality", quality_sql("dashboard"), ("dashboard",), {"median": 6})
+def _(v: Views):
+    return cube.quality(v.cube, **_CHOSEN)
+
+
 @query("pivot_heatmap", heatmap_sql("prepared"), PREP, {"value": 8})
 def _(v: Views):
     return agg.heatmap(v.prepared)

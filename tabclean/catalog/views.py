@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.impute import PREFIXES
 from ..operators.repair import MAKE_ALIASES, MAKE_BODY, MODEL_ALIASES
+from ..plans.cube import Cube
+from ..plans.cube import build as build_cube
 from ..plans.dashboard import dashboard_table
 from ..plans.employees import clean_employees
 from ..plans.sales import CleanConfig, clean_sales, prepare_sales
@@ -158,6 +160,10 @@ class Views:
     def dashboard(self) -> DataFrame:
         return dashboard_table(self.cleaned, ["clean", "imputed"], transmissions=["automatic"], years=(1984, 1996))
 
+    @cached_property
+    def cube(self) -> Cube:
+        return build_cube(self.cleaned)
+
     @cached_property
     def staff(self) -> DataFrame:
         return clean_employees(self.employees, TENURE_DATE)

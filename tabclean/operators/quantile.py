@@ -15,6 +15,8 @@ the plan is built; their small results are written to the shared folder.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +77,24 @@ def group_quantiles(
 
     counts = [F.expr("count(1) AS __n"), F.expr("min(__x) AS __lo"), F.expr("max(__x) AS __hi")]
     hist = stage(fact.groupBy(*keys, "__b").agg(*counts), "hist")
+    return quantiles_from(hist, lambda wanted: fact, keys, probs, names, groups_at_most)
+
+
+def bucketed(df: DataFrame, value: str) -> DataFrame:
+    """`df` with the value as `__x` and its bucket as `__b`, both null where there is no number."""
+    x = F.col(value).cast("double")
+    df = df.withColumn("__x", F.when(~F.isnan(x), x))
+    return df.selectExpr("*", f"CASE WHEN __x IS NOT NULL THEN {_log_bucket('__x')} END AS __b")
+
+
+def quantiles_from(
+    hist: DataFrame, rows: Callable[[DataFrame], DataFrame], keys: list[str], probs: list[float], names: list[str],
+    groups_at_most: int | None = None,
+) -> DataFrame:
+    """`group_quantiles` by a histogram (keys, __b, __n, __lo, __hi) known before, written already.
+
+    `rows` gives the rows (keys, __x, __b), with those of the wanted (keys, __b) among them.
+    """
     # At most two buckets or cells per quantile and group are wanted.
     bound = 1 if not keys else groups_at_most
     small = (2 * len(probs) * bound if bound else hist.count()) <= MAX_BROADCAST_ROWS
@@ -95,7 +115,7 @@ def group_quantiles(
         .drop("__n")
     )
     counts = [F.expr("count(1) AS __n"), F.expr("min(__total) AS __total")]
-    values = fact.join(hint(wanted.drop("__lo", "__hi")), [*keys, "__b"]).groupBy(*keys, "__start", "__x").agg(*counts)
+    values = rows(wanted).join(hint(wanted.drop("__lo", "__hi")), [*keys, "__b"]).groupBy(*keys, "__start", "__x").agg(*counts)
     values = stage(values, "values")
     wanted = wanted.select(*keys, "__start", "__lo", "__hi")
     while True:
