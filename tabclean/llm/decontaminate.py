@@ -24,8 +24,6 @@ from .words import mixed, odd_constants, word_hashes, words
 
 #: Edits allowed in a hundred words of an item.
 PERCENT_EDITS = 20
-#: Items with fewer words are no passages; they match nothing.
-LEAST_WORDS = 5
 #: At most so many items and bytes of items go out at once.
 BLOCK_ITEMS, BLOCK_BYTES = 10_000, 16 << 20
 _AT_ONCE, _CELLS = 400_000, 1 << 22
@@ -76,11 +74,11 @@ def run_keys(hashes: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
 class Index:
     """The pieces of a block of items, by their number of words."""
 
-    def __init__(self, items: list[tuple[int, bytes | None]], percent: int = PERCENT_EDITS):
+    def __init__(self, items: list[tuple[int | None, bytes | None]], percent: int = PERCENT_EDITS):
         if not 0 <= percent < 100:
             raise ValueError("percent must be from 0 to 99")
-        hashed = [(i, word_hashes(words(t))) for i, t in items if i is not None]
-        self.items = [(i, w) for i, w in hashed if len(w) >= LEAST_WORDS]
+        hashed = [(i, word_hashes(words(t))) for i, t in items]
+        self.items = [(i, w) for i, w in hashed if len(w)]
         self.lengths = np.array([len(w) for _, w in self.items], np.int64)
         self.edits = np.array([edits_allowed(len(w), percent) for _, w in self.items], np.int64)
         self.vocabulary = np.unique(np.concatenate([w for _, w in self.items])) if self.items else np.array([], np.uint64)
@@ -99,7 +97,7 @@ class Index:
             seen[(keys >> np.uint64(48)).astype(np.int64)] = True
             self.tables.append((width, keys[order], of[order], begins[order], seen))
 
-    def search(self, texts: list[bytes | None]) -> list[dict[int, tuple[int, int]]]:
+    def search(self, texts: list[bytes | None]) -> list[dict[int | None, tuple[int, int]]]:
         """For each text: {item id: (edits, word after the match)}; the first of the nearest matches."""
         found: list[dict] = [{} for _ in texts]
         first = 0
@@ -182,6 +180,10 @@ class Index:
         return out
 
 
+def _null_first(hit: tuple) -> tuple:
+    return hit[0] is not None, hit[0] or 0
+
+
 _HITS = pa.list_(pa.struct([("item", pa.int64()), ("edits", pa.int64()), ("word_end", pa.int64())]))
 
 
@@ -191,7 +193,7 @@ def leaks_in(text: Column, index: Index) -> Column:
     @F.arrow_udf("array<struct<item long, edits long, word_end long>>")
     def found(texts: pa.Array) -> pa.Array:
         hits = index.search([t.as_py() for t in texts])
-        rows = [[{"item": i, "edits": e, "word_end": w} for i, (e, w) in sorted(h.items())] for h in hits]
+        rows = [[{"item": i, "edits": e, "word_end": w} for i, (e, w) in sorted(h.items(), key=_null_first)] for h in hits]
         return pa.array(rows, _HITS)
 
     return found(text.cast("binary"))
@@ -214,10 +216,11 @@ def find_leaks(
 
     An item of n words (runs without ASCII white space, A-Z lowered) is in a text if some run
     of its words is at most n * `percent` / 100 word edits away. `word_end` counts the words
-    up to the end of the match. Null and empty texts hold nothing; items that are null or have
-    fewer than five words match nothing; rows without an id are reported with a null id.
-    Rows and items that repeat an id are each looked at; of items that share an id the
-    nearest counts. Empty tables give an empty table.
+    up to the end of the match. Items of one to four words allow no edit, so they are found
+    where they stand word by word. Null and empty texts hold nothing, and such items match
+    nothing; rows and items without an id are reported with a null id. Rows and items that
+    repeat an id, or have none, are each looked at; of items that share an id (or have none)
+    the nearest counts. Empty tables give an empty table.
     """
     out = None
     for index in blocks_of(benchmark, item_col, item_text_col, percent):

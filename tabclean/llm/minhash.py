@@ -28,6 +28,7 @@ from xxhash import xxh3_128_digest
 
 from ..sources.staging import stage
 from .components import connected_components, narrow
+from .running import running
 from .skew import heavy_keys, spread_join, stage_bucketed
 from .words import mixed, odd_constants, shingle_set
 
@@ -292,17 +293,38 @@ def near_duplicates(
     )
 
 
+def _apart(docs: DataFrame, id_col: str, mark: str, node: str) -> DataFrame:
+    """`docs` with a number `node` for each id and text: the id itself, a new one where an id has several texts."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(mark).alias("mark")).where("id IS NOT NULL")
+    shared = stage(rows.groupBy("id").agg(F.min(F.struct("mark")).alias("a"), F.max(F.struct("mark")).alias("b")), "ids")
+    clashing = shared.where("a <> b").select("id")
+    if clashing.isEmpty():
+        return docs.withColumn(node, F.col(id_col).cast("long"))
+    texts = rows.join(clashing, "id", "left_semi").distinct().select(F.lit(0).alias("all"), "id", "mark")
+    texts = running(stage(texts, "texts"), "all", ["id", "mark"])
+    (low, high), n = shared.agg(F.min("id"), F.max("id")).first(), texts.count()
+    # Numbers that no id has: above the largest, or below the smallest where there is no room.
+    fresh = F.lit(high + 1) + F.col("pos") if high + 1 + n < 1 << 63 else F.lit(low - 1) - F.col("pos")
+    fresh = texts.select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), fresh.cast("long").alias(node))
+    same = (F.col(id_col) == F.col("__id")) & F.col(mark).eqNullSafe(F.col("__mark"))
+    return docs.join(fresh, same, "left").withColumn(node, F.coalesce(node, F.col(id_col))).drop("__id", "__mark")
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of `docs` that stay: one of each group of near copies, and one of equal rows.
 
-    Rows that share an id (or have none) and a text count as one document; others without
-    an id stay.
+    Ids are whole numbers. Rows that share an id (or have none) and a text count as one
+    document; rows that share an id but not the text are documents of their own; others
+    without an id stay. All columns stay as they are, whatever their names.
     """
-    verdict = near_duplicates(docs, id_col, text_col, **options)
-    lost = verdict.where("NOT kept").select(F.col(id_col).alias("__lost")).distinct()
-    kept = docs.join(lost, F.col(id_col) == F.col("__lost"), "left_anti")
-    once = kept.withColumn("__text", F.xxhash64(text_col))
-    return once.dropDuplicates([id_col, "__text"]).drop("__text")
+    names = docs.columns
+    inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    own, text = (f"c{names.index(c)}" for c in (id_col, text_col))
+    marked = _apart(inner.withColumn("mark", F.xxhash64(F.col(text).isNull(), text)), own, "mark", "node")
+    verdict = near_duplicates(marked.select("node", text), "node", text, **options)
+    lost = verdict.where("NOT kept").select(F.col("node").alias("lost")).distinct()
+    kept = marked.join(lost, F.col("node") == F.col("lost"), "left_anti")
+    return kept.dropDuplicates([own, "mark"]).drop("mark", "node").toDF(*names)
 
 
 def op5(spark: SparkSession, folder: str) -> DataFrame:

@@ -259,3 +259,36 @@ def test_registered_packing(spark, library):
     folder = "/root/testdata/sf0.001"
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     assert check_packing(packing.op13(spark, folder).collect(), docs, library) < 0.01
+
+
+# Rows and items that share an id
+
+
+def test_near_copies_of_repeated_ids(spark):
+    """An id with several texts: each text is judged by itself, and clean ones stay."""
+    from tabclean.llm.minhash import drop_near_duplicates
+
+    say = lambda seed, n=60: " ".join(f"w{random.Random(seed * 1000 + i).randrange(5000)}" for i in range(n))
+    one, two = say(1), say(2)
+    rows = [(1, one), (2, one + " more"), (2, two), (0, say(3)), (1, say(3)), (1, say(4)), (7, one), (7, two + " x"), (None, say(5)), (None, say(5)), (9, None), (9, "")]
+    big = 2**63 - 1
+    for shift in (0, big - 9):
+        data = [(None if i is None else i + shift, t, "a", "b", "c") for i, t in rows]
+        df = spark.createDataFrame(data, "doc_id long, text string, __text string, node string, mark string")
+        kept = drop_near_duplicates(df)
+        assert kept.columns == df.columns
+        texts = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+        # One text of each group of near copies stays, wherever its id; no text without a copy goes.
+        groups = [{one, one + " more"}, {two, two + " x"}, {say(3)}, {say(4)}, {say(5)}, {None}, {""}]
+        assert [sum(t in g for _, t in texts) for g in groups] == [1] * 7
+
+
+def test_short_items_and_items_without_id(spark):
+    from tabclean.llm.decontaminate import drop_leaks, find_leaks
+
+    words = " ".join(f"word{i}" for i in range(20))
+    bench = spark.createDataFrame([(1, "four words are here"), (None, words), (3, "Single"), (4, " "), (None, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "now FOUR words\nare here too"), (2, "four words are not here"), (3, "so " + words), (4, "a single one"), (5, "clean")], "doc_id long, text string")
+    got = sorted((tuple(r) for r in find_leaks(docs, bench).collect()), key=repr)
+    assert got == [(1, 1, 0, 5), (3, None, 0, 21), (4, 3, 0, 2)]
+    assert sorted(r.doc_id for r in drop_leaks(docs, bench).collect()) == [2, 5]
