@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import DRAW_BITS, draw
 from ..functions.text import any_of
+from ..sources.staging import stage
+from .joins import bounded
 from .quantile import approx_quantiles, quantile_values
 
 FLAG_IMPUTED = "_flag_imputed"
@@ -55,8 +57,27 @@ def drop_null(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.na.drop(subset=cols)
 
 
+def split_repeated(df: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """The rows that certainly have no equal, and the others; None where the others are too many to tell apart so.
+
+    Only fingerprints of 128 bits are shuffled; those that come more than once go out to all
+    tasks if their table is small. `df` is read twice, so it should be written or cheap.
+    """
+    a, b = (next(n for n in (f"__{side}" + "_" * i for i in range(99)) if n not in df.columns) for side in "ab")
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    marked = df.withColumns({a: F.xxhash64(F.lit(1), *cols), b: F.xxhash64(F.lit(2), *cols)})
+    counts = marked.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
+    again = stage(counts.where("n > 1").select(F.col(a).alias("same_a"), F.col(b).alias("same_b")), "repeats")
+    if not bounded(again):
+        return None
+    same = (F.col(a) == F.col("same_a")) & (F.col(b) == F.col("same_b"))
+    return tuple(marked.join(F.broadcast(again), same, how).drop(a, b) for how in ("left_anti", "left_semi"))
+
+
 def drop_duplicates(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+    """One of each set of equal rows. Rows without an equal are not moved where repeats are few."""
+    parts = split_repeated(df)
+    return df.dropDuplicates() if parts is None else parts[0].unionByName(parts[1].dropDuplicates())
 
 
 def quantile_trim(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99, approximate: bool = False) -> DataFrame:
@@ -76,7 +97,8 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
 
     Rows are ranked by a number drawn from their key. Two histograms of the leading bits
     of the draws, of 1,024 bins and of as many within one of them, give a bound that
-    leaves n rows and at most a millionth of the table besides, before the final sort.
+    leaves n rows and at most a millionth of the table besides; only these last rows are
+    sorted, to find the draw and key at which the sample ends. The rest is a filter.
     """
     drawn = df.withColumn("__draw", draw(key, "sample", seed))
     low, shift, before = 0, DRAW_BITS, 0
@@ -88,8 +110,21 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
         if found is None:
             return drawn.drop("__draw")  # no more than n rows in all
         low = found << shift
-    drawn = drawn.where(F.col("__draw") < low + (1 << shift))
-    return drawn.orderBy("__draw", key).limit(n).drop("__draw")
+    last = drawn.where(F.col("__draw").between(low, low + (1 << shift) - 1))
+    place = F.struct(F.col("__draw").alias("d"), F.col(key).isNotNull().alias("k"), F.col(key).alias("key"))
+    ends = last.select(place.alias("at")).orderBy("at").limit(n - before).groupBy("at").agg(F.count(F.lit(1)).alias("n"))
+    end = ends.agg(F.max(F.struct("at", "n")).alias("end")).first()["end"]
+    if end is None:
+        return drawn.where(F.col("__draw") < low).drop("__draw")
+    kind = drawn.schema[key].dataType
+    is_null = F.col(key).isNull()
+    value = F.lit(end["at"]["key"]).cast(kind)
+    here = F.col("__draw") == end["at"]["d"]
+    equal = here & (is_null if end["at"]["key"] is None else F.coalesce(F.col(key) == value, F.lit(False)))
+    smaller = F.lit(False) if end["at"]["key"] is None else (is_null | (F.col(key) < value))
+    sure = drawn.where((F.col("__draw") < end["at"]["d"]) | (here & smaller))
+    # Rows equal in key are as good as each other.
+    return sure.unionByName(drawn.where(equal).limit(end["n"])).drop("__draw")
 
 
 def _reaches(hist: DataFrame, n: int, seen: int) -> tuple[int, int | None]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from ..functions.text import strip
+from .filters import split_repeated
 from .quantile import group_quantiles
 
 
@@ -83,8 +84,10 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row in all columns."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
+    """Rows that repeat an earlier row in all columns. Only rows that may have an equal are compared in full."""
+    parts = split_repeated(df)
+    df = df if parts is None else parts[1]
+    copies = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("n"))
     return copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
 
 

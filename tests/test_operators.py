@@ -375,6 +375,32 @@ def test_sample_with_null_and_text_keys(spark, n):
     assert filters.sample_n(df, n, "Id").count() == min(n, 200)
 
 
+@pytest.mark.parametrize("n", [1, 40, 100, 101, 160, 300])
+def test_sample_cuts_among_equal_keys(spark, n):
+    df = spark.range(300).selectExpr("CASE WHEN id < 100 THEN NULL WHEN id < 200 THEN 'same' ELSE concat('k', id) END AS Id", "id AS x")
+    out = filters.sample_n(df, n, "Id")
+    assert out.count() == n == out.select("x").distinct().count()
+    drawn = df.withColumn("d", numeric.draw("Id", "sample", 42)).orderBy("d", "Id").limit(n)
+    assert sorted(values(out.select("Id")), key=str) == sorted(values(drawn.select("Id")), key=str)
+
+
+def test_repeated_rows_by_fingerprint(spark, monkeypatch):
+    nan = float("nan")
+    rows = [(1, "a", nan), (1, "a", nan), (1, "a", 0.0), (1, "a", -0.0), (1, None, 2.0), (1, None, 2.0), (None, "1", 2.0), (2, "", None), (3, "b", 1.0)]
+    rows += [(i, "x" * 200, float(i)) for i in range(10, 2000)]
+    df = spark.createDataFrame(rows, "i int, __a string, `x.y` double")
+    want = sorted(map(repr, values(df.dropDuplicates())))
+    alone, again = filters.split_repeated(df)
+    assert again.count() == 6 and alone.count() == len(rows) - 6
+    # Rows without an equal are not shuffled.
+    assert "hashpartitioning" not in alone._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(repr, values(filters.drop_duplicates(df)))) == want
+    assert values(profile.duplicate_count(df)) == [(3,)]
+    monkeypatch.setattr(filters, "bounded", lambda table: False)
+    assert sorted(map(repr, values(filters.drop_duplicates(df)))) == want and values(profile.duplicate_count(df)) == [(3,)]
+    assert values(profile.duplicate_count(df.limit(0))) == [(0,)] and filters.drop_duplicates(df.limit(0)).count() == 0
+
+
 def test_lookup_tables_with_repeated_keys(spark):
     df = spark.createDataFrame([(1, "VW", None, "3VWa"), (2, "kia", None, "zzz1"), (3, None, None, "3vwb")], "Id int, Make string, Body string, VIN string")
     table = spark.createDataFrame([("vw", "Volkswagen", "Wagon"), ("VW", "Volkswagen", "Sedan"), ("Kia", "Kia", None)], "raw string, make string, body string")
