@@ -164,7 +164,8 @@ def manifest(
         F.col(id_col).alias("id"), key.alias("key"), F.unhex(digest_of([F.col(c) for c in columns])).alias("leaf"),
         *[c.alias(name) for name, c in zip(carried, carry.values())],
     )
-    ranked = running(leaves, "key", ["id", "leaf"]).withColumn("block", F.expr(f"pos div {BLOCK}L"))
+    # Written first: sorting by ranges looks at its input twice, and texts are to be read and hashed once.
+    ranked = running(stage(leaves, "hashed"), "key", ["id", "leaf"]).withColumn("block", F.expr(f"pos div {BLOCK}L"))
     sizes = stage(ranked.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "sizes")
     ranked = stage(spread_join(ranked, sizes, "key", spread_by="id"), "leaves")
     most, groups = sizes.agg(F.coalesce(F.max("n"), F.lit(0)), F.count(F.lit(1))).first()
