@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -28,6 +27,7 @@ from tabclean.plans import dashboard  # noqa: E402
 from tabclean.plans import sales as plan  # noqa: E402
 from tabclean.plans.employees import clean_employees  # noqa: E402
 from tabclean.session import build_session  # noqa: E402
+from tabclean.sources.staging import scratch_path  # noqa: E402
 
 
 def run(df: DataFrame) -> None:
@@ -45,7 +45,7 @@ def main() -> None:
         spark__python__sql__dataFrameDebugging__enabled="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    base = tempfile.mkdtemp(prefix="tabclean-bench-")
+    base = scratch_path(spark, "bench")
     views = Views(spark, folder)
     views.sales.repartition(int(cpus)).write.parquet(f"{base}/sales")
     views.employees.repartition(int(cpus)).write.parquet(f"{base}/employees")

@@ -317,7 +317,7 @@ def _(v: Views):
     PREP, {"q25": 6, "q50": 6, "q75": 6},
 )
 def _(v: Views):
-    return agg.group_quartiles(agg.rows_of_top(v.prepared, "Body", 6), "Body", "SellingPrice", groups_at_most=6)
+    return agg.group_quartiles(agg.rows_of_top(v.prepared, "Body", 6), "Body", "SellingPrice")
 
 
 # --- top groups ---------------------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from ..operators import aggregate as agg
 from ..plans.job import run as run_job
 from ..plans.sales import DESCRIPTIONS, EXPORT_COLUMNS
-from ..sources import files
+from ..sources import bundle, files
 from ..sources.staging import scratch_path
 from .registry import query
 from .views import Views
@@ -104,6 +104,32 @@ def _(v: Views):
     return files.read_table(v.spark, f"{folder}/staff", tables["staff"].schema)
 
 
+def _published(v: Views):
+    """The tables of the bundle as a reader of its second version sees them."""
+    folder = scratch_path(v.spark, "published")
+    tables = {"departments": agg.dept_summary(v.staff), "countries": agg.staff_summary(v.staff, "Country"), "staff": v.staff}
+    bundle.publish({n: df.limit(1) for n, df in tables.items()}, folder)
+    bundle.publish(tables, folder)
+    return bundle.read_bundle(v.spark, folder)
+
+
+query(
+    "publish_bundle_departments",
+    """SELECT Department, count(No) AS Employees, round_even(avg(Monthly_Salary), 0) AS Avg_Monthly_Salary,
+       sum(Annual_Salary) AS Total_Annual_Cost, round_even(avg(Overtime_Hours), 1) AS Avg_OT_Hours,
+       count(*) FILTER (WHERE Has_Sick_Leave) AS Sick_Leave_Count,
+       count(*) FILTER (WHERE High_Overtime) AS High_OT_Count FROM staff GROUP BY 1""",
+    ("staff",), {"Total_Annual_Cost": 2},
+)(lambda v: _published(v)["departments"])
+query(
+    "publish_bundle_countries",
+    """SELECT Country, count(No) AS Employees, round_even(avg(Monthly_Salary), 0) AS Avg_Salary,
+       round_even(avg(Overtime_Hours), 1) AS Avg_OT FROM staff GROUP BY 1""",
+    ("staff",),
+)(lambda v: _published(v)["countries"])
+query("publish_bundle_staff", "SELECT * FROM staff", ("staff",))(lambda v: _published(v)["staff"])
+
+
 _TYPES = {
     "Year": "Integer", "ConditionValue": "Decimal", "Odometer": "Decimal", "MMR": "Decimal",
     "SellingPrice": "Decimal", "SaleDate": "DateTime", "SaleYear": "Integer", "VehicleAge": "Integer",

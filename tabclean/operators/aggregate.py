@@ -30,12 +30,11 @@ def pct(test: Column) -> Column:
 
 def summarise(
     df: DataFrame, keys: list[str], aggs: list[Column], medians: dict[str, str] | None = None,
-    groups_at_most: int | None = None,
 ) -> DataFrame:
     """One row per group: plain aggregates plus medians `{name: column}`."""
     out = df.where(keys_present(keys)).groupBy(*keys).agg(*aggs)
     for name, value in (medians or {}).items():
-        out = out.join(group_median(df, keys, value, name, groups_at_most), keys, "left")
+        out = out.join(group_median(df, keys, value, name), keys, "left")
     return out
 
 
@@ -230,13 +229,13 @@ def state_ranking(df: DataFrame, col: str = "State", n: int = 5) -> DataFrame:
 # --- medians by group ---------------------------------------------------------------
 
 
-def median_by(df: DataFrame, key: str, value: str = "SellingPrice", groups_at_most: int | None = None) -> DataFrame:
-    return group_median(df, [key], value, "median", groups_at_most)
+def median_by(df: DataFrame, key: str, value: str = "SellingPrice") -> DataFrame:
+    return group_median(df, [key], value, "median")
 
 
-def median_by_band(df: DataFrame, band: Column, value: str = "SellingPrice", labels: int = 16) -> DataFrame:
+def median_by_band(df: DataFrame, band: Column, value: str = "SellingPrice") -> DataFrame:
     """Median per band; the number of bands is known from their definition."""
-    return group_median(df.withColumn("band", band), ["band"], value, "median", groups_at_most=labels)
+    return group_median(df.withColumn("band", band), ["band"], value, "median")
 
 
 def median_by_year(df: DataFrame, since: int | None = None, value: str = "SellingPrice") -> DataFrame:
@@ -255,13 +254,13 @@ def yoy_median(df: DataFrame, value: str = "SellingPrice") -> DataFrame:
 def band_effect(df: DataFrame, band: Column, high: str, low: str, value: str = "SellingPrice") -> DataFrame:
     """Difference of the medians of two bands."""
     source = df.withColumn("band", band).where(F.col("band").isin(high, low))
-    medians = group_median(source, ["band"], value, "median", groups_at_most=2)
+    medians = group_median(source, ["band"], value, "median")
     pick = lambda label: F.max(F.when(F.col("band") == label, F.col("median")))
     return medians.agg(pick(high).alias("high"), pick(low).alias("low"), (pick(high) - pick(low)).alias("effect"))
 
 
-def group_quartiles(df: DataFrame, key: str, value: str, groups_at_most: int | None = None) -> DataFrame:
-    return group_quantiles(df, [key], value, [0.25, 0.5, 0.75], ["q25", "q50", "q75"], groups_at_most)
+def group_quartiles(df: DataFrame, key: str, value: str) -> DataFrame:
+    return group_quantiles(df, [key], value, [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
 
 
 # --- top groups, then a measure -----------------------------------------------------
@@ -278,7 +277,7 @@ def rows_of_top(df: DataFrame, key: str, k: int) -> DataFrame:
 
 
 def topk_then_median(df: DataFrame, key: str, k: int, value: str) -> DataFrame:
-    medians = group_median(rows_of_top(df, key, k), [key], value, "median", groups_at_most=k)
+    medians = group_median(rows_of_top(df, key, k), [key], value, "median")
     return medians.orderBy("median", key)
 
 
@@ -286,7 +285,7 @@ def topk_volume_price(df: DataFrame, key: str = "Make", k: int = 10, value: str
     df = stage(df.select(key, value), "volumes")
     top = stage(top_groups(df, key, k), "top")
     rows = df.join(F.broadcast(top.select(key)), key, "left_semi")
-    medians = group_median(rows, [key], value, "median", groups_at_most=k)
+    medians = group_median(rows, [key], value, "median")
     return top.withColumnRenamed("count", "volume").join(medians, key, "left")
 
 
@@ -302,7 +301,7 @@ def heatmap(
     df = stage(df.select(rows, cols, value), "cells")
     top_cols = top_groups(df, cols, n_cols).select(cols)
     cells = rows_of_top(df, rows, n_rows_).join(F.broadcast(top_cols), cols, "left_semi")
-    medians = group_median(cells, [rows, cols], value, "median", groups_at_most=n_rows_ * n_cols)
+    medians = group_median(cells, [rows, cols], value, "median")
     # Only rows and columns that occur together with each other appear.
     seen = cells.groupBy(rows, cols).agg(n_rows().alias("__n"))
     listed = seen.agg(F.sort_array(F.collect_set(cols))).scalar()
@@ -323,7 +322,7 @@ def pivot_gender_gap(df: DataFrame, k: int = 8) -> DataFrame:
 
 def quality_median(df: DataFrame, k: int = 6, value: str = "SellingPrice") -> DataFrame:
     top = quality_label(rows_of_top(df, "Body", k))
-    return group_median(top, ["Body", "DataQuality"], value, "median", groups_at_most=3 * k)
+    return group_median(top, ["Body", "DataQuality"], value, "median")
 
 
 # --- time ---------------------------------------------------------------------------

@@ -373,7 +373,7 @@ def impute_knn(
 
     enc = encode(narrow)
     if model is None:
-        cells = group_quantiles(melt(enc, feats), ["column"], "value", [0.5], ["m"], groups_at_most=len(feats))
+        cells = group_quantiles(melt(enc, feats), ["column"], "value", [0.5], ["m"])
         medians = dict(cells.collect())  # one row per feature
     else:
         medians = {f"__f_{c}": m for c, m in model.medians.items()}

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import stage
 
-MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 32 << 20
 SALTS = 32
 # A key with more than this share of the large table is hot, so there are fewer than 1 / HOT_SHARE of them.

@@ -76,7 +76,7 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
         F.min("value").alias("min"), F.max("value").alias("max"),
     )
     quartiles = group_quantiles(
-        cells, ["column"], "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], groups_at_most=len(cols)
+        cells, ["column"], "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"]
     )
     return base.join(quartiles, "column", "left").select(
         "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .joins import MAX_BROADCAST_ROWS, keys_present
+from .joins import MAX_BROADCAST_BYTES, bounded, keys_present
 
 _PER_OCTAVE = 64
 _CELLS = 4096
@@ -61,13 +61,11 @@ def group_quantiles(
     value: Column | str,
     probs: list[float],
     names: list[str],
-    groups_at_most: int | None = None,
 ) -> DataFrame:
     """One row per group with the exact quantiles of the non-null values.
 
     Rows with a null key are left out. Without keys the result is one row, null on
-    empty input. `groups_at_most` is a proven bound on the number of groups; without
-    one the size of the histogram decides whether buckets are broadcast.
+    empty input. The bytes of the histogram decide whether buckets are broadcast.
     """
     x = (F.col(value) if isinstance(value, str) else value).cast("double")
     fact = df.select(*keys, x.alias("__x")).where("__x IS NOT NULL AND NOT isnan(__x)")
@@ -77,7 +75,7 @@ def group_quantiles(
 
     counts = [F.expr("count(1) AS __n"), F.expr("min(__x) AS __lo"), F.expr("max(__x) AS __hi")]
     hist = stage(fact.groupBy(*keys, "__b").agg(*counts), "hist")
-    return quantiles_from(hist, lambda wanted: fact, keys, probs, names, groups_at_most)
+    return quantiles_from(hist, lambda wanted: fact, keys, probs, names)
 
 
 def bucketed(df: DataFrame, value: str) -> DataFrame:
@@ -88,16 +86,14 @@ def bucketed(df: DataFrame, value: str) -> DataFrame:
 
 
 def quantiles_from(
-    hist: DataFrame, rows: Callable[[DataFrame], DataFrame], keys: list[str], probs: list[float], names: list[str],
-    groups_at_most: int | None = None,
+    hist: DataFrame, rows: Callable[[DataFrame], DataFrame], keys: list[str], probs: list[float], names: list[str]
 ) -> DataFrame:
     """`group_quantiles` by a histogram (keys, __b, __n, __lo, __hi) known before, written already.
 
     `rows` gives the rows (keys, __x, __b), with those of the wanted (keys, __b) among them.
     """
-    # At most two buckets or cells per quantile and group are wanted.
-    bound = 1 if not keys else groups_at_most
-    small = (2 * len(probs) * bound if bound else hist.count()) <= MAX_BROADCAST_ROWS
+    # At most two buckets or cells per quantile and group are wanted, and the histogram has a row for each group.
+    small = bounded(hist, MAX_BROADCAST_BYTES // (2 * len(probs)))
     quoted = [f"`{k}`" for k in keys]
 
     def hint(frame: DataFrame) -> DataFrame:
@@ -114,8 +110,11 @@ def quantiles_from(
         .where(_wanted(probs))
         .drop("__n")
     )
-    counts = [F.expr("count(1) AS __n"), F.expr("min(__total) AS __total")]
-    values = rows(wanted).join(hint(wanted.drop("__lo", "__hi")), [*keys, "__b"]).groupBy(*keys, "__start", "__x").agg(*counts)
+    found = rows(wanted).withColumn("__k", F.lit(1).cast("bigint"))
+    if not small:  # a frequent value is one row before it is shuffled to its bucket
+        found = found.groupBy(*keys, "__b", "__x").agg(F.sum("__k").alias("__k"))
+    counts = [F.expr("sum(__k) AS __n"), F.expr("min(__total) AS __total")]
+    values = found.join(hint(wanted.drop("__lo", "__hi")), [*keys, "__b"]).groupBy(*keys, "__start", "__x").agg(*counts)
     values = stage(values, "values")
     wanted = wanted.select(*keys, "__start", "__lo", "__hi")
     while True:
@@ -149,9 +148,9 @@ def quantiles_from(
 
 
 def group_median(
-    df: DataFrame, keys: list[str], value: Column | str, name: str, groups_at_most: int | None = None
+    df: DataFrame, keys: list[str], value: Column | str, name: str
 ) -> DataFrame:
-    return group_quantiles(df, keys, value, [0.5], [name], groups_at_most)
+    return group_quantiles(df, keys, value, [0.5], [name])
 
 
 def quantile_values(df: DataFrame, value: Column | str, probs: list[float]) -> list[float | None]:

@@ -229,7 +229,7 @@ def fill_median(df: DataFrame, cols: list[str]) -> DataFrame:
     """Fill nulls with the exact median of the column. The medians of all columns take one pass."""
     if len(cols) == 1:
         return df.withColumn(cols[0], F.coalesce(F.col(cols[0]), median_value(df, cols[0])))
-    cells = group_quantiles(melt(df, cols), ["column"], "value", [0.5], ["m"], groups_at_most=len(cols))
+    cells = group_quantiles(melt(df, cols), ["column"], "value", [0.5], ["m"])
     medians = dict(cells.collect())  # one row per column
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(medians.get(c)).cast("double")) for c in cols})
 

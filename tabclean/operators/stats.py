@@ -79,7 +79,7 @@ def box_stats(df: DataFrame, key: str, col: str, top: int | None = None) -> Data
     source = df.where(F.col(key).isNotNull() & F.col(col).isNotNull())
     if top:
         source = rows_of_top(df, key, top).where(F.col(col).isNotNull())
-    quartiles = group_quantiles(source, [key], col, [0.25, 0.5, 0.75], ["q1", "median", "q3"], groups_at_most=top)
+    quartiles = group_quantiles(source, [key], col, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     joined = lookup_join(source.select(key, col), quartiles, [key])
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = (F.col(col) >= F.col("q1") - reach) & (F.col(col) <= F.col("q3") + reach)

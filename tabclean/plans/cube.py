@@ -100,7 +100,7 @@ def cells_for(cube: Cube, dims: list[str], kinds: list[str] | None, facets: dict
 
 
 def _medians(
-    cube: Cube, cells: DataFrame, keys: list[str], kinds: list[str] | None, facets: dict, at_most: int, label: bool = False
+    cube: Cube, cells: DataFrame, keys: list[str], kinds: list[str] | None, facets: dict, label: bool = False
 ) -> DataFrame:
     """(keys, median) over the chosen rows of the groups in `cells`."""
     hist = cells.where("__b IS NOT NULL").groupBy(*keys, "__b").agg(
@@ -112,7 +112,7 @@ def _medians(
         chosen = quality_filter(facet_filter(cube.rows.where(F.col("slice").isin(slices)), **facets), kinds)
         return (quality_label(chosen) if label else chosen).select(*keys, "__x", "__b")
 
-    return quantiles_from(stage(hist, "hist"), rows, keys, [0.5], ["median"], groups_at_most=at_most)
+    return quantiles_from(stage(hist, "hist"), rows, keys, [0.5], ["median"])
 
 
 def _top(cells: DataFrame, key: str, k: int) -> list[str]:
@@ -124,7 +124,7 @@ def _top(cells: DataFrame, key: str, k: int) -> list[str]:
 def kpis(cube: Cube, kinds: list[str] | None = None, **facets) -> DataFrame:
     """As `aggregate.sales_kpis` of the chosen rows."""
     cells = cells_for(cube, [], kinds, facets)
-    median = _medians(cube, cells, [], kinds, facets, 1).first()[0]
+    median = _medians(cube, cells, [], kinds, facets).first()[0]
     mean = lambda total, n: F.try_divide(F.sum(total), F.sum(n))
     return cells.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("records"), mean("odometer", "odometers").alias("avg_odometer"),
@@ -137,7 +137,7 @@ def heatmap(cube: Cube, kinds: list[str] | None = None, n_rows: int = 8, n_cols:
     cells = cells_for(cube, ["Make", "Body"], kinds, facets)
     makes, bodies = _top(cells, "Make", n_rows), _top(cells, "Body", n_cols)
     cells = cells.where(F.col("Make").isin(makes) & F.col("Body").isin(bodies))
-    medians = _medians(cube, cells, ["Make", "Body"], kinds, facets, n_rows * n_cols)
+    medians = _medians(cube, cells, ["Make", "Body"], kinds, facets)
     seen = cells.select("Make", "Body").distinct()
     grid = seen.select("Make").distinct().crossJoin(F.broadcast(seen.select("Body").distinct()))
     return grid.join(medians, ["Make", "Body"], "left").select("Make", "Body", (F.coalesce("median", F.lit(0.0)) / scale).alias("value"))
@@ -147,4 +147,4 @@ def quality(cube: Cube, kinds: list[str] | None = None, k: int = 6, **facets) ->
     """As `aggregate.quality_median` of the chosen rows."""
     cells = cells_for(cube, ["Body"], kinds, facets)
     cells = quality_label(cells.where(F.col("Body").isin(_top(cells, "Body", k))))
-    return _medians(cube, cells, ["Body", "DataQuality"], kinds, facets, 3 * k, label=True)
+    return _medians(cube, cells, ["Body", "DataQuality"], kinds, facets, label=True)

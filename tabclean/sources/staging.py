@@ -5,10 +5,12 @@ from __future__ import annotations
 import contextlib
 import uuid
 from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SCOPES: list[list[str]] = []
+#: The open scopes of this thread or task; another one's folders are none of its business.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -19,8 +21,8 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str = "stage") -> str:
     path = f"{scratch_dir(spark)}/tabclean/{name}-{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    if scopes := _SCOPES.get():
+        scopes[-1].append(path)
     return path
 
 
@@ -40,11 +42,11 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 def staged_until_end(spark: SparkSession) -> Iterator[None]:
     """Removes the folders staged within the block; results must have been written before it ends."""
     paths: list[str] = []
-    _SCOPES.append(paths)
+    before = _SCOPES.set((*_SCOPES.get(), paths))
     try:
         yield
     finally:
-        _SCOPES.remove(paths)
+        _SCOPES.reset(before)
         for path in paths:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -30,12 +30,11 @@ def groups():
     }
 
 
-@pytest.mark.parametrize("known", [None, 9])
-def test_groups(spark, limit, known):
+def test_groups(spark, limit):
     rows = [(k, float(x)) for k, xs in groups().items() for x in xs]
     rows += [(None, 1.0), ("normal", None), ("normal", float("nan")), ("empty", None)]
     df = spark.createDataFrame(rows, "k string, x double").repartition(5)
-    found = {r[0]: r[1:] for r in group_quantiles(df, ["k"], "x", PROBS, NAMES, known).collect()}
+    found = {r[0]: r[1:] for r in group_quantiles(df, ["k"], "x", PROBS, NAMES).collect()}
     assert set(found) == set(groups())
     for key, xs in groups().items():
         np.testing.assert_allclose(found[key], np.quantile(xs, PROBS), rtol=1e-12, err_msg=key)
@@ -49,7 +48,7 @@ def test_whole_column(spark, limit):
 
 def test_no_broadcast_beyond_the_bound(spark, monkeypatch):
     monkeypatch.setattr(quantile, "CELL_VALUES", 10)
-    monkeypatch.setattr(quantile, "MAX_BROADCAST_ROWS", 1)
+    monkeypatch.setattr(quantile, "MAX_BROADCAST_BYTES", 1)
     df = spark.range(1000).selectExpr("id % 3 AS k", "cast(id AS double) AS x")
     found = dict(group_quantiles(df, ["k"], "x", [0.5], ["m"]).collect())
     assert found == {k: float(np.median(np.arange(k, 1000, 3))) for k in range(3)}
