@@ -78,3 +78,29 @@ def test_running_counts_of_a_hot_group(spark):
     # The hot group's values lie in many partitions.
     spread = out.groupBy("g", F.spark_partition_id().alias("p")).count().where("g = 'hot'")
     assert spread.count() >= 4 and spread.agg(F.max("count")).first()[0] <= 10_000
+
+
+def test_scopes_of_two_threads_are_apart(spark):
+    import threading
+
+    from tabclean.sources.staging import stage, staged_until_end
+
+    open_, done, kept = threading.Event(), threading.Event(), {}
+
+    def other():
+        with staged_until_end(spark):
+            kept["df"] = stage(spark.range(5))
+            open_.set()
+            done.wait(60)
+            kept["rows"] = kept["df"].count()
+
+    thread = threading.Thread(target=other)
+    with staged_until_end(spark):
+        thread.start()
+        assert open_.wait(60)
+        gone = stage(spark.range(3))
+    done.set()
+    thread.join()
+    assert kept["rows"] == 5
+    with pytest.raises(Exception):
+        gone.count()
