@@ -324,7 +324,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     verdict = near_duplicates(marked.select("node", text), "node", text, **options)
     lost = verdict.where("NOT kept").select(F.col("node").alias("lost")).distinct()
     kept = marked.join(lost, F.col("node") == F.col("lost"), "left_anti")
-    return kept.dropDuplicates([own, "mark"]).drop("mark", "node").toDF(*names)
+    # By the number, along which the rows lie already; it tells texts of one id apart.
+    return kept.dropDuplicates(["node", "mark"]).drop("mark", "node").toDF(*names)
 
 
 def op5(spark: SparkSession, folder: str) -> DataFrame:
