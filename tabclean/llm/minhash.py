@@ -1,19 +1,23 @@
 """Near-duplicate documents: banded MinHash, odd sketches, exact confirmation, components.
 
-1. One pass gives each document the digest of its shingle set, MinHash band keys and an
-   odd sketch: every MinHash sample toggles one bit of a bitmap, so the population count
-   of the XOR of two bitmaps counts the samples in which two sets differ, which is most
-   precise at high similarity.
-2. Documents with equal sets are grouped by digest; only the first of each goes on.
-3. Band buckets of two or more give candidates. A bucket is not expanded into pairs: its
-   members are compared with a hub, and links make components. Buckets in which all are of
-   one component are done; the others get new hubs. When hubs find nothing more, the few
-   remaining pairs of different components are compared, so no candidate is left out.
-4. A candidate must pass the size bound and the odd sketch and is then confirmed on both
+1. One pass gives each document the digest of its shingle set and MinHash band keys.
+   Documents with equal sets are grouped by digest; only the first of each goes on.
+2. Band buckets of two or more give candidates. Their members get an odd sketch: every one
+   of 1,024 MinHash samples toggles one bit of a bitmap, so the population count of the XOR
+   of two bitmaps counts the samples in which two sets differ, which is most precise at
+   high similarity.
+3. A bucket is not expanded into pairs: its members are compared with a hub, and links make
+   components. Buckets in which all are of one component are done; the others get new hubs.
+4. What hubs leave open meets by its rarest shingles: in one order of all shingles, sets of
+   n shingles that are similar enough share one of their first n - ceil(percent * n / 100) + 1.
+   The order puts frequent shingles last, so texts that share a common passage and little
+   else don't meet. No candidate that can be a link is left out.
+5. A candidate must pass the size bound and the odd sketch and is then confirmed on both
    whole sets.
 
 Bands are chosen so that a pair at the threshold shares a bucket with a probability of
-over 0.99999; the sketch refuses such a pair with a probability of under 1e-8.
+over 0.99999; the sketch refuses such a pair with a probability of about 4 in a million, and
+hardly any other link: at 0.7 it passes a quarter of all pairs, at 0.65 about one in 200.
 """
 
 from __future__ import annotations
@@ -33,12 +37,20 @@ from .skew import heavy_keys, spread_join, stage_bucketed
 from .words import mixed, odd_constants, shingle_set
 
 BANDS, ROWS = 32, 5
-SKETCH_BITS = 512
+SKETCH_SAMPLES, SKETCH_BITS = 1024, 2048
+#: Deviations of the sketch's bound.
+_SIGMAS = 4.5
+#: Hubs that a member of buckets meets in a round, at most; what they leave is compared in the end.
+_HUBS = 4
+#: Cells of the folded counts by which shingles are ordered; their sum by cell is the only thing sent out.
+_CELLS = 1 << 16
+#: Documents with one rare shingle that a task compares with as many.
+_BLOCK = 1000
 #: Shingles hashed at once, so that memory does not follow the batch.
 _AT_ONCE = 500_000
 
 
-def most_differing_bits(similarity: float, samples: int = BANDS * ROWS, bits: int = SKETCH_BITS, sigmas: float = 6) -> int:
+def most_differing_bits(similarity: float, samples: int = SKETCH_SAMPLES, bits: int = SKETCH_BITS, sigmas: float = _SIGMAS) -> int:
     """Bits in which the odd sketches of two sets of this similarity differ at most, up to `sigmas` deviations.
 
     Of `samples` MinHash values, a binomial number differ; each that differs toggles two
@@ -81,48 +93,93 @@ def _lists(values: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc, n, digest, bands, sketch) for each row of (doc, text); the last three are null for empty sets."""
+    """(doc, n, digest, bands) for each row of (doc, text); the last two are null for empty sets."""
 
     def signed(batches):
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            at = 0
-            while at < len(ids):
-                sets, size, first = [], 0, at
-                while at < len(ids) and size < _AT_ONCE:
-                    sets.append(shingle_set(texts[at].as_py(), shingle))
-                    size += len(sets[-1])
-                    at += 1
-                yield _signed(ids.slice(first, at - first), sets)
+        for ids, sets in _portions(batches, shingle):
+            n = np.array([len(x) for x in sets], np.int64)
+            full = np.flatnonzero(n)
+            take = pa.array(np.where(n > 0, np.cumsum(n > 0) - 1, 0), mask=n == 0)
+            digests = pa.array([xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets], pa.binary())
+            bands = pa.nulls(len(sets), pa.list_(pa.int64()))
+            if len(full):
+                bands = _lists(band_keys(_minima([sets[i] for i in full], BANDS * ROWS), BANDS, ROWS)).take(take)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(n), digests, bands], ["doc", "n", "digest", "bands"])
 
     rows = docs.select("doc", F.col("text").cast("binary"))
-    return rows.mapInArrow(signed, "doc long, n long, digest binary, bands array<long>, sketch array<long>")
-
-
-def _signed(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
-    n = np.array([len(s) for s in sets], np.int64)
-    full = np.flatnonzero(n)
-    take = pa.array(np.where(n > 0, np.cumsum(n > 0) - 1, 0), mask=n == 0)
-    digests = pa.array([xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
-    if len(full):
-        starts = np.concatenate([[0], np.cumsum(n[full])[:-1]])
-        minima = min_hashes(np.concatenate([sets[i] for i in full]), starts, BANDS * ROWS)
-        bands, sketch = (_lists(x).take(take) for x in (band_keys(minima, BANDS, ROWS), odd_sketches(minima, SKETCH_BITS)))
-    else:
-        bands = sketch = pa.nulls(len(sets), pa.list_(pa.int64()))
-    return pa.RecordBatch.from_arrays([ids, pa.array(n), digests, bands, sketch], ["doc", "n", "digest", "bands", "sketch"])
+    return rows.mapInArrow(signed, "doc long, n long, digest binary, bands array<long>")
+
+
+def _portions(batches, shingle: int):
+    """(ids, shingle sets) of the rows, so many at once that memory follows neither batches nor texts."""
+    for batch in batches:
+        ids, texts, at = batch.column(0), batch.column(1), 0
+        while at < len(ids):
+            sets, size, first = [], 0, at
+            while at < len(ids) and size < _AT_ONCE:
+                sets.append(shingle_set(texts[at].as_py(), shingle))
+                size += len(sets[-1])
+                at += 1
+            yield ids.slice(first, at - first), sets
+
+
+def _minima(sets: list[np.ndarray], samples: int) -> np.ndarray:
+    starts = np.cumsum([0] + [len(x) for x in sets[:-1]])
+    return min_hashes(np.concatenate(sets), starts, samples)
+
+
+def sketched_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc, n, sketch, shingles) of the rows of (doc, text) with a set: its odd sketch and sorted 64-bit hashes as bytes."""
+
+    def listed(batches):
+        for ids, sets in _portions(batches, shingle):
+            full = [i for i, x in enumerate(sets) if len(x)]
+            if not full:
+                continue
+            own = [sets[i] for i in full]
+            columns = [
+                ids.take(pa.array(full)), pa.array([len(x) for x in own], pa.int64()),
+                _lists(odd_sketches(_minima(own, SKETCH_SAMPLES), SKETCH_BITS)), pa.array([x.tobytes() for x in own]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "n", "sketch", "shingles"])
+
+    rows = docs.select("doc", F.col("text").cast("binary"))
+    return rows.mapInArrow(listed, "doc long, n long, sketch array<long>, shingles binary")
+
+
+def folded_counts(sets: DataFrame) -> np.ndarray:
+    """How many sets of (shingles) hold a shingle of each cell; a cell is the end of the hash."""
+
+    def counted(batches):
+        total = np.zeros(_CELLS, np.int64)
+        for batch in batches:
+            for found in batch.column(0):
+                cells = np.frombuffer(found.as_buffer(), np.uint64) & np.uint64(_CELLS - 1)
+                np.add.at(total, cells.astype(np.int64), 1)
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
+
+    summed = sets.select("shingles").mapInArrow(counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    out, found = np.zeros(_CELLS, np.int64), summed.toArrow()
+    out[found["cell"].to_numpy()] = found["n"].to_numpy()
+    return out
 
 
-def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc, shingles): the whole set of each row of (doc, text), sorted 64-bit hashes as bytes."""
+def rarest_shingles(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """(doc, shingle): the rarest shingles of each set of (doc, shingles), one of which any similar set has as well."""
 
     def listed(batches):
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                found = shingle_set(text.as_py(), shingle).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([doc.as_py()], pa.int64()), pa.array([found])], ["doc", "shingles"])
+            for doc, found in zip(batch.column(0), batch.column(1)):
+                own = np.frombuffer(found.as_buffer(), np.uint64)
+                first = len(own) + (-percent * len(own)) // 100 + 1
+                common = counts[(own & np.uint64(_CELLS - 1)).astype(np.int64)]
+                own = own[np.lexsort((own, common))[:first]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(own), doc.as_py(), np.int64)), pa.array(own.view(np.int64))], ["doc", "shingle"]
+                )
 
-    return docs.select("doc", F.col("text").cast("binary")).mapInArrow(listed, "doc long, shingles binary")
+    return sets.select("doc", "shingles").mapInArrow(listed, "doc long, shingle long")
 
 
 def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
@@ -166,10 +223,11 @@ class _Links:
         self.heavy = [r["key"] for r in top if r["c"] > least]
         self.members = stage(spread_join(keyed, buckets.select("key"), "key", spread_by="doc", heavy=self.heavy), "members")
         needed = self.members.select("doc").distinct()
-        self.known = stage(firsts.select("doc", "n", "sketch").join(needed, "doc", "left_semi"), "sketches")
-        sets = shingle_sets(docs.join(needed, "doc", "left_semi"), shingle)
+        sets = sketched_sets(docs.join(needed, "doc", "left_semi"), shingle)
         # Bucketed by document: each round moves its pairs, not the sets of all candidates.
-        self.sets = stage_bucketed(sets.dropDuplicates(["doc", "shingles"]), "doc", "sets")
+        self.table = stage_bucketed(sets.dropDuplicates(["doc", "shingles"]), "doc", "sets")
+        self.sets = docs.sparkSession.table(self.table)
+        self.known = self.sets.select("doc", "n", "sketch")
 
     def placed(self, labels: DataFrame | None) -> DataFrame:
         """(key, doc, component) of all members of buckets."""
@@ -179,15 +237,17 @@ class _Links:
         return out.select("key", "doc", F.coalesce("component", "doc").alias("component"))
 
     def hub_pairs(self, placed: DataFrame, turn: int) -> DataFrame:
-        """(a, b): members a with the hub b of their bucket, where they are of different components.
+        """(a, b): members a with hubs b of their buckets, where they are of different components.
 
-        All buckets prefer the same hubs, so a member meets few of them.
+        All buckets prefer the same hubs, and a member meets the most preferred of its own.
         """
         drawn = F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), "doc", "component")
         hubs = placed.groupBy("key").agg(F.min(drawn).alias("hub"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-        hubs = hubs.where("lo < hi").select("key", F.col("hub.doc").alias("hub"), F.col("hub.component").alias("of"))
+        hubs = hubs.where("lo < hi").select("key", F.col("hub.h").alias("h"), F.col("hub.doc").alias("hub"), F.col("hub.component").alias("of"))
         met = spread_join(placed, hubs, "key", spread_by="doc", heavy=self.heavy).where("component <> of")
-        return met.select(F.col("doc").alias("a"), F.col("hub").alias("b")).distinct()
+        # A document has no more hubs than bands.
+        of_doc = met.groupBy("doc").agg(F.slice(F.sort_array(F.collect_set(F.struct("h", "hub"))), 1, _HUBS).alias("hubs"))
+        return of_doc.select(F.col("doc").alias("a"), F.explode("hubs.hub").alias("b"))
 
     def open_pairs(self, placed: DataFrame) -> int:
         """Pairs of different components within buckets."""
@@ -195,15 +255,28 @@ class _Links:
         cross = sizes.groupBy("key").agg(F.expr("(pow(sum(c), 2) - sum(pow(c, 2))) / 2").alias("n"))
         return int(cross.agg(F.coalesce(F.sum("n"), F.lit(0.0))).first()[0])
 
-    def other_pairs(self, placed: DataFrame) -> DataFrame:
-        """All pairs of different components in a bucket that size and sketch admit."""
+    def meeting(self, placed: DataFrame) -> DataFrame:
+        """(shingle, blocks, doc, component, n, sketch): rare shingles that documents of open buckets share across components."""
         span = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        full = placed.join(span.where("lo < hi").select("key"), "key", "left_semi").join(self.known, "doc")
-        full = stage(full, "mixed")
-        left = full.toDF("a", "key", "c_a", "n_a", "s_a")
-        right = full.toDF("b", "key", "c_b", "n_b", "s_b")
-        met = left.join(right, "key").where("a < b AND c_a <> c_b").where(_passes(self.percent))
-        return met.select("a", "b").distinct()
+        still = spread_join(placed, span.where("lo < hi").select("key"), "key", spread_by="doc", heavy=self.heavy)
+        still = stage(narrow(still.select("doc", "component").distinct()), "open")
+        sets = self.sets.join(still.select("doc"), "doc", "left_semi")
+        rare = rarest_shingles(sets, folded_counts(sets), self.percent).join(still, "doc")
+        rare = stage(rare, "rare")
+        shared = rare.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("c"))
+        shared = shared.where("lo < hi").select("shingle", F.ceil(F.col("c") / _BLOCK).cast("int").alias("blocks"))
+        return stage(spread_join(rare, shared, "shingle", spread_by="doc").join(self.known, "doc"), "meeting")
+
+    def other_pairs(self, placed: DataFrame) -> DataFrame:
+        """Pairs of different components, of documents in buckets still open, that share a rare shingle and pass the sketch."""
+        met = self.meeting(placed)
+        # Blocks of the holders of a shingle meet each other, one pair of blocks in a task.
+        own, every = F.pmod(F.xxhash64("doc"), "blocks").cast("int"), F.explode(F.expr("sequence(0, blocks - 1)"))
+        sides = ["doc", "component", "n", "sketch"]
+        left = met.select("shingle", own.alias("i"), every.alias("j"), *sides).toDF("shingle", "i", "j", "a", "c_a", "n_a", "s_a")
+        right = met.select("shingle", every.alias("i"), own.alias("j"), *sides).toDF("shingle", "i", "j", "b", "c_b", "n_b", "s_b")
+        pairs = left.join(right, ["shingle", "i", "j"]).where("a < b AND c_a <> c_b").where(_passes(self.percent))
+        return pairs.select("a", "b").distinct()
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are links, after size, sketch and the comparison of whole sets."""
@@ -212,7 +285,7 @@ class _Links:
         rated = spread_join(pairs, self.known.toDF("a", "n_a", "s_a"), "a", spread_by="b", heavy=of_a)
         rated = spread_join(rated, self.known.toDF("b", "n_b", "s_b"), "b", spread_by="a", heavy=of_b)
         pairs = stage(rated.where(_passes(self.percent)).select("a", "b"), "pairs")
-        sets = pairs.sparkSession.table(self.sets).select("doc", "shingles")
+        sets = self.sets.select("doc", "shingles")
         both = spread_join(pairs, sets.toDF("a", "left"), "a", spread_by="b", heavy=of_a)
         both = spread_join(both, sets.toDF("b", "right"), "b", spread_by="a", heavy=of_b)
         return stage(confirmed(both, self.percent), "linked")
@@ -233,7 +306,7 @@ def _components(firsts: DataFrame, docs: DataFrame, shingle: int, percent: int)
     try:
         return _merged(found)
     finally:
-        docs.sparkSession.sql(f"DROP TABLE {found.sets}")
+        docs.sparkSession.sql(f"DROP TABLE {found.table}")
 
 
 def _merged(found: _Links) -> DataFrame | None:

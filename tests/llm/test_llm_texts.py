@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,10 @@ from tabclean.llm.decontaminate import Index, drop_leaks, edits_allowed, find_le
 from tabclean.llm.language import accepted_documents, fit_text_model, identify, document_rows
 from tabclean.llm.licenses import TEMPLATES, scan_licenses
 from tabclean.llm.line_dedup import dedup_lines
-from tabclean.llm.minhash import drop_near_duplicates, most_differing_bits, near_duplicates
+from tabclean.llm.minhash import (
+    SKETCH_BITS, SKETCH_SAMPLES, _Links, drop_near_duplicates, min_hashes, most_differing_bits, near_duplicates,
+    odd_sketches, signatures,
+)
 from tabclean.llm.mixing import mixed, sainte_lague, targets
 from tabclean.llm.tokens import count_tokens
 
@@ -104,8 +108,51 @@ def test_near_duplicates_large_group(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(want)
 
 
-def test_sketch_bound_leaves_room():
-    assert 100 < most_differing_bits(0.8) < 140
+def test_near_duplicates_of_texts_near_the_threshold(spark):
+    """Families around bases with up to a twentieth of the words edited, all on a passage that every text holds."""
+    rng = random.Random(5)
+    passage = prose(rng, 60)
+    docs = {}
+    for family in range(40):
+        base = prose(rng, 100).split()
+        for i in range(25):
+            own = list(base)
+            for _ in range(rng.randrange(6)):
+                own[rng.randrange(100)] = f"own{family}-{i}-{rng.randrange(9)}"
+            docs[family * 25 + i] = passage + " " + " ".join(own)
+    got = near_duplicates(table(spark, list(docs.items())), shingle=4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == components(docs, 4)
+
+
+def test_texts_with_a_common_passage_do_not_meet(spark):
+    """2,000 texts share seven tenths of their words; two million pairs share buckets, nearly none a rare shingle."""
+    rng = random.Random(4)
+    passage = prose(rng, 140)
+    texts = [(i, passage + " " + prose(rng, 60, 10**6)) for i in range(2000)]
+    docs = table(spark, texts).select(F.col("doc_id").alias("doc"), "text")
+    found = _Links(signatures(docs, 4), docs, 4, 80)
+    placed = found.placed(None)
+    assert found.open_pairs(placed) > 1_000_000
+    assert found.meeting(placed).count() <= 2000
+    got = near_duplicates(table(spark, texts), shingle=4)
+    assert got.where("kept").count() == 2000
+
+
+def test_odd_sketch_tells_similarities_apart():
+    def passing(both, n, pairs=300):
+        rng = np.random.default_rng(both)
+        sets = []
+        for _ in range(pairs):
+            x = rng.integers(0, 1 << 63, 2 * n - both, np.uint64)
+            sets += [np.sort(x[:n]), np.sort(x[n - both :])]
+        starts = np.arange(len(sets)) * n
+        sketches = odd_sketches(min_hashes(np.concatenate(sets), starts, SKETCH_SAMPLES), SKETCH_BITS)
+        differing = np.bitwise_count((sketches[::2] ^ sketches[1::2]).view(np.uint64)).sum(axis=1)
+        return int((differing <= most_differing_bits(0.8)).sum())
+
+    assert passing(80, 90) == 300  # similarity 0.8
+    assert passing(70, 85) < 150  # 0.7
+    assert passing(65, 85) < 15  # 0.62
     assert most_differing_bits(0.95) < most_differing_bits(0.8)
 
 
