@@ -40,8 +40,8 @@ BANDS, ROWS = 32, 5
 SKETCH_SAMPLES, SKETCH_BITS = 1024, 2048
 #: Deviations of the sketch's bound.
 _SIGMAS = 4.5
-#: Hubs that a member of buckets meets in a round, at most; what they leave is compared in the end.
-_HUBS = 4
+#: Hubs of a bucket, and those that a member of several buckets meets in a round; what they leave is compared in the end.
+_HUBS_OF_BUCKET, _HUBS = 4, 16
 #: Cells of the folded counts by which shingles are ordered; their sum by cell is the only thing sent out.
 _CELLS = 1 << 16
 #: Documents with one rare shingle that a task compares with as many.
@@ -166,7 +166,11 @@ def folded_counts(sets: DataFrame) -> np.ndarray:
 
 
 def rarest_shingles(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """(doc, shingle): the rarest shingles of each set of (doc, shingles), one of which any similar set has as well."""
+    """(doc, shingle, rest): the rarest shingles of each set of (doc, shingles), one of which any similar set has as well.
+
+    A shingle is the half of its hash that cells don't use; that two may be equal only adds
+    meetings. `rest` is how many shingles of the set are not among them.
+    """
 
     def listed(batches):
         for batch in batches:
@@ -174,12 +178,11 @@ def rarest_shingles(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFr
                 own = np.frombuffer(found.as_buffer(), np.uint64)
                 first = len(own) + (-percent * len(own)) // 100 + 1
                 common = counts[(own & np.uint64(_CELLS - 1)).astype(np.int64)]
-                own = own[np.lexsort((own, common))[:first]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(own), doc.as_py(), np.int64)), pa.array(own.view(np.int64))], ["doc", "shingle"]
-                )
+                rare = np.unique((own[np.lexsort((own, common))[:first]] >> np.uint64(32)).astype(np.uint32)).view(np.int32)
+                same = [np.full(len(rare), x, np.int64) for x in (doc.as_py(), len(own) - len(rare))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (same[0], rare, same[1])], ["doc", "shingle", "rest"])
 
-    return sets.select("doc", "shingles").mapInArrow(listed, "doc long, shingle long")
+    return sets.select("doc", "shingles").mapInArrow(listed, "doc long, shingle int, rest long")
 
 
 def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
@@ -242,12 +245,15 @@ class _Links:
         All buckets prefer the same hubs, and a member meets the most preferred of its own.
         """
         drawn = F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), "doc", "component")
-        hubs = placed.groupBy("key").agg(F.min(drawn).alias("hub"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-        hubs = hubs.where("lo < hi").select("key", F.col("hub.h").alias("h"), F.col("hub.doc").alias("hub"), F.col("hub.component").alias("of"))
-        met = spread_join(placed, hubs, "key", spread_by="doc", heavy=self.heavy).where("component <> of")
-        # A document has no more hubs than bands.
-        of_doc = met.groupBy("doc").agg(F.slice(F.sort_array(F.collect_set(F.struct("h", "hub"))), 1, _HUBS).alias("hubs"))
-        return of_doc.select(F.col("doc").alias("a"), F.explode("hubs.hub").alias("b"))
+        part = F.pmod(F.xxhash64("doc", F.lit(turn), F.lit("part")), F.lit(_HUBS_OF_BUCKET))
+        span = [F.min("component").alias("lo"), F.max("component").alias("hi")]
+        first = placed.groupBy("key", part.alias("part")).agg(F.min(drawn).alias("hub"), *span)
+        hubs = first.groupBy("key").agg(F.collect_list("hub").alias("hubs"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        met = spread_join(placed, hubs.where("lo < hi").select("key", "hubs"), "key", spread_by="doc", heavy=self.heavy)
+        met = met.select("doc", F.explode(F.expr("filter(hubs, x -> x.component <> component)")).alias("x"))
+        # A document has a bounded number of buckets and so of hubs.
+        of_doc = met.groupBy("doc").agg(F.slice(F.sort_array(F.collect_set(F.struct("x.h", "x.doc"))), 1, _HUBS).alias("hubs"))
+        return of_doc.select(F.col("doc").alias("a"), F.explode("hubs.doc").alias("b"))
 
     def open_pairs(self, placed: DataFrame) -> int:
         """Pairs of different components within buckets."""
@@ -256,7 +262,8 @@ class _Links:
         return int(cross.agg(F.coalesce(F.sum("n"), F.lit(0.0))).first()[0])
 
     def meeting(self, placed: DataFrame) -> DataFrame:
-        """(shingle, blocks, doc, component, n, sketch): rare shingles that documents of open buckets share across components."""
+        """(shingle, blocks, doc, component, n, sketch, rare, rest): rare shingles that documents of open buckets share
+        across components; `rare` has all of them that a document shares, `rest` counts its other shingles."""
         span = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         still = spread_join(placed, span.where("lo < hi").select("key"), "key", spread_by="doc", heavy=self.heavy)
         still = stage(narrow(still.select("doc", "component").distinct()), "open")
@@ -265,17 +272,28 @@ class _Links:
         rare = stage(rare, "rare")
         shared = rare.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("c"))
         shared = shared.where("lo < hi").select("shingle", F.ceil(F.col("c") / _BLOCK).cast("int").alias("blocks"))
-        return stage(spread_join(rare, shared, "shingle", spread_by="doc").join(self.known, "doc"), "meeting")
+        met = stage(spread_join(rare, shared, "shingle", spread_by="doc"), "shared")
+        known = met.groupBy("doc").agg(F.collect_set("shingle").alias("rare"), F.max("rest").alias("rest"))
+        met = met.drop("rest").distinct().join(known.join(self.known, "doc"), "doc")
+        return stage(met, "meeting")
 
     def other_pairs(self, placed: DataFrame) -> DataFrame:
-        """Pairs of different components, of documents in buckets still open, that share a rare shingle and pass the sketch."""
+        """Pairs of different components, of documents in buckets still open, that share a rare shingle and pass the sketch.
+
+        Of two documents, the one whose rare shingles end first in the order of all has no
+        more shingles in common with the other than their common rare ones and its own rest.
+        """
         met = self.meeting(placed)
         # Blocks of the holders of a shingle meet each other, one pair of blocks in a task.
         own, every = F.pmod(F.xxhash64("doc"), "blocks").cast("int"), F.explode(F.expr("sequence(0, blocks - 1)"))
-        sides = ["doc", "component", "n", "sketch"]
-        left = met.select("shingle", own.alias("i"), every.alias("j"), *sides).toDF("shingle", "i", "j", "a", "c_a", "n_a", "s_a")
-        right = met.select("shingle", every.alias("i"), own.alias("j"), *sides).toDF("shingle", "i", "j", "b", "c_b", "n_b", "s_b")
+        sides = ["doc", "component", "n", "sketch", "rare", "rest"]
+        left = met.select("shingle", own.alias("i"), every.alias("j"), *sides).toDF("shingle", "i", "j", "a", "c_a", "n_a", "s_a", "r_a", "o_a")
+        right = met.select("shingle", every.alias("i"), own.alias("j"), *sides).toDF("shingle", "i", "j", "b", "c_b", "n_b", "s_b", "r_b", "o_b")
         pairs = left.join(right, ["shingle", "i", "j"]).where("a < b AND c_a <> c_b").where(_passes(self.percent))
+        # A pair counts where its first shared shingle is.
+        pairs = pairs.where("shingle = array_min(array_intersect(r_a, r_b))").where(
+            f"({100 + self.percent}) * (size(array_intersect(r_a, r_b)) + greatest(o_a, o_b)) >= {self.percent} * (n_a + n_b)"
+        )
         return pairs.select("a", "b").distinct()
 
     def links(self, pairs: DataFrame) -> DataFrame:
