@@ -289,11 +289,12 @@ class _Links:
         sides = ["doc", "component", "n", "sketch", "rare", "rest"]
         left = met.select("shingle", own.alias("i"), every.alias("j"), *sides).toDF("shingle", "i", "j", "a", "c_a", "n_a", "s_a", "r_a", "o_a")
         right = met.select("shingle", every.alias("i"), own.alias("j"), *sides).toDF("shingle", "i", "j", "b", "c_b", "n_b", "s_b", "r_b", "o_b")
-        pairs = left.join(right, ["shingle", "i", "j"]).where("a < b AND c_a <> c_b").where(_passes(self.percent))
+        enough = f"{100 + self.percent} * (%s + greatest(o_a, o_b)) >= {self.percent} * (n_a + n_b)"
+        # Cheap tests first: no more rare shingles are common than either document has.
+        pairs = left.join(right, ["shingle", "i", "j"]).where("a < b AND c_a <> c_b").where(enough % "least(size(r_a), size(r_b))")
         # A pair counts where its first shared shingle is.
-        pairs = pairs.where("shingle = array_min(array_intersect(r_a, r_b))").where(
-            f"({100 + self.percent}) * (size(array_intersect(r_a, r_b)) + greatest(o_a, o_b)) >= {self.percent} * (n_a + n_b)"
-        )
+        pairs = pairs.where(_passes(self.percent)).where("shingle = array_min(array_intersect(r_a, r_b))")
+        pairs = pairs.where(enough % "size(array_intersect(r_a, r_b))")
         return pairs.select("a", "b").distinct()
 
     def links(self, pairs: DataFrame) -> DataFrame:
