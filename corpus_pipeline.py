@@ -53,7 +53,7 @@ STAGES = [
     ("mixing", mix_sources),
 ]
 
-#: A trigram model, MinHash and random walks are no SQL; the stages are tested by brute force.
+#: A trigram model, MinHash and edit distances are no SQL; their operators are tested against plain versions.
 ORACLE_SQL = None
 
 
