@@ -33,7 +33,7 @@ _KPI_DIGITS = {"avg_odometer": 4, "above_pct": 6, "avg_age": 6, "median_price":
 
 @query("sales_kpis", _KPI, PREP, _KPI_DIGITS)
 def _(v: Views):
-    return agg.sales_kpis(v.prepared)
+    return agg.sales_kpis(v.prepared_for("Odometer", "PriceDiff", "VehicleAge", "SellingPrice"))
 
 
 @query(
@@ -106,7 +106,7 @@ def _(v: Views):
     PREP, {"Total_Revenue": 2, "Avg_Price": 4, "Median_Price": 6, "Avg_MMR": 4},
 )
 def _(v: Views):
-    return agg.monthly_summary(v.prepared)
+    return agg.monthly_summary(v.prepared_for("SaleMonth", "SellingPrice", "MMR", "AboveMMR", counted=("Id",)))
 
 
 @query(
@@ -116,7 +116,7 @@ def _(v: Views):
     PREP, {"Median_Price": 6, "Avg_Condition": 4, "Avg_Age": 4},
 )
 def _(v: Views):
-    return agg.make_summary(v.prepared)
+    return agg.make_summary(v.prepared_for("Make", "ConditionValue", "VehicleAge", "SellingPrice", counted=("Id",)))
 
 
 @query(
@@ -317,7 +317,7 @@ def _(v: Views):
     PREP, {"q25": 6, "q50": 6, "q75": 6},
 )
 def _(v: Views):
-    return agg.group_quartiles(agg.rows_of_top(v.prepared, "Body", 6), "Body", "SellingPrice")
+    return agg.group_quartiles(agg.rows_of_top(v.prepared_for("Body", "SellingPrice"), "Body", 6), "Body", "SellingPrice")
 
 
 # --- top groups ---------------------------------------------------------------------
@@ -329,7 +329,7 @@ def _(v: Views):
     PREP, {"median": 6},
 )
 def _(v: Views):
-    return agg.topk_then_median(v.prepared, "Make", 12, "PriceDiffPct")
+    return agg.topk_then_median(v.prepared_for("Make", "PriceDiffPct"), "Make", 12, "PriceDiffPct")
 
 
 @query(
@@ -339,7 +339,7 @@ def _(v: Views):
     PREP, {"median": 6},
 )
 def _(v: Views):
-    return agg.topk_volume_price(v.prepared)
+    return agg.topk_volume_price(v.prepared_for("Make", "SellingPrice"))
 
 
 def heatmap_sql(table: str) -> str:
@@ -391,7 +391,7 @@ def _(v: Views):
 
 @query("pivot_heatmap", heatmap_sql("prepared"), PREP, {"value": 8})
 def _(v: Views):
-    return agg.heatmap(v.prepared)
+    return agg.heatmap(v.prepared_for("Make", "Body", "SellingPrice"))
 
 
 @query(
@@ -485,7 +485,7 @@ _PRESENT = " AND ".join(f"{c} IS NOT NULL" for c in _CORR)
     PREP, {"r": 6},
 )
 def _(v: Views):
-    return stats.corr_matrix(v.prepared, _CORR, how="listwise", full=True)
+    return stats.corr_matrix(v.prepared_for(*_CORR), _CORR, how="listwise", full=True)
 
 
 @query(
@@ -542,7 +542,7 @@ _BOX_DIGITS = {"q1": 6, "median": 6, "q3": 6}
     PREP, _BOX_DIGITS,
 )
 def _(v: Views):
-    return stats.box_stats(v.prepared, "Body", "SellingPrice", top=6)
+    return stats.box_stats(v.prepared_for("Body", "SellingPrice"), "Body", "SellingPrice", top=6)
 
 
 @query(
@@ -600,7 +600,9 @@ def _fixed(x: str) -> str:
     PREP,
 )
 def _(v: Views):
-    return insights.sales_insights(v.prepared, since=1995)
+    return insights.sales_insights(
+        v.prepared_for("SaleDate", "VehicleAge", "Transmission", "PriceDiff", "Year", "SellingPrice", "Make", "Color"), since=1995
+    )
 
 
 def _best(measure: str) -> str:

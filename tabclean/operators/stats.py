@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .aggregate import n_rows, rows_of_top
 from .joins import lookup_join
 from .profile import clean_corr
+from ..sources.staging import stage
 from .quantile import group_quantiles
 
 
@@ -79,6 +80,7 @@ def box_stats(df: DataFrame, key: str, col: str, top: int | None = None) -> Data
     source = df.where(F.col(key).isNotNull() & F.col(col).isNotNull())
     if top:
         source = rows_of_top(df, key, top).where(F.col(col).isNotNull())
+    source = stage(source.select(key, col), "box")
     quartiles = group_quantiles(source, [key], col, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     joined = lookup_join(source.select(key, col), quartiles, [key])
     reach = (F.col("q3") - F.col("q1")) * 1.5

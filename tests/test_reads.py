@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tabclean.operators import impute
+from tabclean.operators import impute, quantile
 from tabclean.operators.joins import keys_present
 from tabclean.plans import sales as plan
 
@@ -42,6 +42,26 @@ def sales_rows(spark):
     )
 
 
+def test_prepared_columns_are_written_once(spark):
+    columns = ["SaleMonth", "Id", "Make", "AboveMMR"]
+    narrow = plan.prepare_sales(sales_rows(spark), columns=columns)
+    assert narrow.columns == columns and all("/prepared-" in f for f in narrow.inputFiles()) and narrow.inputFiles()
+    whole = plan.prepare_sales(sales_rows(spark)).select(*columns)
+    assert sorted(map(str, narrow.collect())) == sorted(map(str, whole.collect())) and narrow.count() > 400
+
+
+def test_quantile_reads_its_source_once(spark, tmp_path):
+    spark.range(1000).withColumn("k", F.col("id") % 3).write.parquet(str(tmp_path / "t"))
+    written, stage = [], quantile.stage
+    quantile.stage = lambda df, name="stage": written.append((name, "/t/" in str(df.inputFiles()))) or stage(df, name)
+    try:
+        found = dict(quantile.group_median(spark.read.parquet(str(tmp_path / "t")), ["k"], "id", "m").collect())
+    finally:
+        quantile.stage = stage
+    assert found == {0: 499.5, 1: 499.0, 2: 500.0}
+    assert [name for name, from_source in written if from_source] == ["fact"]
+
+
 def test_several_steps_of_imputation_read_what_is_written(spark):
     out = plan.clean_sales(sales_rows(spark), plan.CleanConfig(strategy="conditional"))
     assert any("/repaired-" in f for f in out.inputFiles()) and out.count() == 500
