@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from ..functions.numeric import tier
 from .features import is_above_market
-from .filters import isin
+from .filters import FLAG_IMPUTED, FLAG_NON_IMPUTABLE, isin
 from .impute import quality_label
 from .joins import keys_present
 from ..sources.staging import stage
@@ -321,6 +321,7 @@ def pivot_gender_gap(df: DataFrame, k: int = 8) -> DataFrame:
 
 
 def quality_median(df: DataFrame, k: int = 6, value: str = "SellingPrice") -> DataFrame:
+    df = stage(df.select(*dict.fromkeys(["Body", value, FLAG_IMPUTED, FLAG_NON_IMPUTABLE])), "labelled")
     top = quality_label(rows_of_top(df, "Body", k))
     return group_median(top, ["Body", "DataQuality"], value, "median")
 
