@@ -11,7 +11,8 @@
 4. What hubs leave open meets by its rarest shingles: in one order of all shingles, sets of
    n shingles that are similar enough share one of their first n - ceil(percent * n / 100) + 1.
    The order puts frequent shingles last, so texts that share a common passage and little
-   else don't meet. No candidate that can be a link is left out.
+   else don't meet. Shingles held by the same documents count as one item, at which these
+   meet once. No candidate that can be a link is left out.
 5. A candidate must pass the size bound and the odd sketch and is then confirmed on both
    whole sets.
 
@@ -22,6 +23,7 @@ hardly any other link: at 0.7 it passes a quarter of all pairs, at 0.65 about on
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -204,12 +206,20 @@ def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "left", "right").mapInArrow(compared, "a long, b long")
 
 
+def _sizes_allow(percent: int) -> str:
+    return f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+
+
 def _passes(percent: int) -> str:
-    """Whether a pair with sizes n_a, n_b and sketches s_a, s_b can reach the similarity."""
-    words = range(SKETCH_BITS // 64)
-    differing = " + ".join(f"bit_count(s_a[{i}] ^ s_b[{i}])" for i in words)
-    bits = most_differing_bits(percent / 100)
-    return f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) AND {differing} <= {bits}"
+    """Whether a pair with sizes n_a, n_b and sketches sketch_a, sketch_b can reach the similarity."""
+    # Lambdas, since a sum spelled out over all words is generated as one method, too long for Java to compile.
+    differing = "aggregate(zip_with(sketch_a, sketch_b, (x, y) -> bit_count(x ^ y)), 0, (t, x) -> t + x)"
+    return f"{_sizes_allow(percent)} AND {differing} <= {most_differing_bits(percent / 100)}"
+
+
+def _weight(items: str) -> str:
+    """How many shingles the items of an array stand for."""
+    return f"aggregate({items}, 0L, (t, x) -> t + (x & {(1 << 32) - 1}L))"
 
 
 class _Links:
@@ -262,20 +272,35 @@ class _Links:
         return int(cross.agg(F.coalesce(F.sum("n"), F.lit(0.0))).first()[0])
 
     def meeting(self, placed: DataFrame) -> DataFrame:
-        """(shingle, blocks, doc, component, n, sketch, rare, rest): rare shingles that documents of open buckets share
-        across components; `rare` has all of them that a document shares, `rest` counts its other shingles."""
+        """(item, blocks, doc, component, n, sketch, rare, weight, last, second, rest): items that documents of open buckets
+        share across components.
+
+        An item stands for all rare shingles held by exactly the same documents: the smallest
+        of them in its upper half, their number in the lower. `rare` has all items of a document
+        in order, `weight` counts their shingles, `last` and `second` are the two items before
+        this one, and `rest` counts the shingles of the set that are not rare.
+        """
         span = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         still = spread_join(placed, span.where("lo < hi").select("key"), "key", spread_by="doc", heavy=self.heavy)
         still = stage(narrow(still.select("doc", "component").distinct()), "open")
         sets = self.sets.join(still.select("doc"), "doc", "left_semi")
         rare = rarest_shingles(sets, folded_counts(sets), self.percent).join(still, "doc")
         rare = stage(rare, "rare")
-        shared = rare.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("c"))
-        shared = shared.where("lo < hi").select("shingle", F.ceil(F.col("c") / _BLOCK).cast("int").alias("blocks"))
-        met = stage(spread_join(rare, shared, "shingle", spread_by="doc"), "shared")
-        known = met.groupBy("doc").agg(F.collect_set("shingle").alias("rare"), F.max("rest").alias("rest"))
+        # Holders are told apart by their number and two sums of hashes.
+        holders = [F.sum(x.cast("decimal(38,0)")) for x in (F.xxhash64("doc"), F.xxhash64("doc", F.lit(1)))]
+        shared = rare.groupBy("shingle").agg(
+            F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("c"),
+            holders[0].alias("x"), holders[1].alias("y"),
+        )
+        alike = shared.where("lo < hi").groupBy("c", "x", "y").agg(F.min("shingle").alias("shingle"), F.count(F.lit(1)).alias("w"))
+        item = F.shiftleft(F.col("shingle").cast("long"), 32).bitwiseOR(F.col("w")).alias("item")
+        alike = alike.select("shingle", item, F.ceil(F.col("c") / _BLOCK).cast("int").alias("blocks"))
+        met = stage(spread_join(rare, alike, "shingle", spread_by="doc").drop("shingle"), "shared")
+        known = met.groupBy("doc").agg(F.sort_array(F.collect_set("item")).alias("rare"), F.max("rest").alias("rest"))
+        known = known.withColumn("weight", F.expr(_weight("rare")))
         met = met.drop("rest").distinct().join(known.join(self.known, "doc"), "doc")
-        return stage(met, "meeting")
+        before = [F.expr(f"get(rare, cast(array_position(rare, item) AS int) - {i})") for i in (2, 3)]
+        return stage(met.withColumns({"last": before[0], "second": before[1]}), "meeting")
 
     def other_pairs(self, placed: DataFrame) -> DataFrame:
         """Pairs of different components, of documents in buckets still open, that share a rare shingle and pass the sketch.
@@ -284,25 +309,30 @@ class _Links:
         more shingles in common with the other than their common rare ones and its own rest.
         """
         met = self.meeting(placed)
-        # Blocks of the holders of a shingle meet each other, one pair of blocks in a task.
+        # Blocks of the holders of an item meet each other, one pair of blocks in a task.
         own, every = F.pmod(F.xxhash64("doc"), "blocks").cast("int"), F.explode(F.expr("sequence(0, blocks - 1)"))
-        sides = ["doc", "component", "n", "sketch", "rare", "rest"]
-        left = met.select("shingle", own.alias("i"), every.alias("j"), *sides).toDF("shingle", "i", "j", "a", "c_a", "n_a", "s_a", "r_a", "o_a")
-        right = met.select("shingle", every.alias("i"), own.alias("j"), *sides).toDF("shingle", "i", "j", "b", "c_b", "n_b", "s_b", "r_b", "o_b")
-        enough = f"{100 + self.percent} * (%s + greatest(o_a, o_b)) >= {self.percent} * (n_a + n_b)"
+        sides = ["component", "n", "sketch", "rare", "weight", "rest", "last", "second"]
+        side = lambda doc, i, j: met.select("item", i.alias("i"), j.alias("j"), F.col("doc").alias(doc), *[F.col(c).alias(f"{c}_{doc}") for c in sides])
+        left, right = side("a", own, every), side("b", every, own)
+        enough = f"{100 + self.percent} * (%s + greatest(rest_a, rest_b)) >= {self.percent} * (n_a + n_b)"
         # Cheap tests first: no more rare shingles are common than either document has.
-        pairs = left.join(right, ["shingle", "i", "j"]).where("a < b AND c_a <> c_b").where(enough % "least(size(r_a), size(r_b))")
-        # A pair counts where its first shared shingle is.
-        pairs = pairs.where(_passes(self.percent)).where("shingle = array_min(array_intersect(r_a, r_b))")
-        pairs = pairs.where(enough % "size(array_intersect(r_a, r_b))")
-        return pairs.select("a", "b").distinct()
+        pairs = left.join(right, ["item", "i", "j"]).where(f"a < b AND component_a <> component_b AND {_sizes_allow(self.percent)}")
+        pairs = pairs.where(enough % "least(weight_a, weight_b)")
+        # A pair counts where its first common item is, which is not here if an item before is common, too.
+        pairs = pairs.where("item = rare_a[0] OR rare_a[0] <> rare_b[0]")
+        for x, y in itertools.product(["last", "second"], repeat=2):
+            pairs = pairs.where(f"coalesce({x}_a <> {y}_b, true)")
+        # What is common is found once for both tests.
+        both = f"common[0] = item AND {enough % _weight('common')}"
+        pairs = pairs.where(f"exists(array(array_intersect(rare_a, rare_b)), common -> {both})")
+        return pairs.where(_passes(self.percent)).select("a", "b").distinct()
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are links, after size, sketch and the comparison of whole sets."""
         pairs = stage(narrow(pairs), "pairs")
         of_a, of_b = heavy_keys(pairs, "a"), heavy_keys(pairs, "b")
-        rated = spread_join(pairs, self.known.toDF("a", "n_a", "s_a"), "a", spread_by="b", heavy=of_a)
-        rated = spread_join(rated, self.known.toDF("b", "n_b", "s_b"), "b", spread_by="a", heavy=of_b)
+        rated = spread_join(pairs, self.known.toDF("a", "n_a", "sketch_a"), "a", spread_by="b", heavy=of_a)
+        rated = spread_join(rated, self.known.toDF("b", "n_b", "sketch_b"), "b", spread_by="a", heavy=of_b)
         pairs = stage(rated.where(_passes(self.percent)).select("a", "b"), "pairs")
         sets = self.sets.select("doc", "shingles")
         both = spread_join(pairs, sets.toDF("a", "left"), "a", spread_by="b", heavy=of_a)

@@ -138,6 +138,23 @@ def test_texts_with_a_common_passage_do_not_meet(spark):
     assert got.where("kept").count() == 2000
 
 
+def test_shingles_of_the_same_documents_meet_once(spark):
+    """Pairs just above and below the threshold share many of their rarest shingles, but meet at one item."""
+    rng = random.Random(6)
+    texts = {}
+    for pair in range(60):
+        base = prose(rng, 200, 10**6)
+        for i in range(2):
+            texts[2 * pair + i] = base + " " + prose(rng, 20 if pair % 2 else 30, 10**6)
+    docs = table(spark, list(texts.items())).select(F.col("doc_id").alias("doc"), "text")
+    found = _Links(signatures(docs, 4), docs, 4, 80)
+    placed = found.placed(None)
+    met = found.meeting(placed)
+    assert met.count() == met.select("doc").distinct().count() <= 120
+    linked = found.links(found.other_pairs(placed))
+    assert sorted((r.a, r.b) for r in linked.collect()) == [(2 * pair, 2 * pair + 1) for pair in range(1, 60, 2)]
+
+
 def test_odd_sketch_tells_similarities_apart():
     def passing(both, n, pairs=300):
         rng = np.random.default_rng(both)
