@@ -65,3 +65,31 @@ def test_quantile_reads_its_source_once(spark, tmp_path):
 def test_several_steps_of_imputation_read_what_is_written(spark):
     out = plan.clean_sales(sales_rows(spark), plan.CleanConfig(strategy="conditional"))
     assert any("/repaired-" in f for f in out.inputFiles()) and out.count() == 500
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_clean_moves_no_whole_rows(spark, monkeypatch):
+    rows = sales_rows(spark)
+    odd = rows.where("id < 30").withColumns({"Odometer": F.lit(None).cast("double"), "Make": F.lit(None).cast("string")})
+    rows = rows.unionByName(rows.where("id % 5 = 0")).unionByName(odd)
+    written, stage = {}, plan.stage
+    monkeypatch.setattr(plan, "stage", lambda df, name="stage": written.setdefault(name, df) and stage(df, name))
+    out = plan.first_clean(rows)
+    # What is written comes straight from its source; only fingerprints are shuffled afterwards, and rows that may have an equal.
+    assert "hashpartitioning" not in _plan(written["typed"]) and set(written) == {"typed"}
+    want = rows.where("SellingPrice > 100 AND Odometer IS NOT NULL").select("Id", F.initcap("Make").alias("Make"), "Odometer", "SellingPrice").distinct()
+    assert sorted(map(str, out.select(*want.columns).collect())) == sorted(map(str, want.collect())) and out.count() == 459
+
+
+def test_wide_title_case_is_compiled(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = plan.before_imputation(sales_rows(spark))._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # Java compiles methods up to 8,000 bytes.
+    assert sizes and max(sizes) < 8000
