@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tabclean.operators import impute, quantile
+from tabclean.operators import filters, impute, quantile
 from tabclean.operators.joins import keys_present
 from tabclean.plans import sales as plan
 
@@ -93,3 +93,51 @@ def test_wide_title_case_is_compiled(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     # Java compiles methods up to 8,000 bytes.
     assert sizes and max(sizes) < 8000
+
+
+def knn_rows(spark):
+    """Sales with gaps in color and interior, odometers that tie, labels that tie, repeated keys and null features."""
+    return sales_rows(spark).withColumns({
+        "Id": F.expr("if(id % 40 = 0, null, concat('k', cast(id % 450 AS string)))"), "Year": F.expr("if(id % 31 = 0, null, cast(2000 + id % 6 AS int))"),
+        "Odometer": F.expr("if(id % 37 = 0, null, cast(id * 7 % 60 AS double))"), "Body": F.expr("if(id % 4 = 0, 'SUV', 'sedan')"),
+        "Color": F.expr("if(id % 3 = 0, null, element_at(array('red', 'blue', 'black'), cast(id % 7 % 3 + 1 AS int)))"),
+        "Interior": F.expr("if(id % 5 = 1, null, if(id % 2 = 0, 'tan', 'beige'))"),
+    })
+
+
+def test_neighbours_move_only_rows_with_a_gap(spark, monkeypatch):
+    rows = knn_rows(spark)
+    joined, staged, lookup, stage = [], [], impute.lookup_join, impute.stage
+    monkeypatch.setattr(impute, "lookup_join", lambda fact, dim, on, **more: joined.append((on, fact)) or lookup(fact, dim, on, **more))
+    monkeypatch.setattr(impute, "stage", lambda df, name="stage": staged.append(name) or stage(df, name))
+    got = plan.clean_sales(rows, plan.CleanConfig(strategy="knn+conditional")).select("Id", "Color", "Interior", "Odometer", "SaleDate")
+    # The votes are joined to rows with a gap alone; what both columns share is learnt once.
+    gaps = [rows.where(F.col(c).isNull()).count() for c in ["Color", "Interior"]]
+    assert [fact.count() for on, fact in joined if on[0] == "__key_0"] == gaps
+    assert staged.count("narrow") == 0 and staged.count("labels") == 2 * staged.count("codes")  # label_codes writes its values, too
+    want = plan.before_imputation(rows)
+    for c in ["Color", "Interior"]:
+        want = impute.impute_knn(want, c)
+    assert got.where("Color IS NULL OR Interior IS NULL").count() == 0
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+
+
+def test_votes_of_a_search_in_batches_are_those_of_joins(spark, monkeypatch):
+    rows = knn_rows(spark)
+    for more in ({}, {"block_on": ["Body"]}, {"block_on": ["Body"], "staged": True, "mark": "hit"}):
+        with monkeypatch.context() as patch:
+            got = impute.impute_knn(rows, "Color", **more)
+            patch.setattr(impute, "bounded", lambda table: False)
+            want = impute.impute_knn(rows, "Color", **more)
+            assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_one_pass_holds_the_samples_of_several_columns(spark):
+    rows = spark.range(3000).selectExpr("id * 7 AS Id", "if(id % 3 = 0, null, id) AS a", "if(id % 100 = 0, id, null) AS b", "id AS c")
+    for n, cols in ((0, ["a"]), (40, ["a", "c"]), (40, ["a", "b", "c"]), (29, ["b"]), (5000, ["a", "b"])):
+        pool = filters.sample_pool(rows, n, "Id", cols)
+        assert any("/pool-" in f for f in pool.inputFiles())
+        for c in cols:
+            some = lambda df: sorted(map(str, filters.sample_n(df.where(F.col(c).isNotNull()), n, "Id").collect()))
+            assert some(pool) == some(rows)
+    assert filters.sample_pool(rows, 40, "Id", ["a", "c"]).count() < 200
