@@ -1,11 +1,14 @@
 """What is read once is not computed again, and a search in batches finds what joins find."""
 
+import time
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from tabclean.operators import filters, impute, quantile
 from tabclean.operators.joins import keys_present
 from tabclean.plans import sales as plan
+from tabclean.sources import staging
 
 FEATS = ["f0", "f1"]
 
@@ -141,3 +144,13 @@ def test_one_pass_holds_the_samples_of_several_columns(spark):
             some = lambda df: sorted(map(str, filters.sample_n(df.where(F.col(c).isNotNull()), n, "Id").collect()))
             assert some(pool) == some(rows)
     assert filters.sample_pool(rows, 40, "Id", ["a", "c"]).count() < 200
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    held = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("|").count("/shuffle_")
+    set_before, before = spark.conf.get(staging._CLEAN_SHUFFLES), held()
+    counts = staging.stage(spark.range(50_000).groupBy((F.col("id") * 7 % 49_999).alias("k")).count(), "counts")
+    until = time.time() + 20
+    while held() > before and time.time() < until:
+        time.sleep(0.5)
+    assert held() <= before and counts.count() == 49_999 and spark.conf.get(staging._CLEAN_SHUFFLES) == set_before
